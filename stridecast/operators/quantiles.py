@@ -26,21 +26,28 @@ def value_counts(df: DataFrame, keys, value: str) -> DataFrame:
     return df.where(present(df, value)).groupBy(*keys, value).agg(F.count("*").alias("freq"))
 
 
-def running_totals(counts: DataFrame, keys, order: str, weight: str) -> DataFrame:
-    """Per key in ``order``: the weight before each row (``before``) and in all (``total``).
+def in_chunks(counts: DataFrame, keys, order: str, weight: str) -> DataFrame:
+    """Written copy of ``counts`` cut into numbered chunks along (keys, order).
 
-    ``counts`` holds one row per key and ``order`` value. A range partitioning on
-    (keys, order) cuts a large group into even chunks; the chunks are written, so
-    that chunk numbers stay fixed, and only the chunk sums (at most one per
-    partition and key) are accumulated per key.
+    ``counts`` holds one row per key and ``order`` value, so a range partitioning
+    cuts even a very large group into even chunks. Writing them fixes the chunk
+    numbers for everything computed from this table.
     """
-    keys = list(keys)
-    chunks = written(
+    return written(
         counts.select(*keys, order, weight)
         .repartitionByRange(*keys, order)
         .withColumn("_chunk", F.spark_partition_id()),
         "chunks",
     )
+
+
+def running_totals(chunks: DataFrame, keys, order: str, weight: str) -> DataFrame:
+    """Per key in ``order``: the weight before each row (``before``) and in all (``total``).
+
+    Takes the result of :func:`in_chunks`. Only chunk sums, at most one per
+    partition and key, are accumulated per key; rows are accumulated per chunk.
+    """
+    keys = list(keys)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         chunks.groupBy(*keys, "_chunk")
@@ -69,8 +76,9 @@ def _value_at(rank: Column, value: str) -> Column:
     return F.max(F.when(held, F.col(value).cast("double")))
 
 
-def quantiles_of_ranked(ranked: DataFrame, keys, value: str, probs: dict[str, float]) -> DataFrame:
-    """Linearly interpolated quantiles from :func:`running_totals` over value counts."""
+def quantiles_of_counts(chunks: DataFrame, keys, value: str, probs: dict[str, float]) -> DataFrame:
+    """Linearly interpolated quantiles from value counts laid out by :func:`in_chunks`."""
+    ranked = running_totals(chunks, keys, value, "freq")
     position = {name: (F.col("total") - 1) * F.lit(float(p)) for name, p in probs.items()}
     sides = []
     for name, at in position.items():
@@ -98,5 +106,4 @@ def quantiles_of_ranked(ranked: DataFrame, keys, value: str, probs: dict[str, fl
 
 def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) -> DataFrame:
     """``keys``, n, min_value, one column per named probability, max_value."""
-    ranked = running_totals(value_counts(df, keys, value), keys, value, "freq")
-    return quantiles_of_ranked(ranked, keys, value, probs)
+    return quantiles_of_counts(in_chunks(value_counts(df, keys, value), keys, value, "freq"), keys, value, probs)

@@ -10,8 +10,9 @@ from stridecast.functions.values import present
 from stridecast.operators.filters import at_least, between_dates, by_country
 from stridecast.operators.layout import sort_splitting_ties, top_rows
 from stridecast.operators.quantiles import (
+    in_chunks,
     join_same,
-    quantiles_of_ranked,
+    quantiles_of_counts,
     running_totals,
     value_counts,
 )
@@ -62,7 +63,7 @@ def threshold_grid(df: DataFrame, step: float = 0.5, column: str = "residential"
     held = df.where(present(df, column)).groupBy(position.alias("i")).agg(F.count("*").alias("freq"))
     slots = spark.range(int((hi - lo) / step) + 1).select(F.col("id").alias("i"))
     filled = slots.join(held, "i", "left").select("i", F.coalesce("freq", F.lit(0)).alias("freq"))
-    return running_totals(filled, [], "i", "freq").select(
+    return running_totals(in_chunks(filled, [], "i", "freq"), [], "i", "freq").select(
         (F.lit(lo) + F.col("i") * F.lit(float(step))).alias("threshold"),
         (F.col("total") - F.col("before")).alias("n_at_least"),
     )
@@ -161,9 +162,9 @@ def box_stats(
             "max_value",
         )
         return _whiskers(seen, written(boxes, "boxes"), keys, column)
-    ranked = running_totals(value_counts(df, keys, column), keys, column, "freq")
-    boxes = written(quantiles_of_ranked(ranked, keys, column, QUARTILES), "boxes")
-    return _whiskers(ranked, boxes, keys, column)
+    counts = in_chunks(value_counts(df, keys, column), keys, column, "freq")
+    boxes = written(quantiles_of_counts(counts, keys, column, QUARTILES), "boxes")
+    return _whiskers(counts, boxes, keys, column)
 
 
 def box_points(df: DataFrame, column: str = "residential", keys=BOX_KEYS) -> DataFrame:

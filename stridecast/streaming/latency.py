@@ -30,9 +30,17 @@ def latency(scored: DataFrame, accuracy: int = 10_000) -> DataFrame:
 
 
 def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent batches of a query as Spark reports them (a bounded list)."""
+    """Recent batches of a query as Spark reports them (a bounded list).
+
+    ``n_late`` counts the rows that came after their window had closed.
+    """
     rows = [
-        (p["batchId"], p["numInputRows"], p["durationMs"].get("triggerExecution"))
+        (
+            p["batchId"],
+            p["numInputRows"],
+            p["durationMs"].get("triggerExecution"),
+            sum(state["numRowsDroppedByWatermark"] for state in p["stateOperators"]),
+        )
         for p in query.recentProgress
     ]
-    return spark.createDataFrame(rows, "batch_id long, n_input long, trigger_ms long")
+    return spark.createDataFrame(rows, "batch_id long, n_input long, trigger_ms long, n_late long")

@@ -222,7 +222,9 @@ def t10(spark, sf_dir):
 def t12(spark, sf_dir):
     """At most a quarter of the table's files per batch."""
     root = new_folder(spark, "table")
-    table(spark, sf_dir, "lineitem").repartitionByRange(8, "l_orderkey", "l_linenumber").write.parquet(root)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem.repartitionByRange(n_parts, "l_orderkey", "l_linenumber").write.parquet(root)
     n_files = list_parquet_files(spark, root).count()
     limit = math.ceil(n_files / 4)
     keep = _Keep(spark, "received")
