@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,6 +108,20 @@ def metrics_of(df: DataFrame, label: str, prediction: str = "prediction") -> Mod
     return ModelMetrics(**evaluate(df, label, prediction).first().asDict())
 
 
+def training_metrics(model: PipelineModel) -> ModelMetrics | None:
+    """Metrics on the rows a linear model was just fitted on, without another pass.
+
+    Fitting already computed them; None for models that keep no such summary.
+    """
+    fitted = model.stages[-1]
+    if not isinstance(fitted, LinearRegressionModel) or not fitted.hasSummary:
+        return None
+    seen = fitted.summary
+    return ModelMetrics(
+        seen.numInstances, seen.rootMeanSquaredError, seen.r2, seen.meanAbsoluteError
+    )
+
+
 def metrics_row(df: DataFrame, label: str, model_name: str, prediction: str = "prediction") -> DataFrame:
     return evaluate(df, label, prediction).select(F.lit(model_name).alias("model"), "*")
 

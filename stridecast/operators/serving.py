@@ -59,12 +59,21 @@ def threshold_grid(df: DataFrame, step: float = 0.5, column: str = "residential"
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], "threshold double, n_at_least long")
-    position = F.floor((F.col(column).cast("double") - lo) / step)
+    value = F.col(column).cast("double")
+
+    def threshold(i):
+        return F.lit(lo) + i * F.lit(float(step))
+
+    # Division may land one step off the thresholds as they are reported.
+    near = F.floor((value - lo) / step)
+    position = (
+        F.when(threshold(near) > value, near - 1).when(threshold(near + 1) <= value, near + 1).otherwise(near)
+    )
     held = df.where(present(df, column)).groupBy(position.alias("i")).agg(F.count("*").alias("freq"))
     slots = spark.range(int((hi - lo) / step) + 1).select(F.col("id").alias("i"))
     filled = slots.join(held, "i", "left").select("i", F.coalesce("freq", F.lit(0)).alias("freq"))
     return running_totals(in_chunks(filled, [], "i", "freq"), [], "i", "freq").select(
-        (F.lit(lo) + F.col("i") * F.lit(float(step))).alias("threshold"),
+        threshold(F.col("i")).alias("threshold"),
         (F.col("total") - F.col("before")).alias("n_at_least"),
     )
 

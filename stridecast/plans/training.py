@@ -16,6 +16,7 @@ from stridecast.operators.regression import (
     split,
     train,
     train_forest,
+    training_metrics,
 )
 from stridecast.schema import DATE_PARTS, DEFAULT_CONTRACT, FeatureContract
 from stridecast.sources.files import read_mobility
@@ -59,7 +60,9 @@ def fit_and_save(
     if holdout_share is not None:
         fitted_on, judged_on = split(rows, cutoff_date(rows, 1 - holdout_share))
     model = TRAINERS[kind](fitted_on, contract, **params)
-    metrics = metrics_of(score(model, judged_on), contract.label)
+    metrics = training_metrics(model) if holdout_share is None else None
+    if metrics is None:
+        metrics = metrics_of(score(model, judged_on), contract.label)
     path = f"{models_root}/{kind}"
     save_model(model, path)
     register_model(table.sparkSession, f"{models_root}/registry", kind, path, contract, metrics)

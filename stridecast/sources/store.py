@@ -41,7 +41,8 @@ class FileStore:
     def staged(self) -> DataFrame:
         """All staged rows; filters on ``epoch_id`` and ``is_valid`` prune folders."""
         try:
-            return self.spark.read.schema(SCORED_SCHEMA).parquet(self.staging)
+            rows = self.spark.read.schema(SCORED_SCHEMA).parquet(self.staging)
+            return rows.select(*SCORED_SCHEMA.fieldNames())
         except AnalysisException:
             return self.spark.createDataFrame([], SCORED_SCHEMA)
 
