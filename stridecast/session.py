@@ -18,6 +18,11 @@ def build_session(app: str = "stridecast", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # Window state on executor disk instead of the JVM heap.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         .config("spark.ui.enabled", "false")
     )
     if master:

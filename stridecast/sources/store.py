@@ -111,9 +111,16 @@ class JdbcStore:
             folder = f"{self.quarantine_folder}/batch={batch_id}"
             quarantine(rows).write.mode("overwrite").parquet(folder)
 
-    def promote(self, keys=PREDICTION_KEY) -> None:
-        options = jdbc.table_options(self.cfg, self.cfg.staging_table)
+    def promote(self, keys=PREDICTION_KEY, after_epoch: int | None = None, split_by=None) -> None:
+        """Refill the predictions table; ``after_epoch`` is filtered by the database.
+
+        ``split_by`` reads both tables over several connections, see
+        :func:`stridecast.sources.jdbc.table_options`.
+        """
+        options = jdbc.table_options(self.cfg, self.cfg.staging_table, split_by)
         staging = self.spark.read.format("jdbc").options(**options).load()
-        current = jdbc.read_predictions(self.spark, self.cfg)
+        if after_epoch is not None:
+            staging = staging.where(F.col("epoch_id") > after_epoch)
+        current = jdbc.read_predictions(self.spark, self.cfg, split_by)
         # Written first: the target table is emptied while it is being replaced.
         jdbc.replace_predictions(written(promote_rows(staging, current, keys), "promoted"), self.cfg)

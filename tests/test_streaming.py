@@ -64,6 +64,17 @@ def test_late_rows_are_dropped_across_runs(spark, folder):
     assert run()[0] == rows
 
 
+def test_late_rows_are_found_in_staged_batches(spark):
+    rows = [(0, "10:01"), (0, "10:05"), (0, "11:00"), (1, "10:07"), (1, "10:44"), (1, "12:00"), (2, "11:44"), (2, "11:46")]
+    staged = spark.createDataFrame([(e, at(t)) for e, t in rows], "epoch_id int, event_time timestamp")
+    late = windows.late_rows(staged).collect()
+    assert sorted((r["epoch_id"], r["event_time"]) for r in late) == [
+        (1, at("10:07")),
+        (1, at("10:44")),
+        (2, at("11:44")),
+    ]
+
+
 def test_changing_windows_keep_the_latest_state(spark, folder):
     source, sink, checkpoint = f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint"
     for value in (1.0, 3.0):

@@ -304,6 +304,22 @@ def t6(spark, sf_dir):
     return _plain(spark.read.parquet(folder))
 
 
+@query(
+    "t8_late_rows",
+    "WITH staged AS (SELECT event_id, ts, CAST(length(event_type) AS INTEGER) AS epoch_id FROM events), "
+    "closed AS (SELECT epoch_id, max(max(ts)) OVER (ORDER BY epoch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+    "- INTERVAL '15 minutes' AS closed_until FROM staged GROUP BY epoch_id) "
+    "SELECT event_id, staged.epoch_id FROM staged JOIN closed USING (epoch_id) "
+    "WHERE time_bucket(INTERVAL '15 minutes', ts) + INTERVAL '15 minutes' <= closed_until",
+)
+def t8_late(spark, sf_dir):
+    """Events as if each name length had come in its own batch."""
+    staged = table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").alias("event_time"), F.length("event_type").alias("epoch_id")
+    )
+    return windows.late_rows(staged).select("event_id", "epoch_id")
+
+
 _STAGED_TWICE = (
     "numbered AS (SELECT *, row_number() OVER (PARTITION BY date, country ORDER BY epoch_id DESC, "
     "residential DESC, features_json DESC) AS rank_in_key FROM "
