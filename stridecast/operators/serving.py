@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridecast.functions.times import minute_text
 from stridecast.functions.values import present
@@ -17,7 +18,7 @@ from stridecast.operators.quantiles import (
     value_counts,
 )
 from stridecast.schema import METRICS
-from stridecast.scratch import written
+from stridecast.scratch import empty_frame, written
 
 BOX_KEYS = ("country", "model")
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -58,7 +59,7 @@ def threshold_grid(df: DataFrame, step: float = 0.5, column: str = "residential"
     lo, hi = value_range(df, column)
     spark = df.sparkSession
     if lo is None:
-        return spark.createDataFrame([], "threshold double, n_at_least long")
+        return empty_frame(spark, T.StructType.fromDDL("threshold double, n_at_least long"))
     value = F.col(column).cast("double")
 
     def threshold(i):
@@ -104,7 +105,8 @@ def histogram(df: DataFrame, column: str = "residential", bins: int = 30) -> Dat
     """
     lo, hi = value_range(df, column)
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_start double, bin_end double, n long")
+        shape = T.StructType.fromDDL("bin int, bin_start double, bin_end double, n long")
+        return empty_frame(df.sparkSession, shape)
     if hi == lo:
         slot, width = F.lit(0), 0.0
     else:

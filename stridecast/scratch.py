@@ -10,6 +10,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,3 +35,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     folder = new_folder(df.sparkSession, label)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, without starting a Python worker."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

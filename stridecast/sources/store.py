@@ -11,11 +11,17 @@ from stridecast.operators.layout import gather_by, persisted
 from stridecast.plans.promotion import PREDICTION_KEY, promote_rows
 from stridecast.plans.scoring import accepted, quarantine
 from stridecast.schema import PREDICTION_COLUMNS, SCORED_SCHEMA
-from stridecast.scratch import written
+from stridecast.scratch import empty_frame, written
 from stridecast.sources import jdbc
 
 PREDICTION_SCHEMA = T.StructType([SCORED_SCHEMA[c] for c in PREDICTION_COLUMNS])
-_MANIFEST_SCHEMA = "period string, version int, through_epoch int"
+_MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("period", T.StringType()),
+        T.StructField("version", T.IntegerType()),
+        T.StructField("through_epoch", T.IntegerType()),
+    ]
+)
 
 
 class FileStore:
@@ -44,7 +50,7 @@ class FileStore:
             rows = self.spark.read.schema(SCORED_SCHEMA).parquet(self.staging)
             return rows.select(*SCORED_SCHEMA.fieldNames())
         except AnalysisException:
-            return self.spark.createDataFrame([], SCORED_SCHEMA)
+            return empty_frame(self.spark, SCORED_SCHEMA)
 
     def quarantined(self) -> DataFrame:
         return quarantine(self.staged())
@@ -53,7 +59,7 @@ class FileStore:
         try:
             return self.spark.read.schema(_MANIFEST_SCHEMA).parquet(self.manifest)
         except AnalysisException:
-            return self.spark.createDataFrame([], _MANIFEST_SCHEMA)
+            return empty_frame(self.spark, _MANIFEST_SCHEMA)
 
     def _versions(self) -> dict[str, int]:
         """Newest version per month: one driver row for each month of data."""
@@ -63,7 +69,7 @@ class FileStore:
     def _read_months(self, versions: dict[str, int]) -> DataFrame:
         folders = [f"{self.data}/version={v}/period={p}" for p, v in sorted(versions.items())]
         if not folders:
-            return self.spark.createDataFrame([], PREDICTION_SCHEMA)
+            return empty_frame(self.spark, PREDICTION_SCHEMA)
         return self.spark.read.schema(PREDICTION_SCHEMA).parquet(*folders)
 
     def predictions(self, months=None) -> DataFrame:
