@@ -55,9 +55,15 @@ def to_message(df: DataFrame, event_time: Column | None = None) -> DataFrame:
 
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add struct column ``json``; text that does not fit the schema is kept in it."""
+    """Add struct column ``json``; text that does not fit the schema is kept in it.
+
+    The parsed value goes through a one-element explode. Later filters on its
+    fields stop there; below a plain column they would be pushed down together
+    with a second copy of the parser.
+    """
     schema = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-    return df.withColumn("json", F.from_json(F.col(value).cast("string"), schema))
+    parsed = F.from_json(F.col(value).cast("string"), schema)
+    return df.select("*", F.explode(F.array(parsed)).alias("json"))
 
 
 def flatten_message(parsed: DataFrame, value: str = "value") -> DataFrame:

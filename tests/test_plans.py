@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from stridecast.functions.messages import flatten_message, parse_messages
 from stridecast.operators import filters, layout, serving
 from stridecast.operators.regression import score
 from stridecast.plans.promotion import promote_rows
-from stridecast.plans.scoring import score_batch
+from stridecast.plans.scoring import accepted, quarantine, score_batch
 from stridecast.sources.files import list_parquet_files
+from stridecast.streaming.windows import window_metrics
 from tests.conftest import SMALL
 from workload.models import trained
 from workload.streams import _messages
@@ -23,6 +25,13 @@ def test_scoring_stays_in_the_jvm_and_parses_once(spark):
     assert scored.count("from_json(") == 1
 
 
+def test_filters_on_parsed_messages_do_not_parse_again(spark):
+    scored = score_batch(_messages(spark, SMALL), 0, trained(spark, SMALL))
+    windowed = window_metrics(flatten_message(parse_messages(_messages(spark, SMALL))))
+    for df in (accepted(scored), quarantine(scored), windowed):
+        assert plan(df).count("from_json(") == 1
+
+
 def test_table_scoring_reads_only_its_columns(spark):
     scored = score(trained(spark, SMALL), mobility(spark, SMALL)).select("place_id", "prediction")
     schema = plan(scored)

@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -114,6 +115,16 @@ def test_assembler_modes(spark):
         vectors.assemble(rows, ("a", "b")).collect()
 
 
+def test_vector_to_array_in_sql_text(spark):
+    vectors.register_vector_functions(spark)
+    given = [(0, Vectors.dense([1.0, 2.0])), (1, Vectors.sparse(3, [1], [5.0])), (2, None)]
+    rows = spark.createDataFrame(given, ["id", "v"])
+    found = spark.sql("SELECT id, vector_to_array(v) AS a FROM {rows} ORDER BY id", rows=rows).collect()
+    assert [r["a"] for r in found] == [[1.0, 2.0], [0.0, 5.0, 0.0], None]
+    dense = spark.sql("SELECT vector_to_array(v) AS a FROM {rows} WHERE id <> 1 ORDER BY id", rows=rows).collect()
+    assert [r["a"] for r in dense] == [[1.0, 2.0], None]
+
+
 def test_hash_split_is_stable(rows):
     train_a, test_a = regression.split_by_hash(rows, ["id"])
     _, test_b = regression.split_by_hash(rows.repartition(7).orderBy(F.desc("id")), ["id"])
