@@ -207,8 +207,12 @@ def risk_zones(df: DataFrame, threshold: float, column: str = "residential") ->
     )
 
 
-def metric_trends(df: DataFrame, metrics=METRICS) -> DataFrame:
-    """Daily mean of each metric in long form; averaged first, then turned to rows."""
+def metric_trends(df: DataFrame, metrics=None) -> DataFrame:
+    """Daily mean of each metric in long form; averaged first, then turned to rows.
+
+    Without a list: the metrics the table has, since ingest may have pruned some.
+    """
+    metrics = metrics or [m for m in METRICS if m in df.columns]
     daily = df.groupBy("date").agg(*[F.avg(m).alias(m) for m in metrics])
     return daily.unpivot("date", list(metrics), "metric", "mean_value")
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
 from stridecast.schema import METRICS
+from stridecast.scratch import written
 from stridecast.streaming.runs import start_batches, with_trigger
 
 WINDOW = "15 minutes"
@@ -59,7 +60,7 @@ def late_rows(
         (F.max("_newest").over(earlier) - F.expr(f"INTERVAL {delay}")).alias("_closed_until"),
     )
     return (
-        staged.join(closed, "epoch_id")
+        staged.join(written(closed, "epochs"), "epoch_id")
         .where(F.window(time, duration).getField("end") <= F.col("_closed_until"))
         .select(*staged.columns)
     )

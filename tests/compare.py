@@ -24,7 +24,7 @@ def connect(sf_dir: str):
 
 def _cell(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else repr(round(value, 9) + 0.0)
+        return "NaN" if math.isnan(value) else repr(value)
     return repr(value)
 
 
