@@ -48,10 +48,15 @@ def _values_of_vectors(vectors: pa.Array) -> pa.Array:
     )
 
 
-def register_vector_functions(spark: SparkSession) -> None:
+def register_vector_functions(spark: SparkSession, batch_rows: int | None = 500) -> None:
     """Make ``vector_to_array(v)`` callable from SQL text.
 
     Spark has no SQL name for its native conversion, so SQL text gets a function
     on whole Arrow batches; DataFrame code should use :func:`features_array`.
+    Spark measures a batch after each row it adds, which for vectors takes time in
+    proportion to the batch, so ``batch_rows`` also lowers the session's batch size
+    (None leaves it alone).
     """
+    if batch_rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     spark.udf.register("vector_to_array", F.arrow_udf(_values_of_vectors, "array<double>"))
