@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import argparse
 
+from stridecast.functions.messages import flatten_message, parse_messages
 from stridecast.operators.filters import by_model
 from stridecast.operators.serving import box_stats, heatmap, histogram, kpis, risk_zones
 from stridecast.plans.ingest import ingest_csv
 from stridecast.plans.training import TRAINERS, train_from_table
 from stridecast.session import build_session
-from stridecast.sources.jdbc import JdbcConfig, connection_works
+from stridecast.sources.jdbc import JdbcConfig, connection_works, read_predictions
 from stridecast.sources.kafka import MessageConfig, mobility_stream
 from stridecast.sources.models import load_model
 from stridecast.sources.store import FileStore, JdbcStore
 from stridecast.streaming.replay import message_stream, start_replay
 from stridecast.streaming.runs import finish
 from stridecast.streaming.scoring import start_scoring
+from stridecast.streaming.windows import WINDOW, start_closed_windows, window_metrics
 
 
 def _messages(args) -> MessageConfig:
@@ -56,12 +58,21 @@ def _score(spark, args):
     )
 
 
+def _windows(spark, args):
+    flat = flatten_message(parse_messages(mobility_stream(spark, _messages(args))))
+    found = window_metrics(flat, args.window, watermark=args.delay)
+    finish(start_closed_windows(found, args.output, args.checkpoint, args.interval))
+
+
 def _promote(spark, args):
     print(_store(spark, args).promote())
 
 
 def _report(spark, args):
-    rows = FileStore(spark, args.store).predictions()
+    if args.jdbc:
+        rows = read_predictions(spark, JdbcConfig.from_env())
+    else:
+        rows = FileStore(spark, args.store).predictions()
     kpis(rows).show(truncate=False)
     histogram(by_model(rows, args.kind)).orderBy("bin").show(30)
     box_stats(rows).show()
@@ -100,8 +111,16 @@ def main(argv=None) -> None:
     command("train", _train, ("--input", needed), ("--models", needed), kind)
     command("replay", _replay, ("--input", needed), *transport)
     command("score", _score, ("--models", needed), kind, *store, *transport)
+    command(
+        "windows",
+        _windows,
+        ("--output", needed),
+        ("--window", {"default": WINDOW}),
+        ("--delay", {"default": WINDOW}),
+        *transport,
+    )
     command("promote", _promote, *store)
-    command("report", _report, ("--store", needed), kind, ("--threshold", {"type": float, "default": 0.0}))
+    command("report", _report, *store, kind, ("--threshold", {"type": float, "default": 0.0}))
     args = parser.parse_args(argv)
     spark = build_session()
     try:

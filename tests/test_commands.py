@@ -26,9 +26,11 @@ def test_jobs_in_sequence(spark, folder, shared_session, capsys):
     cli.main(["train", "--input", f"{folder}/table", "--models", f"{folder}/models"])
     cli.main(["replay", "--input", f"{folder}/table", "--checkpoint", f"{folder}/c1", *wire])
     cli.main(["score", "--models", f"{folder}/models", "--checkpoint", f"{folder}/c2", *wire, *store])
+    cli.main(["windows", "--output", f"{folder}/windows", "--checkpoint", f"{folder}/c3", *wire])
     cli.main(["promote", *store])
     cli.main(["report", *store])
     printed = capsys.readouterr().out
     assert "n_rows=80" in printed and "total_predictions" in printed
+    assert spark.read.parquet(f"{folder}/windows").columns[:4] == ["window_start", "window_end", "country", "n"]
     predictions = FileStore(spark, f"{folder}/store").predictions()
     assert predictions.count() == 80 and predictions.where("prediction IS NULL").count() == 0

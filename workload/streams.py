@@ -276,21 +276,31 @@ def t5_stream(spark, sf_dir):
     return _plain(windows.current_windows(spark, folder))
 
 
-@query(
-    "t5_message_windows",
-    sql(
-        "SELECT CAST(date AS TIMESTAMP) AS window_start, CAST(date AS TIMESTAMP) + INTERVAL '15 minutes' AS window_end, "
-        "country_region AS country, count(*) AS n, "
-        + ", ".join(f"round(avg({m}), 6) + 0.0 AS avg_{m}" for m in METRICS)
-        + " FROM mobility GROUP BY date, country_region"
-    ),
+_MESSAGE_WINDOW_SQL = sql(
+    "SELECT CAST(date AS TIMESTAMP) AS window_start, CAST(date AS TIMESTAMP) + INTERVAL '15 minutes' AS window_end, "
+    "country_region AS country, count(*) AS n, "
+    + ", ".join(f"round(avg({m}), 6) + 0.0 AS avg_{m}" for m in METRICS)
+    + " FROM mobility GROUP BY date, country_region"
 )
+
+
+@query("t5_message_windows", _MESSAGE_WINDOW_SQL)
 def t5_messages(spark, sf_dir):
     """All six metrics, from message text to windows."""
     flat = flatten_message(parse_messages(_messages(spark, sf_dir)))
     return _plain(windows.window_metrics(flat))
 
 
+@query("t5_message_windows_stream", _MESSAGE_WINDOW_SQL)
+def t5_messages_stream(spark, sf_dir):
+    """The same from a message stream, taking each window's latest state."""
+    folder, checkpoint = new_folder(spark, "windows"), new_folder(spark, "checkpoint")
+    flat = flatten_message(parse_messages(_message_stream(spark, sf_dir)))
+    found = windows.window_metrics(flat, watermark=windows.WINDOW)
+    finish(windows.start_changing_windows(found, folder, checkpoint))
+    return _plain(windows.current_windows(spark, folder))
+
+
 @query(
     "t6_watermark",
     f"SELECT * FROM ({_WINDOW_SQL}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '15 minutes'",
