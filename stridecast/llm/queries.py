@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import langid, near_simhash, packing, token_files
+from stridecast.llm import fingerprints, langid, near_simhash, packing, pii, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -37,6 +37,11 @@ def op1_simhash_golay(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query()
+def op3_pii(spark, sf_dir):
+    return pii.digest(pii.with_pii(documents(spark, sf_dir)))
+
+
 @_query()
 def op4_token_files(spark, sf_dir):
     folder = new_folder(spark, "tokens")
@@ -49,6 +54,24 @@ def op6_packing(spark, sf_dir):
     return packing.with_crc(packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@_query()
+def op9_fingerprints(spark, sf_dir):
+    found = fingerprints.with_edits(documents(spark, sf_dir))
+
+    def shown(name):
+        return F.lower(F.lpad(F.hex(name), 16, "0"))
+
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        shown("fp").alias("fingerprint"),
+        shown("edited_fp").alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
 @_query()
 def op10_language(spark, sf_dir):
     docs = documents(spark, sf_dir)

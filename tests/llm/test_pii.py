@@ -1,0 +1,94 @@
+import hashlib
+import random
+import re
+
+from stridecast.llm import pii
+
+SCHEMA = "doc_id long, text string, pii string, n_chars long"
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def _right(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    return kind != "phone" or 9 <= len(digits) <= 15
+
+
+def _base(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        out += [(kind, m.start(), m.end()) for m in re.finditer(pattern, text or "", re.ASCII) if _right(kind, m[0])]
+    return out
+
+
+def _check(spark, texts):
+    docs = spark.createDataFrame([(i, t, "clash", 0) for i, t in enumerate(texts)], SCHEMA)
+    found = pii.digest(pii.with_pii(docs)).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        text = texts[row["doc_id"]]
+        base = _base(text)
+        assert [row[f"n_{k}"] for k in PATTERNS] == [sum(b[0] == k for b in base) for k in PATTERNS], text
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest(), (text, joined, row["spans"])
+        own = ",".join(s for s in row["spans"].split(",") if s.split(":")[0] in PATTERNS)
+        assert own == joined
+    return found
+
+
+def test_base_spans_equal_brute_force(spark):
+    rng = random.Random(8)
+    pieces = ["a@b.cd", "x.y_z@e-f.g.h", "@", ".", "1.2.3.4", "256.1.1.1", "0001.2.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112"]
+    pieces += ["+1 (743) 555-3824", "+49 30", "+12345678901234567", "é", "🙂", " ", "-", "_", "7", "1 2", "\n", "%", "a", "99999999999999999999.1.1.1"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(600)]
+    texts += [None, "", "a@b.c_d@e.f", "5.6.7.8.9.10.11.12", "9" * 30_000, "a" * 30_000 + "@b.c", "1 " * 20_000, "+1" + " " * 9000]
+    _check(spark, texts)
+
+
+def test_checksums_and_context(spark):
+    texts = [
+        "iban DE89 3704 0044 0532 0130 00 ok",
+        "DE89370400440532013001",
+        "call 212-555-0198 now",
+        "part 212-555-0198 now",
+        "ssn: 219-09-9999",
+        "lot 219-09-9999",
+        'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"',
+    ]
+    found = [r["spans"] for r in sorted(_check(spark, texts), key=lambda r: r["doc_id"])]
+    assert found == ["iban:5:32", "", "tel:5:17", "", "ssn:5:16", "", "secret:0:50"]
+    docs = spark.createDataFrame([(0, "card 4111111111111111", "", 0), (1, "x 4111111111111111", "", 0)], SCHEMA)
+    near, far = (r["pii"][0]["score"] for r in pii.with_pii(docs).orderBy("doc_id").collect())
+    assert near > far
+
+
+def test_redacted(spark):
+    rows = [(0, "é mail a@b.cd, +1 (743) 555-3824.", "x", 5), (1, None, "x", 7), (2, "clean", "x", 5), (2, "clean", "x", 5)]
+    found = pii.redacted(spark.createDataFrame(rows, SCHEMA))
+    assert found.columns == ["doc_id", "text", "pii", "n_chars"]
+    got = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in found.collect())
+    assert got[0] == (0, "é mail [EMAIL], [PHONE].", 24)
+    assert got[1:] == [(1, None, 7), (2, "clean", 5), (2, "clean", 5)]
+    assert pii.redacted(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, "x", "", 0)], SCHEMA)
+    plan = pii.digest(pii.with_pii(docs))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan.replace("ArrowConverter", "")), plan
