@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import fingerprints, langid, near_simhash, packing, pii, token_files
+from stridecast.llm import bytes_dedup, fingerprints, langid, near_simhash, packing, pii, substring, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -37,6 +37,36 @@ def op1_simhash_golay(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: A window goes if its words also start at a smaller (doc_id, place); its words are then gone.
+_OP2 = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS place FROM w
+), windows AS (
+  SELECT doc_id, place, array_to_string(words[place:place + 19], ' ') AS body FROM starts JOIN w USING (doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS i FROM (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY body ORDER BY doc_id, place) AS nth FROM windows
+  ) WHERE nth > 1
+), each AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@_query(_OP2)
+def op2_substring_dedup(spark, sf_dir):
+    found = substring.without_repeats(documents(spark, sf_dir))
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 @_query()
 def op3_pii(spark, sf_dir):
     return pii.digest(pii.with_pii(documents(spark, sf_dir)))
@@ -54,6 +84,38 @@ def op6_packing(spark, sf_dir):
     return packing.with_crc(packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+#: Bytes as pairs of hexadecimal digits, so that SQL can cut strings of them.
+_OP7 = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), strings AS (
+  SELECT doc_id, place, md5(substr(x, 2 * place + 1, 400)) AS body
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 199)) AS place FROM d)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 200)) AS i FROM (
+    SELECT doc_id, place, count(*) OVER (PARTITION BY body) AS times FROM strings
+  ) WHERE times > 1
+), each AS (
+  SELECT doc_id, x, unnest(range(0, length(x) // 2)) AS i FROM d
+), kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * i + 1, 2), '' ORDER BY i) AS body FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), spans AS (
+  SELECT doc_id, count(*) AS n FROM gone AS g
+  WHERE NOT EXISTS (SELECT 1 FROM gone AS p WHERE p.doc_id = g.doc_id AND p.i = g.i - 1) GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes,
+       CAST((length(x) - length(coalesce(body, ''))) // 2 AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(body, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""
+
+
+@_query(_OP7)
+def op7_suffix_dedup(spark, sf_dir):
+    found = bytes_dedup.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query()
 def op9_fingerprints(spark, sf_dir):
     found = fingerprints.with_edits(documents(spark, sf_dir))
