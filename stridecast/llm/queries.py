@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import bytes_dedup, fingerprints, langid, near_simhash, packing, pii, substring, token_files
+from stridecast.llm import bytes_dedup, fingerprints, hmm, langid, near_simhash, packing, pii, substring, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -116,6 +116,14 @@ def op7_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query()
+def op8_hidden_markov(spark, sf_dir):
+    found = hmm.score_texts(documents(spark, sf_dir), id_remainder(5) != 1)
+    return found.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @_query()
 def op9_fingerprints(spark, sf_dir):
     found = fingerprints.with_edits(documents(spark, sf_dir))
