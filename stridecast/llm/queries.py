@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import bytes_dedup, fingerprints, hmm, langid, near_simhash, packing, pii, substring, token_files
+from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, near_simhash, packing, pii, substring, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -79,6 +79,12 @@ def op4_token_files(spark, sf_dir):
     return token_files.with_crc(token_files.read_token_files(spark, folder))
 
 
+@_query()
+def op5_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.benchmark_matches(documents(spark, sf_dir), benchmark)
+
+
 @_query()
 def op6_packing(spark, sf_dir):
     return packing.with_crc(packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
