@@ -5,8 +5,8 @@ Runs that meet and differ are joined in one string for each task, each run once
 with its number of occurrences; ``bwt`` finds which of their 200-byte strings
 are equal. A task gets whole anchors, in groups of bounded size. An anchor with
 more than ``LARGE`` different runs, as at the edges of a passage that very many
-documents share, is not gathered: its strings are counted by hash instead, with
-sums before the shuffle.
+documents share, is not gathered: its strings go under longer anchors, and what
+is crowded even there is counted by hash, with sums before the shuffle.
 """
 
 from __future__ import annotations
@@ -129,14 +129,14 @@ def _transform(window: int):
     return run
 
 
-def repeated_ranges(rows: DataFrame, unit: seeds.Unit) -> DataFrame:
-    """doc, a, b: bytes covered by strings that start elsewhere too."""
-    same, rest = seeds.meeting_runs(rows, unit)
+def _settled(rows: DataFrame, unit: seeds.Unit, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc, a, b of repeated strings; and the runs (h, doc, at) under anchors with too many different ones."""
+    same, rest = seeds.meeting_runs(found)
     rest = written(rest, "differing-runs")
     whole = same.unionByName(rest.where("times > 1").drop("h")).select("doc", *seeds.run_range(unit))
     # One run for all equal ones goes on.
     reps = rest.where((F.col("doc") == F.col("least")) & ~seeds.is_again())
-    size = reps.groupBy("h").agg(F.count("*").alias("runs"))
+    size = written(reps.groupBy("h").agg(F.count("*").alias("runs")), "run-sizes")
     reps = written(reps.join(size, "h").select("h", "doc", "at", (F.col("times") > 1).alias("many"), "runs"), "open-runs")
     listed = reps.where(F.col("runs") <= LARGE).groupBy("doc").agg(
         F.collect_list(F.struct("h", "at", "many")).alias("runs")
@@ -144,13 +144,25 @@ def repeated_ranges(rows: DataFrame, unit: seeds.Unit) -> DataFrame:
     segments = rows.join(listed, "doc").select("doc", "text", "runs").mapInArrow(_segments(unit), SEGMENTS)
     dealt = segments.repartition("h").sortWithinPartitions("h")
     small = dealt.mapInArrow(_transform(unit.window), "doc bigint, a bigint, b bigint")
-    large = reps.where(F.col("runs") > LARGE)
-    found = written(windows_of(rows, large.select("h", "doc", "at"), unit), "windows")
-    # A run that stands for several has all its strings repeated; here it counts for those that differ from it.
+    return whole.unionByName(small), reps.where(F.col("runs") > LARGE).select("h", "doc", "at")
+
+
+def repeated_ranges(rows: DataFrame, unit: seeds.Unit) -> DataFrame:
+    """doc, a, b: bytes covered by strings that start elsewhere too.
+
+    The strings of runs under a crowded anchor are put under longer anchors, in shorter
+    runs, which settles most of them; those still crowded are counted one by one, by hash.
+    A run that stands for several was settled with them; it goes on for those that differ from it.
+    """
+    ranges, crowded = _settled(rows, unit, seeds.runs(rows, unit))
+    longer = seeds.Unit(unit.words, unit.window, unit.window - max(1, (unit.window - unit.gram) // 6))
+    again = written(seeds.shorter_runs(rows, crowded, longer), "shorter-runs")
+    more, crowded = _settled(rows, longer, again)
+    found = written(windows_of(rows, crowded, longer), "windows")
     twice = found.groupBy("h", "w").agg(F.count("*").alias("times")).where("times > 1")
     start = F.shiftright("at", 1)
-    single = found.join(twice, ["h", "w"]).select("doc", start.alias("a"), (start + unit.window).alias("b"))
-    return whole.unionByName(small).unionByName(single)
+    single = found.join(written(twice, "repeated-windows"), ["h", "w"])
+    return ranges.unionByName(more).unionByName(single.select("doc", start.alias("a"), (start + unit.window).alias("b")))
 
 
 def without_repeats(docs: DataFrame, window: int = 200, gram: int = 64) -> DataFrame:

@@ -76,22 +76,34 @@ def window_hash(seq: Sequence, starts: np.ndarray, unit: Unit) -> np.ndarray:
     return _hashes()[2].of(seq.second, starts, starts + unit.window)
 
 
-def _runs(seq: Sequence, unit: Unit):
-    """Text number, hash of the anchor, hash of the run, packed place of every run."""
+def _windows(seq: Sequence, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+    """Start and text number of every window."""
+    counts = np.maximum(np.diff(seq.at) - unit.window + 1, 0)
+    return spread(seq.at[:-1], counts), np.repeat(np.arange(len(counts)), counts)
+
+
+def listed_windows(seq: Sequence, unit: Unit, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and text number of the windows of the runs listed with each text, and the run's place in the flat list."""
+    at = lists.flatten().field("at").to_numpy()
+    count = count_of(at)
+    owner = np.repeat(np.arange(len(at)), count)
+    text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[owner]
+    starts = spread(start_of(at), count) + seq.at[text]
+    fits = starts + unit.window <= seq.at[text + 1]
+    starts, text, owner = starts[fits], text[fits], owner[fits]
+    order = np.argsort(starts, kind="stable")
+    return starts[order], text[order], owner[order]
+
+
+def _runs(seq: Sequence, unit: Unit, starts: np.ndarray, text: np.ndarray):
+    """Text number, hash of the anchor, hash of the run, packed place of every run of the given windows."""
     _, one, two, *_ = _hashes()
-    n = len(seq.first) - 1
-    if n < unit.window:
-        return (np.zeros(0, np.int64),) * 4
-    places = np.arange(n - unit.gram + 1)
-    grams = one.of(seq.first, places, places + unit.gram)
-    anchor = window_minima(grams, unit.window - unit.gram + 1)
-    lengths = np.diff(seq.at)
-    starts = spread(seq.at[:-1], np.maximum(lengths - unit.window + 1, 0))
     if not len(starts):
         return (np.zeros(0, np.int64),) * 4
-    text = np.repeat(np.arange(len(lengths)), np.maximum(lengths - unit.window + 1, 0))
-    anchor = anchor[starts]
-    new = np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(text) != 0)])
+    places = np.arange(len(seq.first) - unit.gram)
+    grams = one.of(seq.first, places, places + unit.gram)
+    anchor = window_minima(grams, unit.window - unit.gram + 1)[starts]
+    new = np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(text) != 0) | (np.diff(starts) != 1)])
     first = np.flatnonzero(new)
     count = np.diff(np.concatenate([first, [len(starts)]]))
     low, anchor, text = starts[first], anchor[first], text[first]
@@ -113,37 +125,58 @@ def plain(docs: DataFrame) -> DataFrame:
     )
 
 
+def _as_rows(part: pa.RecordBatch, text, h, s, at) -> pa.RecordBatch:
+    doc = part.column("doc").to_numpy()[text]
+    return pa.record_batch([pa.array(x) for x in (h, s, doc, at)], ["h", "s", "doc", "at"])
+
+
 def runs(rows: DataFrame, unit: Unit) -> DataFrame:
     """A row for every run of every text; ``rows`` from ``plain``."""
 
     def run(batches):
         for batch in batches:
             for part in pieces_of(batch, "text"):
-                text, h, s, at = _runs(sequence(part.column("text"), unit), unit)
-                if len(text):
-                    doc = part.column("doc").to_numpy()[text]
-                    yield pa.record_batch([pa.array(x) for x in (h, s, doc, at)], ["h", "s", "doc", "at"])
+                seq = sequence(part.column("text"), unit)
+                found = _runs(seq, unit, *_windows(seq, unit))
+                if len(found[0]):
+                    yield _as_rows(part, *found)
 
     return rows.mapInArrow(run, RUN_SCHEMA)
 
 
-def meeting_runs(rows: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
+def shorter_runs(rows: DataFrame, listed: DataFrame, unit: Unit) -> DataFrame:
+    """The windows of the runs ``listed`` (doc, at) again, in runs under the longer anchors of ``unit``."""
+    lists = listed.groupBy("doc").agg(F.collect_list(F.struct("at")).alias("runs"))
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces_of(batch, "text"):
+                seq = sequence(part.column("text"), unit)
+                starts, text, _ = listed_windows(seq, unit, part.column("runs"))
+                found = _runs(seq, unit, starts, text)
+                if len(found[0]):
+                    yield _as_rows(part, *found)
+
+    return rows.join(lists, "doc").select("doc", "text", "runs").mapInArrow(run, RUN_SCHEMA)
+
+
+def meeting_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Runs under anchors that occur more than once: those equal to all others there, and the rest.
 
     Both have doc, at, times (how often the run occurs) and least (the smallest
-    document that holds it), the second also h. Sums come before the shuffle, and
-    the joins leave a hot anchor to adaptive execution, so none is gathered in a task.
+    document that holds it), the second also h. Sums come before the shuffle. They are
+    written before they are joined: then adaptive execution can split a hot anchor
+    on the other side, which it cannot behind an aggregate.
     """
-    found = runs(rows, unit)
     anchors = found.groupBy("h").agg(
         F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("times"), F.min("doc").alias("least")
     )
     anchors = anchors.where("times > 1").select("h", (F.col("low") != F.col("high")).alias("differ"), "times", "least")
-    met = written(found.join(anchors, "h"), "meeting-runs")
+    met = written(found.join(written(anchors, "anchors"), "h"), "meeting-runs")
     same = met.where("NOT differ").select("doc", "at", "times", "least")
     rest = met.where("differ").drop("times", "least")
     each = rest.groupBy("h", "s").agg(F.count("*").alias("times"), F.min("doc").alias("least"))
-    return same, rest.join(each, ["h", "s"]).select("h", "doc", "at", "times", "least")
+    return same, rest.join(written(each, "run-counts"), ["h", "s"]).select("h", "doc", "at", "times", "least")
 
 
 def run_range(unit: Unit):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm import seeds
-from stridecast.llm.text import pieces_of, spread
+from stridecast.llm.text import pieces_of
 from stridecast.scratch import written
 
 OUT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
@@ -28,14 +28,9 @@ def _windows(unit: seeds.Unit):
             for part in pieces_of(batch, "text"):
                 seq = seeds.sequence(part.column("text"), unit)
                 lists = part.column("runs")
-                text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-                h, at = (lists.flatten().field(i).to_numpy() for i in (0, 1))
-                count = seeds.count_of(at)
-                starts = spread(seeds.start_of(at), count)
-                text, h = np.repeat(text, count), np.repeat(h, count)
-                places = starts + seq.at[text]
-                fits = places + unit.window <= seq.at[text + 1]
-                starts, text, h, places = starts[fits], text[fits], h[fits], places[fits]
+                places, text, owner = seeds.listed_windows(seq, unit, lists)
+                h = lists.flatten().field("h").to_numpy()[owner]
+                starts = places - seq.at[text]
                 w = seeds.window_hash(seq, places, unit).view(np.int64)
                 order = np.lexsort((starts, w, text))
                 again = np.zeros(len(w), np.int64)
@@ -55,13 +50,13 @@ def windows_of(rows: DataFrame, reps: DataFrame, unit: seeds.Unit) -> DataFrame:
 
 def repeated_ranges(rows: DataFrame, unit: seeds.Unit) -> DataFrame:
     """doc, a, b: words covered by windows that start earlier too."""
-    same, rest = seeds.meeting_runs(rows, unit)
+    same, rest = seeds.meeting_runs(seeds.runs(rows, unit))
     rest = written(rest, "differing-runs")
     later = (F.col("doc") > F.col("least")) | seeds.is_again()
     whole = same.where(later).unionByName(rest.where(later).drop("h")).select("doc", *seeds.run_range(unit))
     found = written(windows_of(rows, rest.where(~later).select("h", "doc", "at"), unit), "windows")
     first = found.groupBy("h", "w").agg(F.min("doc").alias("least"), F.count("*").alias("times")).where("times > 1")
-    single = found.join(first, ["h", "w"]).where((F.col("doc") > F.col("least")) | (F.col("at") % 2 == 1))
+    single = found.join(written(first, "first-windows"), ["h", "w"]).where((F.col("doc") > F.col("least")) | (F.col("at") % 2 == 1))
     start = F.shiftright("at", 1)
     return whole.unionByName(single.select("doc", start.alias("a"), (start + unit.window).alias("b")))
 
