@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm.text import pieces_of
-from stridecast.llm.tokens import Encoder
+from stridecast.llm.tokens import encoder
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -151,13 +151,13 @@ def pack(
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer, spaces)
+        ids_of = encoder(tokenizer, spaces).encode
         packer = _Packer(capacity, grain, windows, slack, TaskContext.get().partitionId() << 40)
         out: list = []
         end = np.array([end_id], np.int32)
         for batch in batches:
             for part in pieces_of(batch, "text"):
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                ids = ids_of(part.column("text"))
                 for doc, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     packer.add(doc, np.concatenate([x, end]), out)
                 if out:

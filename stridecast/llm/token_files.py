@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridecast.llm.text import pieces_of
-from stridecast.llm.tokens import Encoder
+from stridecast.llm.tokens import encoder
 
 FILE_SCHEMA = "doc_id bigint, file_key bigint, start_in_file bigint, n_tokens bigint, ids array<int>"
 _LEAST = -(1 << 63)
@@ -25,10 +25,10 @@ _LEAST = -(1 << 63)
 
 def _encode_sorted(path: str, spaces: bool, end_id: int):
     def run(batches):
-        encoder, key, before = Encoder(path, spaces), None, 0
+        ids_of, key, before = encoder(path, spaces).encode, None, 0
         for batch in batches:
             for part in pieces_of(batch, "text"):
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                ids = ids_of(part.column("text"))
                 counts = np.array([len(x) + 1 for x in ids], np.int64)
                 ends = np.cumsum(counts)
                 flat = np.full(int(ends[-1]), end_id, np.int32)

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -19,7 +20,9 @@ ODD = [
 def _texts():
     rng = random.Random(3)
     alphabet = "abcé's 12 \n\t\x1c\xa0 .,!日\U0001f642AB  "
-    return ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(500)]
+    letters = "abcéÀßÿñZ"
+    simple = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + rng.choice(["", ".", ",!", "$$$", "_", "'s"]) for _ in range(400)]
+    return ODD + simple + [" ".join(simple[a : a + 9]) for a in range(0, 400, 9)] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(500)]
 
 
 @pytest.mark.parametrize(("path", "spaces"), [(WORD, False), (BYTE, True)])
@@ -27,7 +30,7 @@ def test_pieces_give_the_ids_of_whole_texts(path, spaces):
     texts, plain = _texts(), Tokenizer.from_file(path)
     encoder = Encoder(path, spaces, limit=200)
     for a in range(0, len(texts), 50):
-        for text, ids in zip(texts[a : a + 50], encoder.encode(texts[a : a + 50]), strict=True):
+        for text, ids in zip(texts[a : a + 50], encoder.encode(pa.array(texts[a : a + 50])), strict=True):
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
