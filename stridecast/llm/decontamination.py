@@ -31,6 +31,10 @@ ITEMS = 512
 SPARE = 32
 #: Words in more than this share of the passages carry no weight, but for an item's ``LEAST_WORDS`` rarest.
 COMMON = 0.01
+#: Never fewer passages than this make a word common: each word stands in two, and small tables repeat them.
+COMMON_PASSAGES = 20
+#: Words whose sums travel in one row, and rows that meet in one group at first.
+ROWS, MEET = 64, 64
 LEAST_WORDS = 4
 _HASH = RollingHash(9)
 _MARKS = np.zeros(256, bool)
@@ -188,10 +192,12 @@ def _vectors(p: Passages, weight: np.ndarray, basis: np.ndarray) -> tuple[np.nda
 
 
 def _sketch(weight: np.ndarray, noise: np.ndarray):
-    """Rows word, part of A'(A W)."""
+    """Parts of A'(A W), ``ROWS`` words to a row."""
     width = noise.shape[1]
 
     def run(batches):
+        from pyspark import TaskContext
+
         total = np.zeros((len(weight), width), np.float32)
         for _, values in _groups(batches):
             p = _passages(values)
@@ -207,15 +213,21 @@ def _sketch(weight: np.ndarray, noise: np.ndarray):
                 part = both[:, a : a + 32]
                 total[words[begin], a : a + 32] += np.add.reduceat(part[half] + part[earlier], begin, axis=0)
         total *= weight[:, None]
-        kept = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pa.record_batch(
-            [pa.array(kept), *(pa.array(total[kept, k].astype(np.float64)) for k in range(width))],
-            ["word", *(f"y{k}" for k in range(width))],
-        )
+        out = [(k, total[k * ROWS : (k + 1) * ROWS]) for k in range(-(-len(total) // ROWS))]
+        out = [(k, x.astype("<f4").tobytes()) for k, x in out if x.any()]
+        part = TaskContext.get().partitionId() % MEET
+        columns = [[k for k, _ in out], [part] * len(out), [x for _, x in out]]
+        kinds = (pa.int32(), pa.int32(), pa.binary())
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["rows", "part", "sums"])
 
     return run
 
 
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in table.column("sums").to_pylist())
+    return pa.table({"rows": table.column("rows").slice(0, 1), "part": table.column("part").slice(0, 1), "sums": pa.array([total.astype("<f4").tobytes()], pa.binary())})
+
+
 def common_subsequence(a: list[int], places: dict[int, int], size: int) -> int:
     """Length of the longest common subsequence of ``a`` and a sequence given by the bits of each value's places."""
     full = (1 << size) - 1
@@ -235,17 +247,37 @@ def _places(item: np.ndarray) -> dict[int, int]:
     return out
 
 
-def check(text: np.ndarray, item: np.ndarray, answer: np.ndarray, weight: np.ndarray, near: int) -> tuple[int, float, int, float]:
+@dataclass
+class Target:
+    """An item as the check reads it."""
+
+    words: np.ndarray
+    places: dict[int, int]
+    answer: np.ndarray
+    answer_places: dict[int, int]
+    heavy: np.ndarray  # places of the words that carry weight
+    least: int  # different ones of these that a match must share
+
+
+def _target(item: np.ndarray, answer: np.ndarray, weight: np.ndarray) -> Target:
+    heavy = np.flatnonzero(weight[item] > 0)
+    least = min(4, -(-2 * len(np.unique(item[heavy])) // 5))
+    return Target(item, _places(item), answer, _places(answer), heavy, max(least, 1))
+
+
+def check(text: np.ndarray, target: Target, weight: np.ndarray, near: int) -> tuple[int, float, int, float]:
     """Where the item would begin in the text, and its shares: common subsequence, longest run, common part of the answer.
 
-    Shared words that carry weight vote on the place.
+    Shared words that carry weight vote on the place; without some of them there is no match.
     """
+    item = target.words
     low, high = max(0, near - len(item)), min(len(text), near + 2 * HALF + len(item))
     window = text[low:high]
-    rows, columns = np.nonzero((window[:, None] == item[None, :]) & (weight[item] > 0)[None, :])
-    if not len(rows):
+    at = np.flatnonzero(weight[window] > 0)
+    rows, columns = np.nonzero(window[at][:, None] == item[target.heavy][None, :])
+    if len(np.unique(window[at[rows]])) < target.least:
         return near, 0.0, 0, 0.0
-    shifts = rows - columns
+    shifts = at[rows] - target.heavy[columns]
     values, counts = np.unique(shifts, return_counts=True)
     # Words left out or put in move the rest a little: votes nearby count too.
     support = [(counts[np.abs(values - v) <= 3].sum(), -abs(v)) for v in values]
@@ -253,12 +285,13 @@ def check(text: np.ndarray, item: np.ndarray, answer: np.ndarray, weight: np.nda
     spare = 3 + len(item) // 6
     begin, end = max(0, shift - spare), min(len(window), shift + len(item) + spare)
     cut = window[begin:end].tolist()
-    common = common_subsequence(cut, _places(item), len(item)) / len(item)
+    common = common_subsequence(cut, target.places, len(item)) / len(item)
     i = np.arange(max(0, -shift), min(len(item), len(window) - shift))
     equal = (window[i + shift] == item[i]) & (item[i] > 0)
     edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]])))
     run = int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
-    found = common_subsequence(cut, _places(answer), len(answer)) / len(answer) if len(answer) else 0.0
+    size = len(target.answer)
+    found = common_subsequence(cut, target.answer_places, size) / size if size else 0.0
     return low + max(shift, 0), common, run, found
 
 
@@ -279,6 +312,7 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, rules: Rules):
     _, _, item_vectors, item_filled = _vectors(known, weight, basis)
     item_norm = norm(known)
     item_rows = np.flatnonzero(item_filled & (item_norm > 0))
+    aims = [_target(i, a, weight) for i, a in zip(block.items, block.answers, strict=True)]
     targets = (item_vectors[item_rows] / item_norm[item_rows][:, None]).T
 
     def run(batches):
@@ -296,7 +330,9 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, rules: Rules):
                     # Where the item begins, if its half begins where the passage does.
                     place = int(p.first[half]) - int(known.first[item_rows[c]])
                     doc = int(p.document[half])
-                    found = check(values[doc], block.items[item], block.answers[item], weight, place)
+                    if best.get((doc, item), (0,))[0] == 1.0:
+                        continue
+                    found = check(values[doc], aims[item], weight, place)
                     start, common, length_run, answer = found
                     if common >= rules.common or length_run >= rules.run or (common >= rules.paraphrase and answer >= rules.answer):
                         row = (common, float(close[r, c]), -start, length_run, answer)
@@ -324,7 +360,7 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
         frequency[word] = n
     passages = max(frequency[0], 1.0)
     weight = np.log((passages + 1) / (frequency + 0.5)).clip(0.1)
-    keep = frequency <= max(COMMON * passages, 1)
+    keep = frequency <= max(COMMON * passages, COMMON_PASSAGES)
     for item in block.items:  # an item of common words alone keeps its rarest
         words = np.unique(item)
         if keep[words].sum() < LEAST_WORDS:
@@ -333,12 +369,12 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     weight[0] = 0
     width = min(len(block.items) + SPARE, size)
     noise = np.random.default_rng(1).normal(size=(size + 1, width)).astype(np.float32)
-    schema = "word bigint, " + ", ".join(f"y{k} double" for k in range(width))
-    parts = texts.mapInArrow(_sketch(weight, noise), schema)
-    sums = parts.groupBy("word").agg(*[F.sum(f"y{k}").alias(f"y{k}") for k in range(width)]).toArrow()
+    schema = "rows int, part int, sums binary"
+    # Two steps, so that no group has a row for each task of a large cluster.
+    sums = texts.mapInArrow(_sketch(weight, noise), schema).groupBy("rows", "part").applyInArrow(_added, schema)
     total = np.zeros((size + 1, width))
-    if sums.num_rows:
-        total[sums.column("word").to_numpy()] = np.stack([sums.column(f"y{k}").to_numpy() for k in range(width)], axis=1)
+    for row in sums.groupBy("rows").applyInArrow(_added, schema).toLocalIterator():
+        total[row["rows"] * ROWS : (row["rows"] + 1) * ROWS] = np.frombuffer(row["sums"], "<f4").reshape(-1, width)
     # The items are passages too, and their space is never to be lost among the documents'.
     items = _passages(block.items)
     words, half, both, _ = _vectors(items, weight, noise)

@@ -84,4 +84,4 @@ def test_repeated_rows_and_nothing(spark, corpus):
     assert dec.benchmark_matches(none, all_items).count() == 0
     assert dec.benchmark_matches(docs, spark.createDataFrame([], ITEMS)).count() == 0
     found = sorted(tuple(r)[:2] for r in dec.benchmark_matches(docs, all_items).collect())
-    assert found[::2] == found[1::2] and {d for d, _ in found} == {0, 8}
+    assert found[::2] == found[1::2] and {d for d, _ in found} == {0, 8}, found
