@@ -28,9 +28,18 @@ def long_metric_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in SHORT_TO_LONG.items() if k in df.columns})
 
 
-def to_message(df: DataFrame, event_time: Column | None = None) -> DataFrame:
+def message_id(df: DataFrame, key) -> Column:
+    """Stable id of a row: a hash of its key columns, NULL and empty text told apart."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in key]
+    return F.sha2(F.concat_ws("\x1f", *parts).cast("binary"), 256)
+
+
+def to_message(df: DataFrame, event_time: Column | None = None, key=()) -> DataFrame:
     """One JSON text per row in column ``value``.
 
+    ``key`` names the columns that identify a row; their hash goes along as ``id``,
+    by which promotion knows a message again. Without it the text itself is the identity.
+
     A metric the table no longer has, a NULL and a NaN all become JSON null, and
     null fields stay in the text.
     """
@@ -43,6 +52,7 @@ def to_message(df: DataFrame, event_time: Column | None = None) -> DataFrame:
 
     when = F.current_timestamp() if event_time is None else event_time
     body = F.struct(
+        *([message_id(rows, key).alias("id")] if key else []),
         F.lit(MESSAGE_TYPE).alias("type"),
         iso_micros_text(when).alias("timestamp"),
         F.struct(
@@ -67,9 +77,14 @@ def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def flatten_message(parsed: DataFrame, value: str = "value") -> DataFrame:
-    """Flat row: type, event time, date, country, six metrics, and the raw text."""
+    """Flat row: id, type, event time, date, country, six metrics, and the raw text.
+
+    A message without an id is identified by its text.
+    """
+    text = F.col(value).cast("string")
     star = parsed.select(
-        F.col(value).cast("string").alias("raw_value"),
+        text.alias("raw_value"),
+        F.coalesce("json.id", F.sha2(text.cast("binary"), 256)).alias("message_id"),
         F.col(f"json.{CORRUPT_COLUMN}").isNotNull().alias("malformed"),
         F.col("json.type").alias("type"),
         parse_time(F.col("json.timestamp")).alias("event_time"),
@@ -78,6 +93,7 @@ def flatten_message(parsed: DataFrame, value: str = "value") -> DataFrame:
     return star.select(
         "raw_value",
         "malformed",
+        "message_id",
         "type",
         "event_time",
         "date",

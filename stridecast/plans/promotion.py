@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PREDICTION_KEY = ("date", "country", "model")
+#: A message scored by a model; several places share a country and a day.
+PREDICTION_KEY = ("message_id", "model")
 RECENCY = ("epoch_id", "created_at")
 
 

@@ -32,6 +32,7 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 MESSAGE_SCHEMA = T.StructType(
     [
+        T.StructField("id", T.StringType()),
         T.StructField("type", T.StringType()),
         T.StructField("timestamp", T.StringType()),
         T.StructField(
@@ -66,6 +67,8 @@ SCORED_SCHEMA = T.StructType(
         T.StructField("event_time", T.TimestampType()),
         T.StructField("reject_reason", T.StringType()),
         T.StructField("raw_value", T.StringType()),
+        T.StructField("message_id", T.StringType()),
+        T.StructField("stream_id", T.StringType()),
     ]
 )
 PREDICTION_COLUMNS = tuple(

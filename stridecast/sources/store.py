@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,58 +18,99 @@ from stridecast.scratch import empty_frame, written
 from stridecast.sources import jdbc
 
 PREDICTION_SCHEMA = T.StructType([SCORED_SCHEMA[c] for c in PREDICTION_COLUMNS])
+_ATTEMPT = ("stream_id", "epoch_id", "attempt")
+_COMMIT_SCHEMA = T.StructType(
+    [
+        T.StructField("stream_id", T.StringType()),
+        T.StructField("epoch_id", T.IntegerType()),
+        T.StructField("attempt", T.StringType()),
+        T.StructField("committed_at", T.TimestampType()),
+    ]
+)
+# A row names a month and the version that holds it, or an attempt that was taken in.
 _MANIFEST_SCHEMA = T.StructType(
     [
+        T.StructField("turn", T.IntegerType()),
         T.StructField("period", T.StringType()),
-        T.StructField("version", T.IntegerType()),
-        T.StructField("through_epoch", T.IntegerType()),
+        T.StructField("version", T.StringType()),
+        *_COMMIT_SCHEMA.fields[:3],
     ]
 )
 
 
 class FileStore:
-    """``staging/epoch_id=…/is_valid=…`` plus predictions kept in monthly versions.
-
-    A batch replaces its own staging folder, so a repeated batch leaves no
-    duplicate. Promotion rewrites only the months that new rows touch: it writes
-    a new version of those months and then appends to a small manifest, which
-    readers follow. Until the manifest rows are committed, readers see the old
-    versions whole.
+    """``staging/stream_id=…/epoch_id=…/attempt=…/is_valid=…`` plus predictions kept in monthly versions.
+
+    Batch numbers mean something only within a stream (a checkpoint and a model).
+    Every write of a batch is an attempt of its own, which counts from the moment
+    it is committed; the last one committed replaces earlier ones. Promotion takes
+    in the committed attempts that no manifest row names yet. It rewrites only the
+    months their rows touch, under a name of its own, and then appends to the
+    manifest in one file; until then readers see the old versions whole. Run one
+    promotion at a time: two at once leave no half-written month, but the later one wins it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.staging = f"{root}/staging"
+        self.commits = f"{root}/commits"
         self.data = f"{root}/predictions"
         self.manifest = f"{root}/manifest"
 
-    def write_batch(self, scored: DataFrame, batch_id: int) -> None:
-        folder = f"{self.staging}/epoch_id={batch_id}"
-        scored.drop("epoch_id").write.mode("overwrite").partitionBy("is_valid").parquet(folder)
+    def write_batch(self, scored: DataFrame, batch_id: int, stream_id: str = "batch") -> None:
+        attempt = self._write_attempt(scored, batch_id, stream_id)
+        entry = self.spark.range(1).select(
+            F.lit(stream_id).alias("stream_id"),
+            F.lit(batch_id).cast("int").alias("epoch_id"),
+            F.lit(attempt).alias("attempt"),
+            F.current_timestamp().alias("committed_at"),
+        )
+        entry.coalesce(1).write.mode("append").parquet(self.commits)
 
-    def staged(self) -> DataFrame:
-        """All staged rows; filters on ``epoch_id`` and ``is_valid`` prune folders."""
+    def _write_attempt(self, scored: DataFrame, batch_id: int, stream_id: str) -> str:
+        if not re.fullmatch("[A-Za-z0-9_.-]+", stream_id):
+            raise ValueError(f"stream id {stream_id!r} must be letters, digits, '_', '.' and '-'")
+        attempt = uuid.uuid4().hex
+        folder = self._folder(stream_id, batch_id, attempt)
+        scored.drop("epoch_id", "stream_id").write.partitionBy("is_valid").parquet(folder)
+        return attempt
+
+    def _folder(self, stream_id: str, epoch_id: int, attempt: str) -> str:
+        return f"{self.staging}/stream_id={stream_id}/epoch_id={epoch_id}/attempt={attempt}"
+
+    def _table(self, folder: str, schema: T.StructType) -> DataFrame:
+        """A table that may not have been written yet; any other failure is raised."""
         try:
-            rows = self.spark.read.schema(SCORED_SCHEMA).parquet(self.staging)
-            return rows.select(*SCORED_SCHEMA.fieldNames())
-        except AnalysisException:
-            return empty_frame(self.spark, SCORED_SCHEMA)
+            return self.spark.read.schema(schema).parquet(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty_frame(self.spark, schema)
+
+    def _committed(self) -> DataFrame:
+        """The last committed attempt of each batch."""
+        newest = F.max_by("attempt", F.struct("committed_at", "attempt")).alias("attempt")
+        return self._table(self.commits, _COMMIT_SCHEMA).groupBy("stream_id", "epoch_id").agg(newest)
+
+    def staged(self) -> DataFrame:
+        """All committed rows; filters on ``stream_id``, ``epoch_id`` and ``is_valid`` prune folders."""
+        schema = T.StructType([*SCORED_SCHEMA.fields, T.StructField("attempt", T.StringType())])
+        rows = self._table(self.staging, schema)
+        return rows.join(self._committed(), list(_ATTEMPT), "left_semi").select(*SCORED_SCHEMA.fieldNames())
 
     def quarantined(self) -> DataFrame:
         return quarantine(self.staged())
 
     def _manifest_rows(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_MANIFEST_SCHEMA).parquet(self.manifest)
-        except AnalysisException:
-            return empty_frame(self.spark, _MANIFEST_SCHEMA)
+        return self._table(self.manifest, _MANIFEST_SCHEMA)
 
-    def _versions(self) -> dict[str, int]:
+    def _versions(self) -> dict[str, str]:
         """Newest version per month: one driver row for each month of data."""
-        newest = self._manifest_rows().groupBy("period").agg(F.max("version").alias("version"))
+        months = self._manifest_rows().where("period IS NOT NULL")
+        newest = months.groupBy("period").agg(F.max_by("version", F.struct("turn", "version")).alias("version"))
         return {r["period"]: r["version"] for r in newest.collect()}
 
-    def _read_months(self, versions: dict[str, int]) -> DataFrame:
+    def _read_months(self, versions: dict[str, str]) -> DataFrame:
         folders = [f"{self.data}/version={v}/period={p}" for p, v in sorted(versions.items())]
         if not folders:
             return empty_frame(self.spark, PREDICTION_SCHEMA)
@@ -80,22 +124,28 @@ class FileStore:
         return self._read_months(versions)
 
     def promote(self, keys=PREDICTION_KEY) -> int:
-        """Take in the epochs staged since the last promotion; returns the months rewritten."""
-        state = self._manifest_rows().agg(F.max("version"), F.max("through_epoch")).first()
-        version, through = (-1 if v is None else v for v in state)
-        fresh = accepted(self.staged().where(F.col("epoch_id") > through))
-        period = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none"))
-        touched = fresh.groupBy(period.alias("period")).agg(F.max("epoch_id").alias("epoch")).collect()
-        if not touched:
+        """Take in the batches committed since the last promotion; returns the months rewritten.
+
+        Only their folders are read. One driver row for each new batch and touched month.
+        """
+        taken = self._manifest_rows().where("attempt IS NOT NULL")
+        pending = self._committed().join(taken, list(_ATTEMPT), "left_anti").select(*_ATTEMPT).collect()
+        if not pending:
             return 0
-        months = [r["period"] for r in touched]
-        merged = promote_rows(fresh, self.predictions(months), keys).withColumn("period", period)
-        gather_by(merged, "period").write.mode("overwrite").partitionBy("period").parquet(
-            f"{self.data}/version={version + 1}"
-        )
-        last = max(r["epoch"] for r in touched)
-        entry = self.spark.createDataFrame([(m, version + 1, last) for m in months], _MANIFEST_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(self.manifest)
+        folders = [self._folder(*r) for r in pending]
+        rows = self.spark.read.schema(SCORED_SCHEMA).option("basePath", self.staging).parquet(*folders)
+        fresh = accepted(rows)
+        period = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none"))
+        months = [r["period"] for r in fresh.select(period.alias("period")).distinct().collect()]
+        turn = (self._manifest_rows().agg(F.max("turn")).first()[0] or 0) + 1
+        version = uuid.uuid4().hex
+        if months:
+            merged = promote_rows(fresh, self.predictions(months), keys).withColumn("period", period)
+            gather_by(merged, "period").write.partitionBy("period").parquet(f"{self.data}/version={version}")
+        entries = [(turn, m, version, None, None, None) for m in months]
+        entries += [(turn, None, None, *r) for r in pending]
+        made = self.spark.createDataFrame(entries, _MANIFEST_SCHEMA)
+        made.coalesce(1).write.mode("append").parquet(self.manifest)
         return len(months)
 
 
@@ -103,7 +153,7 @@ class JdbcStore:
     """The same steps against database tables. Refused rows go to a file folder.
 
     The staging table is append-only, because the JDBC writer cannot upsert; a
-    repeated batch carries the same epoch and promotion removes its duplicates.
+    repeated batch carries the same message ids and promotion removes its duplicates.
     """
 
     def __init__(self, spark: SparkSession, cfg: jdbc.JdbcConfig, quarantine_folder: str):
@@ -111,10 +161,10 @@ class JdbcStore:
         self.cfg = cfg
         self.quarantine_folder = quarantine_folder
 
-    def write_batch(self, scored: DataFrame, batch_id: int) -> None:
+    def write_batch(self, scored: DataFrame, batch_id: int, stream_id: str = "batch") -> None:
         with persisted(scored) as rows:
             jdbc.write_staging(accepted(rows), self.cfg)
-            folder = f"{self.quarantine_folder}/batch={batch_id}"
+            folder = f"{self.quarantine_folder}/stream={stream_id}/batch={batch_id}"
             quarantine(rows).write.mode("overwrite").parquet(folder)
 
     def promote(self, keys=PREDICTION_KEY, after_epoch: int | None = None, split_by=None) -> None:

@@ -19,9 +19,10 @@ def message_stream(
     event_time: Column | None = None,
     max_files_per_trigger: int | None = None,
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+    key=(),
 ) -> DataFrame:
     """Stream of ``value`` texts from the Parquet files below ``root``."""
-    return to_message(shape(stream_table(spark, root, max_files_per_trigger)), event_time)
+    return to_message(shape(stream_table(spark, root, max_files_per_trigger)), event_time, key)
 
 
 def start_replay(

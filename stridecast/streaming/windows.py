@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
 
 from stridecast.schema import METRICS
-from stridecast.scratch import written
 from stridecast.streaming.runs import start_batches, with_trigger
 
 WINDOW = "15 minutes"
@@ -45,27 +43,6 @@ def window_metrics(
     )
 
 
-def late_rows(
-    staged: DataFrame, duration: str = WINDOW, delay: str = WINDOW, time: str = "event_time"
-) -> DataFrame:
-    """Rows that a watermarked window had already closed for when their batch came.
-
-    ``staged`` carries ``epoch_id``. A batch is judged by the newest event time of
-    all earlier batches. That running maximum has one row per micro-batch.
-    """
-    newest = staged.groupBy("epoch_id").agg(F.max(time).alias("_newest"))
-    earlier = Window.orderBy("epoch_id").rowsBetween(Window.unboundedPreceding, -1)
-    closed = newest.select(
-        "epoch_id",
-        (F.max("_newest").over(earlier) - F.expr(f"INTERVAL {delay}")).alias("_closed_until"),
-    )
-    return (
-        staged.join(written(closed, "epochs"), "epoch_id")
-        .where(F.window(time, duration).getField("end") <= F.col("_closed_until"))
-        .select(*staged.columns)
-    )
-
-
 def start_closed_windows(
     windows: DataFrame, folder: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:

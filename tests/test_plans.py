@@ -52,12 +52,12 @@ def test_filters_reach_the_scan(spark, folder, settings):
 
 def test_aggregates_combine_before_the_shuffle(spark):
     rows = predictions(spark, SMALL)
-    for df in (serving.kpis(rows), serving.risk_zones(rows, 0), serving.heatmap(rows), promote_rows(rows)):
+    for df in (serving.kpis(rows), serving.risk_zones(rows, 0), serving.heatmap(rows), promote_rows(rows, keys=("date", "country", "model"))):
         assert "partial_" in plan(df)
 
 
 def test_promotion_does_not_gather_versions_in_a_window(spark):
-    assert "Window" not in plan(promote_rows(predictions(spark, SMALL)))
+    assert "Window" not in plan(promote_rows(predictions(spark, SMALL), keys=("date", "country", "model")))
 
 
 def test_preview_is_a_bounded_top_k(spark):

@@ -64,17 +64,6 @@ def test_late_rows_are_dropped_across_runs(spark, folder):
     assert run()[0] == rows
 
 
-def test_late_rows_are_found_in_staged_batches(spark):
-    rows = [(0, "10:01"), (0, "10:05"), (0, "11:00"), (1, "10:07"), (1, "10:44"), (1, "12:00"), (2, "11:44"), (2, "11:46")]
-    staged = spark.createDataFrame([(e, at(t)) for e, t in rows], "epoch_id int, event_time timestamp")
-    late = windows.late_rows(staged).collect()
-    assert sorted((r["epoch_id"], r["event_time"]) for r in late) == [
-        (1, at("10:07")),
-        (1, at("10:44")),
-        (2, at("11:44")),
-    ]
-
-
 def test_changing_windows_keep_the_latest_state(spark, folder):
     source, sink, checkpoint = f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint"
     for value in (1.0, 3.0):
@@ -104,7 +93,7 @@ def test_scoring_stream_equals_batch_and_survives_restart(spark, folder):
     assert {r["epoch_id"]: r["count"] for r in staged.groupBy("epoch_id").count().collect()} == {0: 22, 1: 5}
 
     def comparable(df):
-        return sorted(map(str, df.drop("created_at").collect()))
+        return sorted(map(str, df.drop("created_at", "stream_id").collect()))
 
     batches = [
         score_batch(spark.createDataFrame([(v,) for v in part], "value string"), i, model)
@@ -125,7 +114,7 @@ def test_repeated_batch_leaves_no_duplicates(spark, folder):
 def predictions(spark, *rows):
     """(date, country, epoch, residential, valid)"""
     full = [
-        (dt.date.fromisoformat(d) if d else None, c, float(r), "{}", "m", e, at("10:00"), v, 0.0, at("09:00"), None, None)
+        (dt.date.fromisoformat(d) if d else None, c, float(r), "{}", "m", e, at("10:00"), v, 0.0, at("09:00"), None, None, f"{d}|{c}", "batch")
         for d, c, e, r, v in rows
     ]
     return spark.createDataFrame(full, SCORED_SCHEMA)
@@ -153,7 +142,7 @@ def test_latest_row_of_a_hot_key(spark):
     rows = spark.range(0, 20_000, 1, 8).selectExpr(
         "date'2021-01-01' AS date", "'a' AS country", "'m' AS model", "int(id % 1000) AS epoch_id", "id AS created_at", "id AS v"
     )
-    assert latest_rows(rows).first()["v"] == 19_999
+    assert latest_rows(rows, keys=("date", "country", "model")).first()["v"] == 19_999
 
 
 def test_store_promotes_only_new_epochs_and_touched_months(spark, folder):
@@ -171,6 +160,27 @@ def test_store_promotes_only_new_epochs_and_touched_months(spark, folder):
     assert values(store.predictions(months=["2021-02"])) == [("2021-02-01", "a", 1, 8.0)]
 
 
+def test_streams_do_not_share_batch_numbers(spark, folder):
+    store = FileStore(spark, folder)
+    for stream, country in (("one", "a"), ("two", "b")):
+        store.write_batch(predictions(spark, ("2021-01-01", country, 0, 1, True)), 0, stream)
+        assert store.promote() == 1
+    assert {(r["country"], r["stream_id"]) for r in store.predictions().collect()} == {("a", "one"), ("b", "two")}
+    store.write_batch(predictions(spark, ("2021-01-01", "c", 1, 1, False)), 1, "one")
+    assert store.promote() == 0 and store.promote() == 0
+    with pytest.raises(ValueError, match="stream id"):
+        store.write_batch(predictions(spark), 0, "a/b")
+
+
+def test_a_repeated_batch_is_taken_in_again(spark, folder):
+    store = FileStore(spark, folder)
+    store.write_batch(predictions(spark, ("2021-01-01", "a", 0, 1, True)), 0)
+    assert store.promote() == 1
+    store.write_batch(predictions(spark, ("2021-01-01", "a", 0, 1, True), ("2021-01-01", "b", 0, 2, True)), 0)
+    assert store.promote() == 1 and store.staged().count() == 2
+    assert values(store.predictions()) == [("2021-01-01", "a", 0, 1.0), ("2021-01-01", "b", 0, 2.0)]
+
+
 def test_unfinished_promotion_is_invisible(spark, folder):
     store = FileStore(spark, folder)
     store.write_batch(predictions(spark, ("2021-01-01", "a", 0, 1, True)), 0)

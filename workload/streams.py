@@ -23,15 +23,19 @@ from stridecast.streaming import windows
 from stridecast.streaming.latency import latency
 from stridecast.streaming.replay import message_stream, start_replay
 from stridecast.streaming.runs import finish, start_batches
-from stridecast.streaming.scoring import start_scoring
+from stridecast.streaming.scoring import start_scoring, stream_name
 from workload.models import FIT_TRIO, TRIO, TRIO_VALUE, rounded, trained
 from workload.registry import query
 from workload.views import MOBILITY, as_mobility, metric_doubles, predictions, sql, table
 
 
+#: Columns that together identify a row of ``lineitem``; the first two alone do not.
+KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def _lineitem_messages(rows):
     """Message texts; the ship time stands for the sending time."""
-    return to_message(as_mobility(rows, "l_shipdate"), F.col("l_shipdate"))
+    return to_message(as_mobility(rows, "l_shipdate", *KEY), F.col("l_shipdate"), KEY)
 
 
 def _messages(spark, sf_dir):
@@ -44,7 +48,8 @@ def _message_stream(spark, sf_dir):
         spark,
         f"{sf_dir}/lineitem.parquet",
         event_time=F.col("l_shipdate"),
-        shape=lambda rows: as_mobility(rows, "l_shipdate"),
+        shape=lambda rows: as_mobility(rows, "l_shipdate", *KEY),
+        key=KEY,
     )
 
 
@@ -74,7 +79,7 @@ _SCORED_SQL = (
 def _comparable(scored):
     """Without the creation time and the raw text; times without zone."""
     return rounded(
-        scored.drop("created_at", "raw_value").withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), 4
+        scored.drop("created_at", "raw_value", "message_id", "stream_id").withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), 4
     )
 
 
@@ -134,7 +139,7 @@ _FLAT_SQL = (
 
 
 def _flat(messages):
-    flat = flatten_message(parse_messages(messages)).drop("raw_value", "malformed")
+    flat = flatten_message(parse_messages(messages)).drop("raw_value", "malformed", "message_id")
     return flat.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
@@ -314,32 +319,13 @@ def t6(spark, sf_dir):
     return _plain(spark.read.parquet(folder))
 
 
-@query(
-    "t8_late_rows",
-    "WITH staged AS (SELECT event_id, ts, CAST(length(event_type) AS INTEGER) AS epoch_id FROM events), "
-    "closed AS (SELECT epoch_id, max(max(ts)) OVER (ORDER BY epoch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
-    "- INTERVAL '15 minutes' AS closed_until FROM staged GROUP BY epoch_id) "
-    "SELECT event_id, staged.epoch_id FROM staged JOIN closed USING (epoch_id) "
-    "WHERE time_bucket(INTERVAL '15 minutes', ts) + INTERVAL '15 minutes' <= closed_until",
-)
-def t8_late(spark, sf_dir):
-    """Events as if each name length had come in its own batch."""
-    staged = table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").alias("event_time"), F.length("event_type").alias("epoch_id")
-    )
-    return windows.late_rows(staged).select("event_id", "epoch_id")
-
-
-_STAGED_TWICE = (
-    "numbered AS (SELECT *, row_number() OVER (PARTITION BY date, country ORDER BY epoch_id DESC, "
-    "residential DESC, features_json DESC) AS rank_in_key FROM "
-    "(SELECT date, country_region AS country, CAST(residential AS DOUBLE) AS residential, "
+_PROMOTED = (
+    "promoted AS (SELECT date, country_region AS country, CAST(residential AS DOUBLE) AS residential, "
     f"{_VECTOR} AS features_json, 'LinearRegression' AS model, epoch_id, round({TRIO_VALUE}, 4) + 0.0 AS prediction, "
-    "CAST(date AS TIMESTAMP) AS event_time FROM "
+    "CAST(date AS TIMESTAMP) AS event_time, true AS is_valid FROM "
     f"(SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, "
     "CAST(CASE WHEN l_linenumber <= 3 THEN 0 ELSE 1 END AS INTEGER) AS epoch_id FROM lineitem), trio "
-    "WHERE transit IS NOT NULL)), "
-    "promoted AS (SELECT * EXCLUDE (rank_in_key), true AS is_valid FROM numbered WHERE rank_in_key = 1)"
+    "WHERE transit IS NOT NULL)"
 )
 
 
@@ -356,7 +342,7 @@ def _promoted_store(spark, sf_dir) -> FileStore:
     return store
 
 
-@query("t9_promote", sql("SELECT * FROM promoted", f"{FIT_TRIO}, {_STAGED_TWICE}"))
+@query("t9_promote", sql("SELECT * FROM promoted", f"{FIT_TRIO}, {_PROMOTED}"))
 def t9(spark, sf_dir):
     return _comparable(_promoted_store(spark, sf_dir).predictions())
 
@@ -372,15 +358,100 @@ def t9(spark, sf_dir):
 def t9_rows(spark, sf_dir):
     """Promotion of a staged table, applied a second time to its own result."""
     staged = predictions(spark, sf_dir)
-    once = promote_rows(staged)
-    return promote_rows(staged, once)
+    keys = ("date", "country", "model")
+    once = promote_rows(staged, keys=keys)
+    return promote_rows(staged, once, keys)
+
+
+_SUMS = "count(*) AS n, CAST(sum(residential) AS DOUBLE) AS total"
+
+
+def _sums(rows, *keys):
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("residential").alias("total"))
+
+
+@query(
+    "t9_two_models",
+    sql(
+        f"SELECT model, {_SUMS} FROM mobility, (SELECT unnest(['LinearRegression', 'Second']) AS model) "
+        "WHERE transit IS NOT NULL GROUP BY model"
+    ),
+)
+def t9_models(spark, sf_dir):
+    """Two models over the same messages, each with a batch 0, in one store."""
+    store, model = FileStore(spark, new_folder(spark, "store")), trained(spark, sf_dir)
+    for name in ("LinearRegression", "Second"):
+        stream = stream_name("checkpoint", name)
+        store.write_batch(score_batch(_messages(spark, sf_dir), 0, model, name, stream_id=stream), 0, stream)
+    store.promote()
+    return _sums(store.predictions(), "model")
+
+
+_HALVES = sql(
+    f"SELECT part, {_SUMS} FROM (SELECT *, CASE WHEN transit IS NULL THEN NULL WHEN odd THEN 'late' ELSE 'early' END AS part FROM "
+    f"(SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, l_linenumber > 3 AS odd FROM lineitem)) "
+    "WHERE part IS NOT NULL GROUP BY part"
+)
+
+
+@query("t9_new_checkpoint", _HALVES)
+def t9_checkpoint(spark, sf_dir):
+    """Batch 0 of a first checkpoint promoted, then batch 0 of a second one."""
+    store, model = FileStore(spark, new_folder(spark, "store")), trained(spark, sf_dir)
+    lineitem = table(spark, sf_dir, "lineitem")
+    for stream, part in (("early", "l_linenumber <= 3"), ("late", "l_linenumber > 3")):
+        scored = score_batch(_lineitem_messages(lineitem.where(part)), 0, model, stream_id=stream)
+        store.write_batch(scored, 0, stream)
+        store.promote()
+    return _sums(store.predictions(), F.col("stream_id").alias("part"))
+
+
+@query("t9_partial_epoch", sql(f"SELECT {_SUMS} FROM mobility WHERE transit IS NOT NULL"))
+def t9_partial(spark, sf_dir):
+    """Half a batch without a commit counts for nothing; half a batch committed is replaced by the whole one."""
+    store, model = FileStore(spark, new_folder(spark, "store")), trained(spark, sf_dir)
+    lineitem = table(spark, sf_dir, "lineitem")
+    half = score_batch(_lineitem_messages(lineitem.where("l_linenumber <= 3")), 0, model)
+    store._write_attempt(half, 0, "batch")
+    if store.promote() != 0:
+        raise AssertionError("a batch without a commit must not be promoted")
+    store.write_batch(half, 0)
+    store.promote()
+    store.write_batch(score_batch(_lineitem_messages(lineitem), 0, model), 0)
+    store.promote()
+    return _sums(store.predictions())
+
+
+@query(
+    "t8_invalid_messages",
+    sql(
+        "SELECT reject_reason, count(*) AS n FROM (SELECT CASE l_linenumber WHEN 1 THEN 'missing country' "
+        "WHEN 2 THEN 'missing date' WHEN 3 THEN 'type other' WHEN 4 THEN 'missing type,date' END AS reject_reason "
+        "FROM lineitem WHERE l_linenumber <= 4) GROUP BY 1"
+    ),
+)
+def t8_invalid(spark, sf_dir):
+    """Messages without country, date or type, or of another type, are refused with their reason."""
+    rows = as_mobility(table(spark, sf_dir, "lineitem").where("l_linenumber <= 4"), "l_shipdate", *KEY)
+    n = F.col("l_linenumber")
+    rows = rows.withColumn("country_region", F.when(n != 1, F.col("country_region")))
+    rows = rows.withColumn("date", F.when(~n.isin(2, 4), F.col("date"))).withColumn("transit", F.coalesce("transit", F.lit(0)))
+    other, none = '"type":"other"', '"type":null'
+    plain = '"type":"mobility"'
+    text = [
+        to_message(rows.where(n == i), F.col("l_shipdate"), KEY).select(F.replace("value", F.lit(plain), F.lit(to)).alias("value"))
+        for i, to in ((1, plain), (2, plain), (3, other), (4, none))
+    ]
+    messages = text[0].unionByName(text[1]).unionByName(text[2]).unionByName(text[3])
+    refused = score_batch(messages, 0, trained(spark, sf_dir)).where("NOT is_valid")
+    return refused.groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
 @query(
     "s6_read_predictions",
     sql(
         "SELECT date, residential, prediction FROM promoted WHERE country = 'country_A'",
-        f"{FIT_TRIO}, {_STAGED_TWICE}",
+        f"{FIT_TRIO}, {_PROMOTED}",
     ),
 )
 def s6(spark, sf_dir):

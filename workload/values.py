@@ -57,7 +57,7 @@ _DOUBLES = metric_doubles()
 )
 def f3(spark, sf_dir):
     flat = messages.flatten_message(messages.parse_messages(_messages(spark, sf_dir)))
-    return flat.drop("raw_value", "malformed").withColumn(
+    return flat.drop("raw_value", "malformed", "message_id").withColumn(
         "event_time", F.col("event_time").cast("timestamp_ntz")
     )
 
