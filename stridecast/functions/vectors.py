@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,32 +29,11 @@ def feature_columns(df: DataFrame, exclude) -> list[str]:
     return [c for c in df.columns if c not in barred]
 
 
-def _values_of_vectors(vectors: pa.Array) -> pa.Array:
-    """Stored vectors are structs: dense ones (type 1) hold all values, sparse ones
-    (type 0) a size and the positions of the values they hold."""
-    values, indices = (pc.struct_field(vectors, name) for name in ("values", "indices"))
-    held = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
-    sparse = pc.fill_null(pc.equal(pc.struct_field(vectors, "type"), 0), False).to_numpy(zero_copy_only=False)
-    size = pc.fill_null(pc.struct_field(vectors, "size"), 0).to_numpy(zero_copy_only=False)
-    starts = np.concatenate([[0], np.cumsum(np.where(sparse, size, held))])
-    place = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
-    place[np.repeat(sparse, held)] = indices.filter(pa.array(sparse)).flatten()
-    full = np.zeros(starts[-1])
-    full[np.repeat(starts[:-1], held) + place] = values.flatten()
-    return pa.ListArray.from_arrays(
-        pa.array(starts, pa.int32()), pa.array(full), mask=vectors.is_null()
-    )
-
-
-def register_vector_functions(spark: SparkSession, batch_rows: int | None = 500) -> None:
-    """Make ``vector_to_array(v)`` callable from SQL text.
-
-    Spark has no SQL name for its native conversion, so SQL text gets a function
-    on whole Arrow batches; DataFrame code should use :func:`features_array`.
-    Spark measures a batch after each row it adds, which for vectors takes time in
-    proportion to the batch, so ``batch_rows`` also lowers the session's batch size
-    (None leaves it alone).
+def with_arrays(df: DataFrame) -> DataFrame:
+    """For every vector column ``v`` a column ``v_array``, for SQL text to select from.
+
+    Spark's own conversion runs in the JVM and has no name in SQL text. A NULL vector stays NULL.
     """
-    if batch_rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
-    spark.udf.register("vector_to_array", F.arrow_udf(_values_of_vectors, "array<double>"))
+    vectors = [f.name for f in df.schema if isinstance(f.dataType, VectorUDT)]
+    arrays = {f"{name}_array": F.when(F.col(name).isNotNull(), features_array(name)) for name in vectors}
+    return df.withColumns(arrays)

@@ -14,12 +14,15 @@ def read_mobility_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
 
     Strict: the header must name exactly the declared columns in order; a
     mismatch raises instead of shifting values. Otherwise columns are picked by
-    name from a wider file, a missing one is NULL, and text that does not convert
-    becomes NULL.
+    name from wider files, a missing one is NULL, and text that does not convert
+    becomes NULL; files whose headers differ from each other raise and are to be read one by one.
     """
     if strict:
         return spark.read.csv(path, header=True, schema=MOBILITY_SCHEMA, enforceSchema=False)
-    text = spark.read.csv(path, header=True)
+    names = spark.read.csv(path, header=True).schema
+    # Names come from one file; the second reader holds every file's whole header against them.
+    checked = spark.read.option("columnPruning", False)
+    text = checked.csv(path, header=True, schema=names, enforceSchema=False)
 
     def typed(field):
         found = F.col(field.name) if field.name in text.columns else F.lit(None)
@@ -29,8 +32,12 @@ def read_mobility_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
 
 
 def explore_csv(spark: SparkSession, path: str, sampling: float = 1.0) -> DataFrame:
-    """CSV with inferred types. Inference reads a ``sampling`` share of the rows once more."""
-    return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling)
+    """CSV with inferred types. Inference reads a ``sampling`` share of the rows once more.
+
+    Files whose headers differ from each other raise.
+    """
+    schema = spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling).schema
+    return spark.read.option("columnPruning", False).csv(path, header=True, schema=schema, enforceSchema=False)
 
 
 def write_mobility(

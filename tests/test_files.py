@@ -111,3 +111,11 @@ def test_explore_infers_types(spark, folder):
     mobility(spark, 4).write.csv(folder, header=True)
     kinds = dict(files.explore_csv(spark, folder).dtypes)
     assert kinds["date"] == "date" and kinds["residential_percent_change_from_baseline"] == "int"
+
+
+def test_files_with_different_headers_are_refused(spark, folder):
+    spark.createDataFrame([("1", "2021-01-01")], "place_id string, date string").write.option("header", True).csv(folder)
+    spark.createDataFrame([("2021-01-02", "2")], "date string, place_id string").write.option("header", True).mode("append").csv(folder)
+    for read in (lambda: files.read_mobility_csv(spark, folder, strict=False), lambda: files.explore_csv(spark, folder)):
+        with pytest.raises(Exception, match="(?i)header"):
+            read().collect()

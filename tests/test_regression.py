@@ -5,9 +5,10 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridecast.functions import vectors
 from stridecast.operators import regression
@@ -115,14 +116,12 @@ def test_assembler_modes(spark):
         vectors.assemble(rows, ("a", "b")).collect()
 
 
-def test_vector_to_array_in_sql_text(spark):
-    vectors.register_vector_functions(spark)
-    given = [(0, Vectors.dense([1.0, 2.0])), (1, Vectors.sparse(3, [1], [5.0])), (2, None)]
-    rows = spark.createDataFrame(given, ["id", "v"])
-    found = spark.sql("SELECT id, vector_to_array(v) AS a FROM {rows} ORDER BY id", rows=rows).collect()
-    assert [r["a"] for r in found] == [[1.0, 2.0], [0.0, 5.0, 0.0], None]
-    dense = spark.sql("SELECT vector_to_array(v) AS a FROM {rows} WHERE id <> 1 ORDER BY id", rows=rows).collect()
-    assert [r["a"] for r in dense] == [[1.0, 2.0], None]
+def test_vectors_as_arrays_in_sql_text(spark):
+    rows = [(0, Vectors.dense(1.0, 2.0)), (1, Vectors.sparse(3, [1], [5.0])), (2, None)]
+    df = vectors.with_arrays(spark.createDataFrame(rows, T.StructType([T.StructField("id", T.LongType()), T.StructField("v", VectorUDT())])))
+    found = spark.sql("SELECT id, v_array FROM {rows} ORDER BY id", rows=df)
+    assert [r["v_array"] for r in found.collect()] == [[1.0, 2.0], [0.0, 5.0, 0.0], None]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hash_split_is_stable(rows):

@@ -225,13 +225,8 @@ def f17(spark, sf_dir):
 
 @query("u1_vector_to_array_in_sql", _PAIR_SQL)
 def u1(spark, sf_dir):
-    vectors.register_vector_functions(spark)
-    rows = vectors.assemble(mobility(spark, sf_dir), _PAIR)
-    return spark.sql(
-        "SELECT place_id, date, a[0] AS f0, a[1] AS f1 "
-        "FROM (SELECT place_id, date, vector_to_array(features) AS a FROM {rows})",
-        rows=rows,
-    )
+    rows = vectors.with_arrays(vectors.assemble(mobility(spark, sf_dir), _PAIR))
+    return spark.sql("SELECT place_id, date, features_array[0] AS f0, features_array[1] AS f1 FROM {rows}", rows=rows)
 
 
 _P = "date, country, residential, model"
