@@ -89,7 +89,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # One row per file: the only global order that is needed.
     before = Window.orderBy("file_key").rowsBetween(Window.unboundedPreceding, -1)
     first = sums.select("file_key", F.coalesce(F.sum("in_file").over(before), F.lit(0)).alias("before"))
-    return rows.join(first, "file_key").select(
+    # A row of 16 bytes for each file: broadcast, so that the ids are not shuffled to meet it.
+    return rows.join(F.broadcast(first), "file_key").select(
         "doc_id", (F.col("start_in_file") + F.col("before")).alias("start"), "n_tokens", "ids"
     )
 
