@@ -29,8 +29,8 @@ from workload.registry import query
 from workload.views import MOBILITY, as_mobility, metric_doubles, predictions, sql, table
 
 
-#: Columns that together identify a row of ``lineitem``; the first two alone do not.
-KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+#: Columns that together identify a row of ``lineitem``; the first four alone do not at every size.
+KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
 def _lineitem_messages(rows):
