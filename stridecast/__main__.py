@@ -9,10 +9,11 @@ from stridecast.operators.filters import by_model
 from stridecast.operators.serving import box_stats, heatmap, histogram, kpis, risk_zones
 from stridecast.plans.ingest import ingest_csv
 from stridecast.plans.training import TRAINERS, train_from_table
+from stridecast.schema import DATE_PARTS
 from stridecast.session import build_session
 from stridecast.sources.jdbc import JdbcConfig, connection_works, read_predictions
 from stridecast.sources.kafka import MessageConfig, mobility_stream
-from stridecast.sources.models import load_model
+from stridecast.sources.models import load_newest
 from stridecast.sources.store import FileStore, JdbcStore
 from stridecast.streaming.replay import message_stream, start_replay
 from stridecast.streaming.runs import finish
@@ -36,7 +37,9 @@ def _store(spark, args):
 
 
 def _ingest(spark, args):
-    print(ingest_csv(spark, args.input, args.output, strict=not args.by_name, max_null=args.max_null))
+    parts = DATE_PARTS[:2] if args.months else DATE_PARTS
+    strict = not args.by_name
+    print(ingest_csv(spark, args.input, args.output, strict, args.rejects, max_null=args.max_null, partition_by=parts))
 
 
 def _train(spark, args):
@@ -49,7 +52,7 @@ def _replay(spark, args):
 
 
 def _score(spark, args):
-    model = load_model(spark, f"{args.models}/{args.kind}")
+    model = load_newest(spark, f"{args.models}/registry", args.kind)
     stream = mobility_stream(spark, _messages(args))
     finish(
         start_scoring(
@@ -106,6 +109,8 @@ def main(argv=None) -> None:
         ("--input", needed),
         ("--output", needed),
         ("--by-name", {"action": "store_true"}),
+        ("--months", {"action": "store_true"}),
+        ("--rejects", {}),
         ("--max-null", {"type": float, "default": 0.5}),
     )
     command("train", _train, ("--input", needed), ("--models", needed), kind)

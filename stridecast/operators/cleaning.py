@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.operators.profile import wide_counts
@@ -29,23 +29,26 @@ def drop_thin_rows(df: DataFrame, thresh: int = 5, subset=None) -> DataFrame:
     return df.na.drop(thresh=thresh, subset=list(subset) if subset else None)
 
 
-def with_reject_reason(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def with_reject_reason(df: DataFrame, types: dict[str, str], also: Column | None = None) -> DataFrame:
     """Convert text columns and name, per row, the columns whose text did not convert.
 
-    A NULL input is not a failure. Rows without failures get a NULL reason.
+    A NULL input is not a failure. Rows without failures get a NULL reason. ``also``
+    is a further reason, NULL for rows it does not concern.
     """
     failed = [
         F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items()
     ]
-    named = F.concat_ws(",", *failed)
+    named = F.concat_ws(",", *failed, *([] if also is None else [also]))
     return df.withColumn("reject_reason", F.when(named != "", named)).withColumns(
         {c: F.col(c).try_cast(t) for c, t in types.items()}
     )
 
 
-def split_valid(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+def split_valid(
+    df: DataFrame, types: dict[str, str], also: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(rows that convert, rows that do not with ``reject_reason`` and their original text)."""
-    checked = with_reject_reason(df.withColumn("_source", F.struct(*types)), types)
+    checked = with_reject_reason(df.withColumn("_source", F.struct(*types)), types, also)
     good = checked.where(F.col("reject_reason").isNull()).drop("reject_reason", "_source")
     bad = checked.where(F.col("reject_reason").isNotNull()).withColumns(
         {c: F.col(f"_source.{c}") for c in types}

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from stridecast.functions.times import with_date_parts
-from stridecast.operators.cleaning import sparse_columns
-from stridecast.schema import DATE_PARTS, PLACE_COLUMNS
-from stridecast.sources.files import read_mobility_csv, write_mobility
+from stridecast.operators.cleaning import sparse_columns, split_valid
+from stridecast.schema import CORRUPT_COLUMN, DATE_PARTS, MOBILITY_SCHEMA, PLACE_COLUMNS
+from stridecast.sources.files import read_mobility_text, write_mobility
+
+CONVERTED = {f.name: f.dataType.simpleString() for f in MOBILITY_SCHEMA if f.dataType.simpleString() != "string"}
 
 
 @dataclass(frozen=True)
@@ -18,6 +21,7 @@ class IngestResult:
     n_columns: int
     dropped: tuple[str, ...]
     root: str
+    n_rejected: int = 0
 
 
 def ingest_table(df: DataFrame, root: str, max_null: float = 0.5, partition_by=DATE_PARTS) -> IngestResult:
@@ -31,5 +35,21 @@ def ingest_table(df: DataFrame, root: str, max_null: float = 0.5, partition_by=D
     return IngestResult(n_rows, len(shaped.columns), tuple(dropped), root)
 
 
-def ingest_csv(spark: SparkSession, path: str, root: str, strict: bool = True, **options) -> IngestResult:
-    return ingest_table(read_mobility_csv(spark, path, strict), root, **options)
+def ingest_csv(
+    spark: SparkSession, path: str, root: str, strict: bool = True, rejects: str | None = None, **options
+) -> IngestResult:
+    """Load the rows whose cells all convert.
+
+    The others, and rows with too many or too few cells, are counted in the pass
+    that counts nulls. With a folder in ``rejects`` they are written there as they
+    were read, with the reason.
+    """
+    seen = Observation()
+    text = read_mobility_text(spark, path, strict).observe(seen, F.count(F.lit(1)).alias("n_read"))
+    torn = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("number of cells"))
+    good, bad = split_valid(text, CONVERTED, torn)
+    result = ingest_table(good.drop(CORRUPT_COLUMN), root, **options)
+    n_rejected = seen.get["n_read"] - result.n_rows
+    if rejects and n_rejected:
+        bad.write.mode("overwrite").parquet(rejects)
+    return replace(result, n_rejected=n_rejected)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,8 @@ def fit_and_save(
 
     ``holdout_share=None`` trains and evaluates on all rows. A contracted feature
     that ingest pruned is recorded as dropped, or refused with
-    ``allow_missing=False``.
+    ``allow_missing=False``. Each training saves to a folder of its own; the
+    registry names it once it is complete.
     """
     rows = prepare(table)
     if allow_missing:
@@ -63,8 +65,8 @@ def fit_and_save(
     metrics = training_metrics(model) if holdout_share is None else None
     if metrics is None:
         metrics = metrics_of(score(model, judged_on), contract.label)
-    path = f"{models_root}/{kind}"
-    save_model(model, path)
+    path = f"{models_root}/{kind}/{uuid.uuid4().hex}"
+    save_model(model, path, overwrite=False)
     register_model(table.sparkSession, f"{models_root}/registry", kind, path, contract, metrics)
     return TrainingResult(path, contract, metrics)
 

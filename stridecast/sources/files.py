@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridecast.operators.layout import gather_by
-from stridecast.schema import DATE_PARTS, MOBILITY_SCHEMA
+from stridecast.schema import CORRUPT_COLUMN, DATE_PARTS, MOBILITY_SCHEMA
 
 
 def read_mobility_csv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -19,16 +20,23 @@ def read_mobility_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
     """
     if strict:
         return spark.read.csv(path, header=True, schema=MOBILITY_SCHEMA, enforceSchema=False)
-    names = spark.read.csv(path, header=True).schema
-    # Names come from one file; the second reader holds every file's whole header against them.
-    checked = spark.read.option("columnPruning", False)
-    text = checked.csv(path, header=True, schema=names, enforceSchema=False)
+    text = read_mobility_text(spark, path, strict=False)
+    return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in MOBILITY_SCHEMA])
 
-    def typed(field):
-        found = F.col(field.name) if field.name in text.columns else F.lit(None)
-        return found.try_cast(field.dataType).alias(field.name)
 
-    return text.select(*[typed(f) for f in MOBILITY_SCHEMA])
+def read_mobility_text(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """The cells of :func:`read_mobility_csv` as text, nothing converted.
+
+    ``_corrupt_record`` holds the line of a row with more or fewer cells than the header.
+    """
+    wanted = MOBILITY_SCHEMA.fieldNames()
+    present = wanted if strict else spark.read.csv(path, header=True).columns
+    names = T.StructType([T.StructField(n, T.StringType()) for n in [*present, CORRUPT_COLUMN]])
+    # Names are declared or come from one file; the reader holds every file's whole header against them.
+    whole = spark.read.option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    text = whole.csv(path, header=True, schema=names, enforceSchema=False)
+    cells = [F.col(n) if n in present else F.lit(None).cast("string").alias(n) for n in wanted]
+    return text.select(*cells, CORRUPT_COLUMN)
 
 
 def explore_csv(spark: SparkSession, path: str, sampling: float = 1.0) -> DataFrame:

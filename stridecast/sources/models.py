@@ -70,3 +70,15 @@ def register_model(
 
 def registered_models(spark: SparkSession, registry: str) -> DataFrame:
     return spark.read.parquet(registry)
+
+
+def load_newest(spark: SparkSession, registry: str, name: str):
+    """The model of this name that was registered last; none is an error."""
+    try:
+        known = registered_models(spark, registry).where(F.col("model") == name)
+        newest = known.orderBy(F.desc("registered_at"), F.desc("path")).select("path").first()
+    except AnalysisException as error:
+        raise FileNotFoundError(f"no registry at {registry}") from error
+    if newest is None:
+        raise FileNotFoundError(f"no model named {name} in {registry}")
+    return load_model(spark, newest["path"])

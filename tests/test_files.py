@@ -59,6 +59,22 @@ def test_ingest_drops_sparse_and_round_trips(spark, folder):
     assert files.list_parquet_files(spark, folder).count() >= n_days
 
 
+def test_ingest_refuses_and_counts_bad_rows(spark, folder):
+    good = "MA,Morocco,p,2021-01-01,1,2,3,4,5,6"
+    spoilt = ["MA,Morocco,p,soon,1,2,3,4,5,6", "MA,Morocco,p,2021-01-01,many,2,3,4,5,x"]
+    torn = ["MA,Morocco,p,2021-01-01,1", good + ",7,8"]
+    path = write_lines(spark, folder + "-csv", [",".join(NAMES), good, good, *spoilt, *torn, "MA,Morocco,p,2021-01-02,1,,3,4,5,6"])
+    result = ingest_csv(spark, path, folder, rejects=folder + "-rejects")
+    assert (result.n_rows, result.n_rejected) == (3, 4)
+    assert files.read_mobility(spark, folder).count() == 3
+    refused = spark.read.parquet(folder + "-rejects")
+    why = sorted(r["reject_reason"] for r in refused.collect())
+    assert why == sorted(["date", f"{NAMES[4]},{NAMES[9]}", "number of cells", "number of cells"])
+    assert refused.where(F.col("date") == "soon").count() == 1
+    by_name = ingest_csv(spark, path, folder + "-2", strict=False)
+    assert (by_name.n_rows, by_name.n_rejected) == (3, 4)
+
+
 def test_null_date_is_kept_in_the_default_partition(spark, folder):
     rows = mobility(spark, 3).withColumn("date", F.when(F.col("country_region") == "Spain", F.col("date")))
     ingest_table(rows, folder, max_null=0.9)

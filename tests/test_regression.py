@@ -107,6 +107,19 @@ def test_saving_twice_and_loading_nothing(spark, model, folder):
         models.load_model(spark, folder + "-absent")
 
 
+def test_each_training_keeps_its_model_and_the_newest_is_loaded(spark, folder):
+    ingest_table(mobility(spark), folder + "-table", max_null=0.9)
+    paths = [train_from_table(spark, folder + "-table", folder, contract=FeatureContract("residential", (f,))).path for f in ("retail", "grocery")]
+    assert len(set(paths)) == 2
+    kept = [regression.contract_of(models.load_model(spark, p)).features for p in paths]
+    assert kept == [("retail",), ("grocery",)]
+    newest = models.load_newest(spark, folder + "/registry", "LinearRegression")
+    assert regression.contract_of(newest).features == ("grocery",)
+    for registry, name in ((folder + "/registry", "RandomForest"), (folder + "/absent", "LinearRegression")):
+        with pytest.raises(FileNotFoundError):
+            models.load_newest(spark, registry, name)
+
+
 def test_assembler_modes(spark):
     rows = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (float("nan"), 2.0)], "a double, b double")
     assert vectors.assemble(rows, ("a", "b"), "skip").count() == 1

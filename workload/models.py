@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stridecast.functions import vectors
+from stridecast.functions.messages import long_metric_names
 from stridecast.operators import regression
+from stridecast.plans.training import fit_and_save
 from stridecast.schema import FeatureContract
 from stridecast.scratch import new_folder
 from stridecast.sources import models
@@ -149,16 +151,37 @@ def s8(spark, sf_dir):
 
 @query(
     "k4_save_model",
-    "SELECT 'retail' AS label, 'grocery,transit,workplaces' AS features, CAST(3 AS INTEGER) AS n_features",
+    sql(
+        " UNION ALL ".join(
+            f"SELECT 'retail' AS label, '{f}' AS feature, round(b_{f}, 6) AS coefficient FROM trio" for f in TRIO.features
+        ),
+        FIT_TRIO,
+    ),
 )
 def k4(spark, sf_dir):
-    """Saved twice to one path, then the contract read back from the saved model."""
+    """Saved twice to one path, then contract and coefficients read back from the saved model."""
     path = _saved(spark, sf_dir)
     models.save_model(trained(spark, sf_dir), path)
     model = models.load_model(spark, path)
     kept = regression.contract_of(model)
-    row = (kept.label, ",".join(kept.features), model.stages[-1].numFeatures)
-    return spark.createDataFrame([row], "label string, features string, n_features int")
+    rows = [(kept.label, f, float(b)) for f, b in zip(kept.features, model.stages[-1].coefficients, strict=True)]
+    return rounded(spark.createDataFrame(rows, "label string, feature string, coefficient double"))
+
+
+@query(
+    "m9_load_newest",
+    sql("SELECT 'late' AS fitted_on, round(intercept, 6) AS intercept, round(b_grocery, 6) AS grocery FROM solo",
+        "late AS (SELECT * FROM mobility WHERE workplaces >= 5), " + fit_ctes("solo", "late", SINGLE.label, SINGLE.features)),
+)
+def m9_newest(spark, sf_dir):
+    """Two trainings under one name keep a folder each; the later one is loaded."""
+    root, rows = new_folder(spark, "models"), mobility(spark, sf_dir)
+    late = rows.where("workplaces >= 5")
+    for table in (rows, late):
+        fit_and_save(long_metric_names(table), root, contract=SINGLE, holdout_share=None)
+    fitted = models.load_newest(spark, f"{root}/registry", "LinearRegression").stages[-1]
+    row = ("late", float(fitted.intercept), float(fitted.coefficients[0]))
+    return rounded(spark.createDataFrame([row], "fitted_on string, intercept double, grocery double"))
 
 
 @query(

@@ -127,6 +127,22 @@ def t7(spark, sf_dir):
     )
 
 
+@query(
+    "t11_latency_of_table",
+    "SELECT epoch_id, count(*) AS n, quantile_disc(s, 0.5) AS p50_seconds, quantile_disc(s, 0.95) AS p95_seconds, "
+    "max(s) AS max_seconds FROM (SELECT CAST(l_suppkey % 7 AS INTEGER) AS epoch_id, "
+    "CAST(l_linenumber * 3600 AS DOUBLE) AS s FROM lineitem) GROUP BY epoch_id",
+)
+def t11_table(spark, sf_dir):
+    """Every row takes as many hours as its line number."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_suppkey % 7 AS INT) AS epoch_id",
+        "CAST(l_shipdate AS TIMESTAMP) AS event_time",
+        "CAST(l_shipdate AS TIMESTAMP) + l_linenumber * INTERVAL '1' HOUR AS created_at",
+    )
+    return latency(rows)
+
+
 @query("t11_latency")
 def t11(spark, sf_dir):
     return latency(_scored_store(spark, sf_dir).staged())

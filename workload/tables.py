@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stridecast.functions.messages import long_metric_names
 from stridecast.functions.times import with_date_parts
 from stridecast.operators import cleaning, layout, profile
 from stridecast.operators.serving import date_bounds
 from stridecast.plans.ingest import ingest_csv, ingest_table
-from stridecast.schema import MOBILITY_SCHEMA
+from stridecast.schema import MOBILITY_SCHEMA, SHORT_TO_LONG
 from stridecast.scratch import new_folder, written
 from stridecast.sources import files
 from workload.registry import query
-from workload.views import LONG_COLUMNS, MOBILITY, mobility, mobility_long, sql, table
+from workload.views import LONG_COLUMNS, MOBILITY, as_mobility, mobility, mobility_long, sql, table
 
 _PARTS_SQL = (
     'CAST(year(date) AS INTEGER) AS "année", CAST(month(date) AS INTEGER) AS mois, '
@@ -80,6 +81,29 @@ def k1(spark, sf_dir):
     return files.read_mobility(spark, root)
 
 
+_REJECTED = {7: SHORT_TO_LONG["grocery"], 6: "date"}
+
+
+@query(
+    "k1_ingest_rejects",
+    "SELECT CASE l_linenumber "
+    + " ".join(f"WHEN {n} THEN '{c}'" for n, c in _REJECTED.items())
+    + " ELSE 'loaded' END AS outcome, count(*) AS n, CAST(sum(round(l_discount*100)) AS BIGINT) AS workplaces "
+    "FROM lineitem GROUP BY 1",
+)
+def k1_rejects(spark, sf_dir):
+    """A file with text in place of some dates and numbers: what was loaded, what was refused and why."""
+    rows = long_metric_names(as_mobility(table(spark, sf_dir, "lineitem"), "l_linenumber"))
+    spoilt = {c: F.when(F.col("l_linenumber") == n, "n/a").otherwise(F.col(c).cast("string")) for n, c in _REJECTED.items()}
+    path, root, rejects = (new_folder(spark, label) for label in ("csv", "mobility", "rejects"))
+    rows.withColumns(spoilt).drop("l_linenumber").write.csv(path, header=True)
+    ingest_csv(spark, path, root, rejects=rejects, partition_by=("année", "mois"))
+    workplaces = F.col(SHORT_TO_LONG["workplaces"]).cast("bigint").alias("workplaces")
+    loaded = files.read_mobility(spark, root).select(F.lit("loaded").alias("outcome"), workplaces)
+    refused = spark.read.parquet(rejects).select(F.col("reject_reason").alias("outcome"), workplaces)
+    return loaded.unionByName(refused).groupBy("outcome").agg(F.count("*").alias("n"), F.sum("workplaces").alias("workplaces"))
+
+
 @query("q1_row_count", sql("SELECT count(*) AS n_rows FROM mobility"))
 def q1(spark, sf_dir):
     return profile.row_count(mobility(spark, sf_dir))
