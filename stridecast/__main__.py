@@ -18,7 +18,7 @@ from stridecast.sources.store import FileStore, JdbcStore
 from stridecast.streaming.replay import message_stream, start_replay
 from stridecast.streaming.runs import finish
 from stridecast.streaming.scoring import start_scoring
-from stridecast.streaming.windows import WINDOW, start_closed_windows, window_metrics
+from stridecast.streaming.windows import WINDOW, start_closed_windows, start_untimed, window_metrics
 
 
 def _messages(args) -> MessageConfig:
@@ -64,7 +64,16 @@ def _score(spark, args):
 def _windows(spark, args):
     flat = flatten_message(parse_messages(mobility_stream(spark, _messages(args))))
     found = window_metrics(flat, args.window, watermark=args.delay)
-    finish(start_closed_windows(found, args.output, args.checkpoint, args.interval))
+    left_out = None
+    if args.rejects:
+        left_out = start_untimed(flat, args.rejects, f"{args.checkpoint}-rejects", args.interval)
+    try:
+        finish(start_closed_windows(found, args.output, args.checkpoint, args.interval))
+    finally:
+        if left_out and args.interval:
+            left_out.stop()
+    if left_out:
+        finish(left_out)
 
 
 def _promote(spark, args):
@@ -122,6 +131,7 @@ def main(argv=None) -> None:
         ("--output", needed),
         ("--window", {"default": WINDOW}),
         ("--delay", {"default": WINDOW}),
+        ("--rejects", {}),
         *transport,
     )
     command("promote", _promote, *store)

@@ -96,12 +96,17 @@ def list_parquet_files(spark: SparkSession, root: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A Parquet table as a stream of its files; ``path`` is a folder or a single file."""
-    table = spark.read.parquet(path)
-    reader = spark.readStream.schema(table.schema)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    folder, _, name = path.rstrip("/").rpartition("/")
-    files = table.inputFiles()
-    if len(files) == 1 and files[0].endswith(f"/{name}"):
+    if _is_file(spark, path):
+        folder, _, name = path.rpartition("/")
         return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """One status call to the file system that holds ``path``; no listing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.getFileStatus(place).isFile()

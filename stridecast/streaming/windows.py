@@ -56,6 +56,24 @@ def start_closed_windows(
     return with_trigger(writer, interval).start()
 
 
+def untimed(flat: DataFrame, time: str = "event_time") -> DataFrame:
+    """Messages that belong to no window, as they were read, with the reason."""
+    reason = F.when(F.col("malformed"), "malformed").otherwise("no readable time")
+    return flat.where(F.col(time).isNull()).select("raw_value", reason.alias("reject_reason"))
+
+
+def start_untimed(flat: DataFrame, folder: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Write the messages that windows leave out, each once. The source is read a second time for it."""
+    writer = (
+        untimed(flat)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .option("path", folder)
+    )
+    return with_trigger(writer, interval).start()
+
+
 def start_changing_windows(
     windows: DataFrame, folder: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:

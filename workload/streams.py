@@ -322,6 +322,25 @@ def t5_messages_stream(spark, sf_dir):
     return _plain(windows.current_windows(spark, folder))
 
 
+@query(
+    "t8_untimed_messages",
+    "SELECT reject_reason, count(*) AS n FROM (SELECT CASE l_linenumber WHEN 1 THEN 'no readable time' "
+    "WHEN 2 THEN 'malformed' END AS reject_reason FROM lineitem WHERE l_linenumber <= 2) GROUP BY 1",
+)
+def t8_untimed(spark, sf_dir):
+    """A stream in which first lines have an unreadable time, second lines lost their end and the others are whole."""
+    cfg = MessageConfig(folder=new_folder(spark, "messages"))
+    rows, n = as_mobility(table(spark, sf_dir, "lineitem"), "l_shipdate", *KEY), F.col("l_linenumber")
+    whole = F.col("value")
+    spoilt = ((n == 1, F.regexp_replace(whole, '"timestamp":"[^"]*"', '"timestamp":"soon"')), (n == 2, F.substr(whole, F.lit(1), F.length(whole) - 1)))
+    for rule, text in (*spoilt, (n > 2, whole)):
+        publish(to_message(rows.where(rule), F.col("l_shipdate"), KEY).select(text.alias("value")), cfg)
+    folder = new_folder(spark, "rejects")
+    flat = flatten_message(parse_messages(mobility_stream(spark, cfg)))
+    finish(windows.start_untimed(flat, folder, new_folder(spark, "checkpoint")))
+    return spark.read.parquet(folder).groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
 @query(
     "t6_watermark",
     f"SELECT * FROM ({_WINDOW_SQL}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '15 minutes'",
