@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stridecast.functions.messages import flatten_message, parse_messages
 from stridecast.operators.regression import train
 from stridecast.plans.promotion import latest_rows, promote_rows
 from stridecast.plans.scoring import score_batch
@@ -64,6 +65,17 @@ def test_late_rows_are_dropped_across_runs(spark, folder):
     assert run()[0] == rows
 
 
+def test_messages_without_a_time_are_set_aside_once(spark, folder):
+    cfg = MessageConfig(folder=f"{folder}/messages")
+    soon = message(2).replace("2024-01-01T00:00:00", "soon")
+    send(spark, cfg, message(1), soon, "garbage")
+    flat = flatten_message(parse_messages(mobility_stream(spark, cfg)))
+    for _ in range(2):
+        finish(windows.start_untimed(flat, f"{folder}/rejects", f"{folder}/checkpoint"))
+    seen = spark.read.parquet(f"{folder}/rejects").collect()
+    assert sorted(map(tuple, seen)) == [("garbage", "malformed"), (soon, "no readable time")]
+
+
 def test_changing_windows_keep_the_latest_state(spark, folder):
     source, sink, checkpoint = f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint"
     for value in (1.0, 3.0):
