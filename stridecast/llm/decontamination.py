@@ -1,8 +1,9 @@
 """Benchmark passages in documents: latent semantic retrieval, then word-by-word checks.
 
 Documents are read as numbers of benchmark words (all others are 0) in passages
-of 64 words that overlap by half. Words of the benchmark that stand in few
-passages carry weight. A randomised singular value decomposition of the weighted
+of 64 words that overlap by half. Every word of the benchmark carries weight, less
+if it stands in many passages: a passage that very many documents copy makes its own
+words frequent, and is still to be found by them. A randomised singular value decomposition of the weighted
 passages, documents' and items' together, gives the latent space: every task adds up its part of
 A'(A W) for a random W, Spark sums the parts word by word, and the driver makes a basis of the sum,
 whose size is that of the benchmark's vocabulary. Passages whose latent vector is
@@ -29,13 +30,12 @@ HALF = 32  # words in half a passage
 ITEMS = 512
 #: Latent dimensions beside those that a block's items span.
 SPARE = 32
-#: Words in more than this share of the passages carry no weight, but for an item's ``LEAST_WORDS`` rarest.
-COMMON = 0.01
-#: Never fewer passages than this make a word common: each word stands in two, and small tables repeat them.
-COMMON_PASSAGES = 20
+#: The most frequent words are counted in a dense table and multiplied, the others added one by one.
+OFTEN = 512
+#: Passages whose candidates are held against their items' words together.
+TOGETHER = 1024
 #: Words whose sums travel in one row, and rows that meet in one group at first.
 ROWS, MEET = 64, 64
-LEAST_WORDS = 4
 _HASH = RollingHash(9)
 _MARKS = np.zeros(256, bool)
 _MARKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
@@ -255,33 +255,48 @@ class Target:
     places: dict[int, int]
     answer: np.ndarray
     answer_places: dict[int, int]
-    heavy: np.ndarray  # places of the words that carry weight
-    least: int  # different ones of these that a match must share
+    order: np.ndarray  # places by word
+    least: int  # different words that a match must share
 
 
-def _target(item: np.ndarray, answer: np.ndarray, weight: np.ndarray) -> Target:
-    heavy = np.flatnonzero(weight[item] > 0)
-    least = min(4, -(-2 * len(np.unique(item[heavy])) // 5))
-    return Target(item, _places(item), answer, _places(answer), heavy, max(least, 1))
+def _target(item: np.ndarray, answer: np.ndarray) -> Target:
+    least = min(4, -(-2 * len(np.unique(item)) // 5))
+    return Target(item, _places(item), answer, _places(answer), np.argsort(item, kind="stable"), max(least, 1))
+
+
+def _equal(window: np.ndarray, target: Target) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the window and in the item that hold the same word."""
+    known = np.flatnonzero(window)
+    ordered = target.words[target.order]
+    first = np.searchsorted(ordered, window[known], "left")
+    counts = np.searchsorted(ordered, window[known], "right") - first
+    return np.repeat(known, counts), target.order[spread(first, counts)]
+
+
+def _shift(shifts: np.ndarray, votes: np.ndarray) -> int:
+    """The shift with most votes; words left out or put in move the rest a little: votes nearby count too."""
+    least = int(shifts.min())
+    hist = np.bincount(shifts - least, votes)
+    upto = np.concatenate([[0], np.cumsum(hist)])
+    i = np.arange(len(hist))
+    support = upto[np.minimum(i + 4, len(hist))] - upto[np.maximum(i - 3, 0)]
+    best = int(np.argmax(support))
+    around = hist[max(best - 3, 0) : best + 4]
+    return least + max(best - 3, 0) + int(np.argmax(around))
 
 
 def check(text: np.ndarray, target: Target, weight: np.ndarray, near: int) -> tuple[int, float, int, float]:
     """Where the item would begin in the text, and its shares: common subsequence, longest run, common part of the answer.
 
-    Shared words that carry weight vote on the place; without some of them there is no match.
+    Shared words vote on the place by their weight; without some of them there is no match.
     """
     item = target.words
     low, high = max(0, near - len(item)), min(len(text), near + 2 * HALF + len(item))
     window = text[low:high]
-    at = np.flatnonzero(weight[window] > 0)
-    rows, columns = np.nonzero(window[at][:, None] == item[target.heavy][None, :])
-    if len(np.unique(window[at[rows]])) < target.least:
+    rows, columns = _equal(window, target)
+    if len(np.unique(item[columns])) < target.least:
         return near, 0.0, 0, 0.0
-    shifts = at[rows] - target.heavy[columns]
-    values, counts = np.unique(shifts, return_counts=True)
-    # Words left out or put in move the rest a little: votes nearby count too.
-    support = [(counts[np.abs(values - v) <= 3].sum(), -abs(v)) for v in values]
-    shift = int(values[max(range(len(values)), key=lambda i: support[i])])
+    shift = _shift(rows - columns, weight[item[columns]])
     spare = 3 + len(item) // 6
     begin, end = max(0, shift - spare), min(len(window), shift + len(item) + spare)
     cut = window[begin:end].tolist()
@@ -295,7 +310,62 @@ def check(text: np.ndarray, target: Target, weight: np.ndarray, near: int) -> tu
     return low + max(shift, 0), common, run, found
 
 
-def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, rules: Rules):
+def _sums(p: Passages, table: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each passage the sum of its words' rows of ``table``, and whether it holds a word of the benchmark."""
+    place = np.full(len(table), -1)
+    place[often] = np.arange(len(often))
+    chosen = np.flatnonzero(p.words)
+    words, half = p.words[chosen], p.half[chosen]
+    at = place[words]
+    dense = at >= 0
+    counts = np.bincount(half[dense] * len(often) + at[dense], minlength=len(p.document) * len(often)).astype(np.float32)
+    sums = counts.reshape(len(p.document), len(often)) @ table[often]
+    words, rest = words[~dense], half[~dense]
+    if len(words):
+        begin = np.flatnonzero(np.concatenate([[True], np.diff(rest) != 0]))
+        sums[rest[begin]] += np.add.reduceat(table[words], begin, axis=0)
+    filled = np.zeros(len(p.document), bool)
+    filled[half] = True
+    nxt = np.flatnonzero(p.joined)
+    later = sums[nxt + 1]
+    sums[nxt] += later
+    return sums, filled | np.concatenate([filled[1:] & p.joined[:-1], [False]])
+
+
+def _plausible(p: Passages, items: list[np.ndarray], share: float):
+    """Which pairs of a passage and an item may have ``share`` of the item's words in a common subsequence.
+
+    Only pairs are refused in which so many of the item's words do not stand anywhere in the words that ``check`` reads.
+    """
+    new = np.flatnonzero(np.concatenate([[True], np.diff(p.document) != 0]))
+    begin = new[p.document]
+    end = np.append(new, len(p.document))[p.document + 1]
+    own = [np.unique(item[item > 0], return_counts=True) for item in items]
+    reach = np.array([-(-len(item) // HALF) for item in items])
+    width = int(max((w[-1] for w, _ in own if len(w)), default=0)) + 1
+
+    def run(half: np.ndarray, back: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """``back``: how many halves before the passage the item would begin."""
+        low = np.minimum(np.maximum(half - back - reach[item], begin[half]), end[half])
+        high = np.maximum(np.minimum(half - back + 2 + reach[item], end[half]), low)
+        base, top = int(low.min()), int(high.max())
+        seen = np.zeros((top - base + 1, width), np.uint16)
+        a, b = np.searchsorted(p.half, (base, top))
+        seen[p.half[a:b] - base + 1, p.words[a:b]] = 1
+        # Wraps around, which does no harm: a window has fewer halves than that.
+        np.cumsum(seen, axis=0, dtype=np.uint16, out=seen)
+        out = np.zeros(len(half), bool)
+        order = np.argsort(item, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+            words, counts = own[item[some[0]]]
+            found = seen[np.ix_(high[some] - base, words)] != seen[np.ix_(low[some] - base, words)]
+            out[some] = found @ counts >= share * len(items[item[some[0]]]) - 1e-6
+        return out
+
+    return run
+
+
+def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndarray, rules: Rules):
     known = _passages(block.items)
     size = len(weight)
 
@@ -312,21 +382,28 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, rules: Rules):
     _, _, item_vectors, item_filled = _vectors(known, weight, basis)
     item_norm = norm(known)
     item_rows = np.flatnonzero(item_filled & (item_norm > 0))
-    aims = [_target(i, a, weight) for i, a in zip(block.items, block.answers, strict=True)]
-    targets = (item_vectors[item_rows] / item_norm[item_rows][:, None]).T
+    aims = [_target(i, a) for i, a in zip(block.items, block.answers, strict=True)]
+    # A passage's vector times the items' vectors, word by word.
+    table = basis @ (item_vectors[item_rows] / item_norm[item_rows][:, None]).T.astype(np.float32) * weight[:, None]
+    owner, back = known.document[item_rows], known.first[item_rows] // HALF
 
     def run(batches):
         for ids, values in _groups(batches):
             p = _passages(values)
-            _, _, both, filled = _vectors(p, weight, basis)
+            both, filled = _sums(p, table, often)
             length = norm(p)
             rows = np.flatnonzero(filled & (length > 0))
+            may = _plausible(p, block.items, min(rules.common, rules.paraphrase))
             best: dict[tuple, tuple] = {}
-            for a in range(0, len(rows), 4096):
-                some = rows[a : a + 4096]
-                close = (both[some] / length[some][:, None]) @ targets
-                for r, c in zip(*np.nonzero(close >= rules.cosine), strict=True):
-                    half, item = int(some[r]), int(known.document[item_rows[c]])
+            for a in range(0, len(rows), TOGETHER):
+                some = rows[a : a + TOGETHER]
+                close = both[some] / length[some][:, None]
+                near, aim = np.nonzero(close >= rules.cosine)
+                if len(near):
+                    kept = may(some[near], back[aim], owner[aim])
+                    near, aim = near[kept], aim[kept]
+                for r, c in zip(near, aim, strict=True):
+                    half, item = int(some[r]), int(owner[c])
                     # Where the item begins, if its half begins where the passage does.
                     place = int(p.first[half]) - int(known.first[item_rows[c]])
                     doc = int(p.document[half])
@@ -359,14 +436,9 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     for word, n in counts.groupBy("word").agg(F.sum("n")).collect():
         frequency[word] = n
     passages = max(frequency[0], 1.0)
-    weight = np.log((passages + 1) / (frequency + 0.5)).clip(0.1)
-    keep = frequency <= max(COMMON * passages, COMMON_PASSAGES)
-    for item in block.items:  # an item of common words alone keeps its rarest
-        words = np.unique(item)
-        if keep[words].sum() < LEAST_WORDS:
-            keep[words[np.argsort(frequency[words], kind="stable")[:LEAST_WORDS]]] = True
-    weight = np.where(keep, weight, 0.0).astype(np.float32)
+    weight = np.log((passages + 1) / (frequency + 0.5)).clip(0.1).astype(np.float32)
     weight[0] = 0
+    often = 1 + np.argsort(-frequency[1:], kind="stable")[:OFTEN]
     width = min(len(block.items) + SPARE, size)
     noise = np.random.default_rng(1).normal(size=(size + 1, width)).astype(np.float32)
     schema = "rows int, part int, sums binary"
@@ -382,7 +454,7 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     np.add.at(own, words, both[half] * weight[words][:, None])
     scale = np.linalg.norm(total) / max(np.linalg.norm(own), 1e-9)
     basis = np.linalg.qr(total + own * max(scale, 1.0))[0].astype(np.float32)
-    return texts.mapInArrow(_matches(block, weight, basis, rules), MATCHES)
+    return texts.mapInArrow(_matches(block, weight, basis, often, rules), MATCHES)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:

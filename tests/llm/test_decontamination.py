@@ -85,3 +85,19 @@ def test_repeated_rows_and_nothing(spark, corpus):
     assert dec.benchmark_matches(docs, spark.createDataFrame([], ITEMS)).count() == 0
     found = sorted(tuple(r)[:2] for r in dec.benchmark_matches(docs, all_items).collect())
     assert found[::2] == found[1::2] and {d for d, _ in found} == {0, 8}, found
+
+
+def test_an_item_that_a_third_of_the_documents_copy_in_part_is_found(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(_word(rng) for _ in range(40)), "") for i in range(20)]
+    part = items[7][1].split(" ")[:34]
+    rows = []
+    for doc in range(900):
+        words = [_word(rng) for _ in range(300)]
+        if doc % 3 == 0:
+            place = rng.randrange(len(words))
+            words[place:place] = part
+        rows.append((doc, " ".join(words), ""))
+    found = dec.benchmark_matches(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, 7) for d in range(0, 900, 3)}
+    assert all(r["common"] == 0.85 and r["run"] == 34 for r in found)
