@@ -5,12 +5,12 @@ of 64 words that overlap by half. Every word of the benchmark carries weight, le
 if it stands in many passages: a passage that very many documents copy makes its own
 words frequent, and is still to be found by them. A randomised singular value decomposition of the weighted
 passages, documents' and items' together, gives the latent space: every task adds up its part of
-A'(A W) for a random W, Spark sums the parts word by word, and the driver makes a basis of the sum,
-whose size is that of the benchmark's vocabulary. Passages whose latent vector is
+A'(A W) for a random W, Spark sums the parts word by word, and the driver makes a basis of the sum
+and of the items' own passages, which are spanned in full. Passages whose latent vector is
 close to an item's are aligned with the item and checked by the longest common
 subsequence, the longest common run, and the item's last sentence (its answer).
 
-Items are taken in blocks of ``ITEMS``; each block searches all documents.
+Items are taken in blocks of ``ITEMS``, or fewer if they have more than ``ITEM_HALVES`` half passages; each block searches all documents.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from stridecast.scratch import written
 
 HALF = 32  # words in half a passage
 ITEMS = 512
+#: Half passages of a block's items, each a latent dimension; a longer item is a block by itself.
+ITEM_HALVES = 512
 #: Latent dimensions beside those that a block's items span.
 SPARE = 32
 #: The most frequent words are counted in a dense table and multiplied, the others added one by one.
@@ -332,8 +334,8 @@ def _sums(p: Passages, table: np.ndarray, often: np.ndarray) -> tuple[np.ndarray
     return sums, filled | np.concatenate([filled[1:] & p.joined[:-1], [False]])
 
 
-def _plausible(p: Passages, items: list[np.ndarray], share: float):
-    """Which pairs of a passage and an item may have ``share`` of the item's words in a common subsequence.
+def _plausible(p: Passages, items: list[np.ndarray], share: float, least: int):
+    """Which pairs of a passage and an item may have ``share`` of the item's words, or ``least`` words, in common.
 
     Only pairs are refused in which so many of the item's words do not stand anywhere in the words that ``check`` reads.
     """
@@ -359,7 +361,7 @@ def _plausible(p: Passages, items: list[np.ndarray], share: float):
         for some in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
             words, counts = own[item[some[0]]]
             found = seen[np.ix_(high[some] - base, words)] != seen[np.ix_(low[some] - base, words)]
-            out[some] = found @ counts >= share * len(items[item[some[0]]]) - 1e-6
+            out[some] = found @ counts >= min(share * len(items[item[some[0]]]), least) - 1e-6
         return out
 
     return run
@@ -393,7 +395,7 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
             both, filled = _sums(p, table, often)
             length = norm(p)
             rows = np.flatnonzero(filled & (length > 0))
-            may = _plausible(p, block.items, min(rules.common, rules.paraphrase))
+            may = _plausible(p, block.items, min(rules.common, rules.paraphrase), rules.run)
             best: dict[tuple, tuple] = {}
             for a in range(0, len(rows), TOGETHER):
                 some = rows[a : a + TOGETHER]
@@ -439,21 +441,20 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     weight = np.log((passages + 1) / (frequency + 0.5)).clip(0.1).astype(np.float32)
     weight[0] = 0
     often = 1 + np.argsort(-frequency[1:], kind="stable")[:OFTEN]
-    width = min(len(block.items) + SPARE, size)
-    noise = np.random.default_rng(1).normal(size=(size + 1, width)).astype(np.float32)
+    noise = np.random.default_rng(1).normal(size=(size + 1, SPARE)).astype(np.float32)
     schema = "rows int, part int, sums binary"
     # Two steps, so that no group has a row for each task of a large cluster.
     sums = texts.mapInArrow(_sketch(weight, noise), schema).groupBy("rows", "part").applyInArrow(_added, schema)
-    total = np.zeros((size + 1, width))
+    total = np.zeros((size + 1, SPARE))
     for row in sums.groupBy("rows").applyInArrow(_added, schema).toLocalIterator():
-        total[row["rows"] * ROWS : (row["rows"] + 1) * ROWS] = np.frombuffer(row["sums"], "<f4").reshape(-1, width)
-    # The items are passages too, and their space is never to be lost among the documents'.
+        total[row["rows"] * ROWS : (row["rows"] + 1) * ROWS] = np.frombuffer(row["sums"], "<f4").reshape(-1, SPARE)
+    # The items are passages too: they span dimensions of their own, which documents never take.
     items = _passages(block.items)
-    words, half, both, _ = _vectors(items, weight, noise)
-    own = np.zeros_like(total)
-    np.add.at(own, words, both[half] * weight[words][:, None])
-    scale = np.linalg.norm(total) / max(np.linalg.norm(own), 1e-9)
-    basis = np.linalg.qr(total + own * max(scale, 1.0))[0].astype(np.float32)
+    own = np.zeros((size + 1, len(items.document)))
+    np.add.at(own, (items.words, items.half), weight[items.words])
+    own[:, items.joined] += own[:, 1:][:, items.joined[:-1]]
+    scale = np.linalg.norm(own) / max(np.linalg.norm(total), 1e-9)
+    basis = np.linalg.qr(np.concatenate([own, total * scale], axis=1))[0].astype(np.float32)
     return texts.mapInArrow(_matches(block, weight, basis, often, rules), MATCHES)
 
 
@@ -470,7 +471,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The items are the stated query set; they pass the driver block by block.
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    found, block = None, []
+    found, block, halves = None, [], 0
 
     def searched(block):
         nonlocal found
@@ -478,10 +479,12 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None
         found = part if found is None else found.unionByName(part)
 
     for row in items.where(F.trim(F.coalesce("text", F.lit(""))).rlike(r"[^\x20\x09-\x0D]")).orderBy("item_id", "text").toLocalIterator():
-        block.append(row)
-        if len(block) == ITEMS:
+        own = -(-len(row["text"].split()) // HALF)
+        if block and (len(block) >= ITEMS or halves + own > ITEM_HALVES):
             searched(block)
-            block = []
+            block, halves = [], 0
+        block.append(row)
+        halves += own
     if block:
         searched(block)
     if found is None:

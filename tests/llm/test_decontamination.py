@@ -101,3 +101,20 @@ def test_an_item_that_a_third_of_the_documents_copy_in_part_is_found(spark):
     found = dec.benchmark_matches(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, 7) for d in range(0, 900, 3)}
     assert all(r["common"] == 0.85 and r["run"] == 34 for r in found)
+
+
+@pytest.mark.parametrize("halves", [512, 100])
+def test_short_runs_of_long_items_are_found(spark, halves, monkeypatch):
+    monkeypatch.setattr(dec, "ITEM_HALVES", halves, raising=False)
+    rng = random.Random(6)
+    items = [(i, " ".join(_word(rng) for _ in range(500)), "") for i in range(32)]
+    rows, planted = [], set()
+    for doc in range(128):
+        words = [_word(rng) for _ in range(200)]
+        item, body, _ = items[doc % 32]
+        start, place = rng.randrange(481), rng.randrange(201)
+        words[place:place] = body.split(" ")[start : start + 20]
+        rows.append((doc, " ".join(words), ""))
+        planted.add((doc, item, 20))
+    found = dec.benchmark_matches(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"], r["run"]) for r in found} == planted
