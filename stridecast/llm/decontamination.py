@@ -9,6 +9,7 @@ A'(A W) for a random W, Spark sums the parts word by word, and the driver makes
 and of the items' own passages, which are spanned in full. Passages whose latent vector is
 close to an item's are aligned with the item and checked by the longest common
 subsequence, the longest common run, and the item's last sentence (its answer).
+Runs long enough to decide alone are looked up by hash, whatever the cosine is.
 
 Items are taken in blocks of ``ITEMS``, or fewer if they have more than ``ITEM_HALVES`` half passages; each block searches all documents.
 """
@@ -39,6 +40,7 @@ TOGETHER = 1024
 #: Words whose sums travel in one row, and rows that meet in one group at first.
 ROWS, MEET = 64, 64
 _HASH = RollingHash(9)
+_RUNS = RollingHash(10)
 _MARKS = np.zeros(256, bool)
 _MARKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 MATCHES = "doc_id bigint, item_id bigint, start_word bigint, cosine double, common double, run bigint, answer double"
@@ -258,12 +260,10 @@ class Target:
     answer: np.ndarray
     answer_places: dict[int, int]
     order: np.ndarray  # places by word
-    least: int  # different words that a match must share
 
 
 def _target(item: np.ndarray, answer: np.ndarray) -> Target:
-    least = min(4, -(-2 * len(np.unique(item)) // 5))
-    return Target(item, _places(item), answer, _places(answer), np.argsort(item, kind="stable"), max(least, 1))
+    return Target(item, _places(item), answer, _places(answer), np.argsort(item, kind="stable"))
 
 
 def _equal(window: np.ndarray, target: Target) -> tuple[np.ndarray, np.ndarray]:
@@ -287,29 +287,70 @@ def _shift(shifts: np.ndarray, votes: np.ndarray) -> int:
     return least + max(best - 3, 0) + int(np.argmax(around))
 
 
+def _longest(shifts: np.ndarray, columns: np.ndarray, size: int) -> tuple[int, int]:
+    """Most equal words in a row, and the shift where they stand."""
+    key = np.sort(shifts * (size + 1) + columns)
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(key) != 1, [True]]))
+    longest = int(np.argmax(np.diff(edges)))
+    return int(edges[longest + 1] - edges[longest]), int(key[edges[longest]] // (size + 1))
+
+
 def check(text: np.ndarray, target: Target, weight: np.ndarray, near: int) -> tuple[int, float, int, float]:
     """Where the item would begin in the text, and its shares: common subsequence, longest run, common part of the answer.
 
-    Shared words vote on the place by their weight; without some of them there is no match.
+    Shared words vote on the place, by their weight and one by one; the longest run gives a third.
+    The place with the longest common subsequence counts.
     """
     item = target.words
     low, high = max(0, near - len(item)), min(len(text), near + 2 * HALF + len(item))
     window = text[low:high]
     rows, columns = _equal(window, target)
-    if len(np.unique(item[columns])) < target.least:
+    if not len(rows):
         return near, 0.0, 0, 0.0
-    shift = _shift(rows - columns, weight[item[columns]])
+    shifts = rows - columns
+    run, along = _longest(shifts, columns, len(item))
     spare = 3 + len(item) // 6
-    begin, end = max(0, shift - spare), min(len(window), shift + len(item) + spare)
-    cut = window[begin:end].tolist()
-    common = common_subsequence(cut, target.places, len(item)) / len(item)
-    i = np.arange(max(0, -shift), min(len(item), len(window) - shift))
-    equal = (window[i + shift] == item[i]) & (item[i] > 0)
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]])))
-    run = int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
-    size = len(target.answer)
-    found = common_subsequence(cut, target.answer_places, size) / size if size else 0.0
-    return low + max(shift, 0), common, run, found
+    best = (-1.0, 0.0, 0)
+    for shift in {_shift(shifts, weight[item[columns]]), _shift(shifts, np.ones(len(shifts))), along}:
+        begin, end = max(0, shift - spare), min(len(window), shift + len(item) + spare)
+        part = window[begin:end].tolist()
+        common = common_subsequence(part, target.places, len(item)) / len(item)
+        size = len(target.answer)
+        found = common_subsequence(part, target.answer_places, size) / size if size else 0.0
+        best = max(best, (common, found, -shift))
+    common, found, shift = best
+    return low + max(-shift, 0), common, run, found
+
+
+def _run_starts(words: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``length`` words of the benchmark stand in a row, and their hashes; ``end``: where each word's text ends."""
+    others = np.concatenate([[0], np.cumsum(words == 0)])
+    starts = np.arange(max(len(words) - length + 1, 0))
+    starts = starts[(others[starts + length] == others[starts]) & (starts + length <= end[starts])]
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    return starts, _RUNS.of(_RUNS.prefix(words.astype(np.uint64)), starts, starts + length)
+
+
+def _run_lookup(items: list[np.ndarray], length: int):
+    """Finds the pairs of places, in some texts and in the items, where equal runs of ``length`` words begin."""
+
+    def flat(values: list[np.ndarray]):
+        lengths = np.array([len(v) for v in values], np.int64)
+        words = np.concatenate(values) if values else np.zeros(0, np.int64)
+        return _run_starts(words, np.repeat(np.cumsum(lengths), lengths), length)
+
+    places, hashes = flat(items)
+    order = np.argsort(hashes, kind="stable")
+    places, hashes = places[order], hashes[order]
+
+    def run(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        starts, found = flat(values)
+        first = np.searchsorted(hashes, found, "left")
+        counts = np.searchsorted(hashes, found, "right") - first
+        return np.repeat(starts, counts), places[spread(first, counts)]
+
+    return run
 
 
 def _sums(p: Passages, table: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,8 +375,8 @@ def _sums(p: Passages, table: np.ndarray, often: np.ndarray) -> tuple[np.ndarray
     return sums, filled | np.concatenate([filled[1:] & p.joined[:-1], [False]])
 
 
-def _plausible(p: Passages, items: list[np.ndarray], share: float, least: int):
-    """Which pairs of a passage and an item may have ``share`` of the item's words, or ``least`` words, in common.
+def _plausible(p: Passages, items: list[np.ndarray], share: float):
+    """Which pairs of a passage and an item may have ``share`` of the item's words in a common subsequence.
 
     Only pairs are refused in which so many of the item's words do not stand anywhere in the words that ``check`` reads.
     """
@@ -361,7 +402,7 @@ def _plausible(p: Passages, items: list[np.ndarray], share: float, least: int):
         for some in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
             words, counts = own[item[some[0]]]
             found = seen[np.ix_(high[some] - base, words)] != seen[np.ix_(low[some] - base, words)]
-            out[some] = found @ counts >= min(share * len(items[item[some[0]]]), least) - 1e-6
+            out[some] = found @ counts >= share * len(items[item[some[0]]]) - 1e-6
         return out
 
     return run
@@ -387,6 +428,9 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
     aims = [_target(i, a) for i, a in zip(block.items, block.answers, strict=True)]
     # A passage's vector times the items' vectors, word by word.
     table = basis @ (item_vectors[item_rows] / item_norm[item_rows][:, None]).T.astype(np.float32) * weight[:, None]
+    column = np.zeros(len(known.document), np.int64)
+    column[item_rows] = np.arange(len(item_rows))
+    runs = _run_lookup(block.items, rules.run)
     owner, back = known.document[item_rows], known.first[item_rows] // HALF
 
     def run(batches):
@@ -395,8 +439,13 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
             both, filled = _sums(p, table, often)
             length = norm(p)
             rows = np.flatnonzero(filled & (length > 0))
-            may = _plausible(p, block.items, min(rules.common, rules.paraphrase), rules.run)
+            may = _plausible(p, block.items, min(rules.common, rules.paraphrase))
+            in_text, in_item = runs(values)
+            # Pairs of the halves where equal runs begin.
+            equal = np.unique(p.half[in_text] * len(known.document) + known.half[in_item])
+            equal_row, equal_aim = np.searchsorted(rows, equal // len(known.document)), column[equal % len(known.document)]
             best: dict[tuple, tuple] = {}
+            tried: set[tuple] = set()
             for a in range(0, len(rows), TOGETHER):
                 some = rows[a : a + TOGETHER]
                 close = both[some] / length[some][:, None]
@@ -404,13 +453,18 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
                 if len(near):
                     kept = may(some[near], back[aim], owner[aim])
                     near, aim = near[kept], aim[kept]
+                x, y = np.searchsorted(equal_row, (a, a + TOGETHER))
+                near, aim = np.divmod(
+                    np.union1d(near * len(item_rows) + aim, (equal_row[x:y] - a) * len(item_rows) + equal_aim[x:y]), len(item_rows)
+                )
                 for r, c in zip(near, aim, strict=True):
                     half, item = int(some[r]), int(owner[c])
                     # Where the item begins, if its half begins where the passage does.
                     place = int(p.first[half]) - int(known.first[item_rows[c]])
                     doc = int(p.document[half])
-                    if best.get((doc, item), (0,))[0] == 1.0:
+                    if best.get((doc, item), (0,))[0] == 1.0 or (doc, item, place) in tried:
                         continue
+                    tried.add((doc, item, place))
                     found = check(values[doc], aims[item], weight, place)
                     start, common, length_run, answer = found
                     if common >= rules.common or length_run >= rules.run or (common >= rules.paraphrase and answer >= rules.answer):

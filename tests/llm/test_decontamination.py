@@ -118,3 +118,21 @@ def test_short_runs_of_long_items_are_found(spark, halves, monkeypatch):
         planted.add((doc, item, 20))
     found = dec.benchmark_matches(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)).collect()
     assert {(r["doc_id"], r["item_id"], r["run"]) for r in found} == planted
+
+
+def test_runs_of_common_words_are_found(spark):
+    """Few different words in the run, all of them frequent, and an item that is mostly rare words."""
+    rng = random.Random(7)
+    common = ["to", "be", "or"]
+    run = [rng.choice(common) for _ in range(18)]
+    rare = [_word(rng) for _ in range(42)]
+    items = [(0, " ".join(rare[:20] + run + rare[20:]), ""), (1, " ".join(_word(rng) for _ in range(30)), "")]
+    rows = []
+    for doc in range(300):
+        words = [rng.choice([*common, _word(rng), _word(rng)]) for _ in range(200)]
+        if doc % 10 == 0:
+            words[90:108] = run
+        rows.append((doc, " ".join(words), ""))
+    found = dec.benchmark_matches(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, 0) for d in range(0, 300, 10)}
+    assert all(r["run"] >= 18 for r in found)
