@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridecast.llm.text import RollingHash, bytes_of, pieces_of, spread, words_of
+from stridecast.llm.text import RollingHash, bytes_of, pieces_of, spread, text_key, words_of
 from stridecast.scratch import written
 
 HALF = 32  # words in half a passage
@@ -44,6 +44,8 @@ _RUNS = RollingHash(10)
 _MARKS = np.zeros(256, bool)
 _MARKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 MATCHES = "doc_id bigint, item_id bigint, start_word bigint, cosine double, common double, run bigint, answer double"
+#: With the hash of the text, which tells rows apart whose ids are null or repeated.
+KEYED = MATCHES + ", key string"
 
 
 @dataclass
@@ -115,7 +117,7 @@ def _numbered(vocabulary: np.ndarray):
                 out[likely[hit]] = place[hit] + 1
                 data = out.tobytes()
                 cut = [data[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.record_batch([part.column("doc_id"), pa.array(cut, pa.binary())], ["doc_id", "words"])
+                yield pa.record_batch([part.column("doc_id"), part.column("key"), pa.array(cut, pa.binary())], ["doc_id", "key", "words"])
 
     return run
 
@@ -145,11 +147,11 @@ def _passages(values: list[np.ndarray]) -> Passages:
 
 
 def _groups(batches, words: int = 1 << 18):
-    """doc_id and numbers of some documents at a time."""
+    """doc_id with key, and numbers, of some documents at a time."""
     for batch in batches:
         ids, held, size = [], [], 0
-        for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("words").to_pylist(), strict=True):
-            ids.append(doc)
+        for doc, key, value in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "words")), strict=True):
+            ids.append((doc, key))
             held.append(np.frombuffer(value, "<u4"))
             size += len(held[-1])
             if size > words:
@@ -472,22 +474,21 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
                         best[doc, item] = max(row, best.get((doc, item), row))
             if best:
                 out = [
-                    (ids[doc], block.ids[item], -start, cosine, common, length_run, answer)
+                    (ids[doc][0], block.ids[item], -start, cosine, common, length_run, answer, ids[doc][1])
                     for (doc, item), (common, cosine, start, length_run, answer) in sorted(best.items())
                 ]
-                columns = [pa.array(x) for x in zip(*out, strict=True)]
-                names = [c.split(" ")[0] for c in MATCHES.split(", ")]
-                yield pa.record_batch(columns, names).cast(
-                    pa.schema([(n, pa.float64() if n in ("cosine", "common", "answer") else pa.int64()) for n in names])
-                )
+                names = [c.split(" ")[0] for c in KEYED.split(", ")]
+                kinds = {"cosine": pa.float64(), "common": pa.float64(), "answer": pa.float64(), "key": pa.string()}
+                columns = [pa.array(x, kinds.get(n, pa.int64())) for n, x in zip(names, zip(*out, strict=True), strict=True)]
+                yield pa.record_batch(columns, names)
 
     return run
 
 
 def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     size = len(block.vocabulary)
-    texts = written(rows.mapInArrow(_numbered(block.vocabulary), "doc_id bigint, words binary"), "benchmark-words")
-    counts = texts.select("doc_id", "words").mapInArrow(_frequency(size), "word bigint, n bigint")
+    texts = written(rows.mapInArrow(_numbered(block.vocabulary), "doc_id bigint, key string, words binary"), "benchmark-words")
+    counts = texts.mapInArrow(_frequency(size), "word bigint, n bigint")
     frequency = np.zeros(size + 1)
     for word, n in counts.groupBy("word").agg(F.sum("n")).collect():
         frequency[word] = n
@@ -509,7 +510,7 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     own[:, items.joined] += own[:, 1:][:, items.joined[:-1]]
     scale = np.linalg.norm(own) / max(np.linalg.norm(total), 1e-9)
     basis = np.linalg.qr(np.concatenate([own, total * scale], axis=1))[0].astype(np.float32)
-    return texts.mapInArrow(_matches(block, weight, basis, often, rules), MATCHES)
+    return texts.mapInArrow(_matches(block, weight, basis, often, rules), KEYED)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:
@@ -522,7 +523,12 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None
     Null and empty texts hold nothing; items without a word are left out. Rows that repeat an
     id each give their matches, and so do repeated items. Other columns are not read. Without documents or items there are no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _keyed_matches(docs, benchmark, F.lit(None).cast("string"), rules).drop("key")
+
+
+def _keyed_matches(docs: DataFrame, benchmark: DataFrame, key: Column, rules: Rules | None) -> DataFrame:
+    """``benchmark_matches`` with the documents' ``key``."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), F.col("text").cast("string").alias("text"))
     # The items are the stated query set; they pass the driver block by block.
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     found, block, halves = None, [], 0
@@ -542,14 +548,15 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None
     if block:
         searched(block)
     if found is None:
-        return docs.sparkSession.createDataFrame([], MATCHES)
+        return docs.sparkSession.createDataFrame([], KEYED)
     return found
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark, with all their columns.
 
-    Rows with a null id go only if a row with a null id holds a passage.
+    Rows are told apart by id and text, so one goes only if its own text holds a passage, whatever its id is.
     """
-    found = written(benchmark_matches(docs, benchmark, rules).select(F.col("doc_id").alias("_found")).distinct(), "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    found = _keyed_matches(docs, benchmark, text_key(), rules).select(F.col("doc_id").alias("_found"), F.col("key").alias("_key"))
+    found = written(found.distinct(), "leaks")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]) & (text_key(docs["text"]) == found["_key"]), "left_anti")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stridecast.llm import golay
 from stridecast.llm.components import components
-from stridecast.llm.text import pieces_of
+from stridecast.llm.text import pieces_of, text_key
 from stridecast.scratch import written
 
 #: Bit position and length of the segments, and of their halves.
@@ -52,14 +52,20 @@ def _fingerprint(text: str | None, size: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """doc_id and fp (the 64 bits as a bigint) of every row; null texts are empty and have fingerprint 0."""
 
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_printed(shingle, ["doc_id"]), "doc_id bigint, fp bigint")
+
+
+def _printed(shingle: int, kept: list[str]):
+    """The columns ``kept`` and fp."""
+
     def run(batches):
         for batch in batches:
             for part in pieces_of(batch, "text"):
                 found = [_fingerprint(t, shingle) for t in part.column("text").to_pylist()]
-                yield pa.record_batch([part.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+                yield pa.record_batch([*(part.column(c) for c in kept), pa.array(found, pa.int64())], [*kept, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    return run
 
 
 def _bits(values: np.ndarray, place: tuple[int, int]) -> np.ndarray:
@@ -189,18 +195,35 @@ def group_fingerprints(found: DataFrame, most: int = MOST_BITS) -> DataFrame:
     ``component_id`` is the smallest id that links reach, the document's own included.
     Only distinct fingerprints are filed and compared, so copies cost one row.
     """
+    named = _components(found.groupBy("fp").agg(F.min("doc_id").alias("least")), most)
+    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return found.join(named.join(roots, "component").select("fp", "component_id"), "fp")
+
+
+def _components(distinct: DataFrame, most: int) -> DataFrame:
+    """fp, least and component of the distinct fingerprints ``distinct`` (fp, least)."""
     if not 0 <= most <= MOST_BITS:
         raise ValueError(f"the keys are made for 0 to {MOST_BITS} differing bits")
-    distinct = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     filed = distinct.select("fp").mapInArrow(_keys, "key bigint, fp bigint")
     links = filed.repartition("key").sortWithinPartitions("key").mapInArrow(_links(most), "a bigint, b bigint")
     place = components(links)
     named = distinct.join(place, distinct["fp"] == place["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
-    named = written(named, "fingerprints")
-    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return found.join(named.join(roots, "component").select("fp", "component_id"), "fp")
+    return written(named, "fingerprints")
+
+
+def representatives(docs: DataFrame, shingle: int = 4, most: int = MOST_BITS) -> DataFrame:
+    """doc_id and key (of the text) of one row for each group of near-duplicates, grouped as by ``near_duplicates``.
+
+    It is the row with the smallest id, and of those that share it or have none the one with the smallest key;
+    a row without an id only stands for a group in which none has one.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
+    found = written(rows.mapInArrow(_printed(shingle, ["doc_id", "key"]), "doc_id bigint, key string, fp bigint"), "simhash")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    named = _components(found.groupBy("fp").agg(F.min(first).alias("least")), most)
+    return named.groupBy("component").agg(F.min("least").alias("least")).select("least.doc_id", "least.key")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = MOST_BITS) -> DataFrame:

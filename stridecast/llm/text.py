@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 #: The bytes that separate words.
 WHITE_BYTES = (9, 10, 11, 12, 13, 32)
@@ -14,6 +16,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def text_key(text: Column | None = None) -> Column:
+    """128 bits of a text; with the id they tell rows apart. A null text counts as an empty one."""
+    text = F.col("text") if text is None else text
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     with np.errstate(over="ignore"):

@@ -61,3 +61,22 @@ def test_empty_tables_pass_every_stage(spark, tables, folder):
     spark.createDataFrame([], DOCS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_rows_without_an_id_are_decided_one_by_one(spark, folder):
+    rng = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("abcdefghijk", k=6)) for _ in range(n))
+
+    item, copied = prose(30), prose(200)
+    texts = {"clean": prose(120), "other": prose(120), "leak": prose(60) + " " + item + " " + prose(60), "twin": prose(200), "copied": copied}
+    rows = [(None, t) for t in texts.values()] + [(None, texts["twin"].upper()), (None, copied.upper()), (1, copied), (2, prose(90)), (2, prose(90) + " " + item)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
+    twins = {(None, texts["twin"]), (None, texts["twin"].upper())}
+    assert len(twins & set(left)) == 1
+    assert set(left) - twins == {(None, texts[k]) for k in ("clean", "other", "leak")} | {(1, copied), *rows[-2:]}
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminated(spark, docs, folder).collect()]
+    assert sorted(left, key=str) == sorted((r for r in rows if item not in r[1]), key=str)
