@@ -24,7 +24,7 @@ from stridecast.scratch import written
 LARGE = 256
 #: Bytes of runs joined in one transform.
 JOINED = 1 << 18
-SEGMENTS = "h bigint, doc bigint, at bigint, many boolean, bytes binary"
+SEGMENTS = f"h bigint, {seeds.DOC}, at bigint, many boolean, bytes binary"
 OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
 
@@ -41,8 +41,8 @@ def _segments(unit: seeds.Unit):
                 high = np.minimum(low + seeds.count_of(at) - 1 + unit.window, seq.at[text + 1])
                 data = seq.data.tobytes()
                 cut = [data[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-                doc = part.column("doc").to_numpy()[text]
-                columns = [h, pa.array(doc), pa.array(at), many, pa.array(cut, pa.binary())]
+                doc = part.column("doc").take(pa.array(text))
+                columns = [h, doc, pa.array(at), many, pa.array(cut, pa.binary())]
                 yield pa.record_batch(columns, ["h", "doc", "at", "many", "bytes"])
 
     return run
@@ -77,7 +77,7 @@ def _transform(window: int):
         count = seeds.count_of(at)
         found = repeats_among(segments, count, many, window)
         out_doc, out_a, out_b = [], [], []
-        for d, start, starts in zip(doc.tolist(), seeds.start_of(at).tolist(), found, strict=True):
+        for d, start, starts in zip(range(len(at)), seeds.start_of(at).tolist(), found, strict=True):
             if len(starts):
                 heads = np.concatenate([[True], np.diff(starts) != 1])
                 first = starts[heads]
@@ -85,7 +85,8 @@ def _transform(window: int):
                 out_doc += [d] * len(first)
                 out_a += (first + start).tolist()
                 out_b += (last + start + window).tolist()
-        return pa.record_batch([pa.array(x, pa.int64()) for x in (out_doc, out_a, out_b)], ["doc", "a", "b"])
+        out_doc = doc.take(pa.array(out_doc, pa.int64()))
+        return pa.record_batch([out_doc, pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["doc", "a", "b"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -110,7 +111,7 @@ def _transform(window: int):
                 yield ranges(
                     (
                         h[begin:end],
-                        part.column("doc").to_numpy(),
+                        part.column("doc").combine_chunks(),
                         part.column("at").to_numpy(),
                         part.column("many").to_numpy(),
                         part.column("bytes").to_pylist(),
@@ -139,11 +140,11 @@ def _settled(rows: DataFrame, unit: seeds.Unit, found: DataFrame) -> tuple[DataF
     size = written(reps.groupBy("h").agg(F.count("*").alias("runs")), "run-sizes")
     reps = written(reps.join(size, "h").select("h", "doc", "at", (F.col("times") > 1).alias("many"), "runs"), "open-runs")
     listed = reps.where(F.col("runs") <= LARGE).groupBy("doc").agg(
-        F.collect_list(F.struct("h", "at", "many")).alias("runs")
+        F.collect_set(F.struct("h", "at", "many")).alias("runs")
     )
     segments = rows.join(listed, "doc").select("doc", "text", "runs").mapInArrow(_segments(unit), SEGMENTS)
     dealt = segments.repartition("h").sortWithinPartitions("h")
-    small = dealt.mapInArrow(_transform(unit.window), "doc bigint, a bigint, b bigint")
+    small = dealt.mapInArrow(_transform(unit.window), f"{seeds.DOC}, a bigint, b bigint")
     return whole.unionByName(small), reps.where(F.col("runs") > LARGE).select("h", "doc", "at")
 
 
@@ -172,8 +173,8 @@ def without_repeats(docs: DataFrame, window: int = 200, gram: int = 64) -> DataF
     that also starts anywhere else, in this or another row; overlaps count, and
     strings are judged on the input. Strings do not cross texts.
 
-    Null and empty texts have no bytes. Ids may be null. An id stands for one document: a row that
-    repeats it with the same text is another place for its strings, and both rows get the same result.
+    Null and empty texts have no bytes. Ids may be null or repeated: every row is judged by its own text. A row that
+    repeats an id and text is another place for its strings, and both rows get the same result.
     Other columns are not read. An empty table gives no rows.
     """
     unit = seeds.Unit(False, window, gram)
@@ -190,8 +191,7 @@ def without_repeats(docs: DataFrame, window: int = 200, gram: int = 64) -> DataF
                     spans = int(mask[:1].sum()) + int((mask[1:] & ~mask[:-1]).sum())
                     out.append((b - a, int(mask.sum()), spans, seq.data[a:b][~mask].tobytes()))
                 n, removed, spans, kept = zip(*out, strict=True)
-                doc = [None if d == seeds.LEAST_ID else d for d in part.column("doc").to_pylist()]
-                columns = [pa.array(x, pa.int64()) for x in (doc, n, removed, spans)] + [pa.array(kept, pa.binary())]
+                columns = [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, removed, spans)), pa.array(kept, pa.binary())]
                 yield pa.record_batch(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return seeds.with_ranges(rows, repeated_ranges(rows, unit)).mapInArrow(run, OUT)

@@ -12,6 +12,7 @@ differ somewhere are extended window by window.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cache
 
 import numpy as np
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from stridecast.llm.text import RollingHash, bytes_of, pieces_of, spread, window_minima, words_of
 from stridecast.scratch import written
 
-LEAST_ID = -(1 << 63)
-RUN_SCHEMA = "h bigint, s bigint, doc bigint, at bigint"
+#: A row by its id (the higher part, so it gives the order) and 63 bits of its text's hash.
+DOC = "doc decimal(38,0)"
+RUN_SCHEMA = f"h bigint, s bigint, {DOC}, at bigint"
 #: ``at`` holds the first window's start, the anchor's distance from it, the number of windows and the mark of a repeat.
 _START, _LEFT, _COUNT = 32, 17, 1
 
@@ -118,16 +120,21 @@ def _runs(seq: Sequence, unit: Unit, starts: np.ndarray, text: np.ndarray):
 
 
 def plain(docs: DataFrame) -> DataFrame:
-    """doc (an id that is never null) and text."""
+    """doc_id, doc and text. Rows have the same ``doc`` if they have the same id (or none) and text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # A null id is smaller than all others.
+    order = F.coalesce(F.col("doc_id").cast("bigint").cast("decimal(20,0)"), F.lit(Decimal(-(1 << 63) - 1)).cast("decimal(20,0)"))
+    named = F.shiftrightunsigned(F.xxhash64(text), 1).cast("decimal(19,0)")
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST_ID).cast("bigint")).alias("doc"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        (order * F.lit(Decimal(1 << 63)) + named).cast("decimal(38,0)").alias("doc"),
         F.col("text").cast("string").alias("text"),
     )
 
 
 def _as_rows(part: pa.RecordBatch, text, h, s, at) -> pa.RecordBatch:
-    doc = part.column("doc").to_numpy()[text]
-    return pa.record_batch([pa.array(x) for x in (h, s, doc, at)], ["h", "s", "doc", "at"])
+    doc = part.column("doc").take(pa.array(text))
+    return pa.record_batch([pa.array(h), pa.array(s), doc, pa.array(at)], ["h", "s", "doc", "at"])
 
 
 def runs(rows: DataFrame, unit: Unit) -> DataFrame:
@@ -146,7 +153,7 @@ def runs(rows: DataFrame, unit: Unit) -> DataFrame:
 
 def shorter_runs(rows: DataFrame, listed: DataFrame, unit: Unit) -> DataFrame:
     """The windows of the runs ``listed`` (doc, at) again, in runs under the longer anchors of ``unit``."""
-    lists = listed.groupBy("doc").agg(F.collect_list(F.struct("at")).alias("runs"))
+    lists = listed.groupBy("doc").agg(F.collect_set(F.struct("at")).alias("runs"))
 
     def run(batches):
         for batch in batches:
@@ -192,8 +199,8 @@ def is_again():
 
 
 def with_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """doc, text, and the document's ranges as two lists; a document holds no more of them than it has windows."""
-    listed = ranges.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    """The rows with their ranges; equal rows share them, so a list is never longer than the text has windows."""
+    listed = ranges.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
     return rows.join(listed, "doc", "left")
 
 

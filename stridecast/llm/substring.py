@@ -35,17 +35,17 @@ def _windows(unit: seeds.Unit):
                 order = np.lexsort((starts, w, text))
                 again = np.zeros(len(w), np.int64)
                 again[order[1:]] = (np.diff(w[order]) == 0) & (np.diff(text[order]) == 0)
-                doc = part.column("doc").to_numpy()[text]
                 if len(w):
-                    yield pa.record_batch([pa.array(x) for x in (h, w, doc, 2 * starts + again)], ["h", "w", "doc", "at"])
+                    doc = part.column("doc").take(pa.array(text))
+                    yield pa.record_batch([pa.array(h), pa.array(w), doc, pa.array(2 * starts + again)], ["h", "w", "doc", "at"])
 
     return run
 
 
 def windows_of(rows: DataFrame, reps: DataFrame, unit: seeds.Unit) -> DataFrame:
     """h, w, doc, at for every window of the runs ``reps`` (h, doc, at)."""
-    listed = reps.groupBy("doc").agg(F.collect_list(F.struct("h", "at")).alias("runs"))
-    return rows.join(listed, "doc").mapInArrow(_windows(unit), "h bigint, w bigint, doc bigint, at bigint")
+    listed = reps.groupBy("doc").agg(F.collect_set(F.struct("h", "at")).alias("runs"))
+    return rows.join(listed, "doc").mapInArrow(_windows(unit), f"h bigint, w bigint, {seeds.DOC}, at bigint")
 
 
 def repeated_ranges(rows: DataFrame, unit: seeds.Unit) -> DataFrame:
@@ -68,8 +68,9 @@ def without_repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFra
     earlier: in a document with a smaller id, or before in the same one. Windows
     are judged on the input. Words are what stands between ASCII white space.
 
-    Null and empty texts have no words. A null id is smaller than all others. An id stands for one
-    document: rows that repeat it with the same text each get that document's result.
+    Null and empty texts have no words. A null id is smaller than all others. Rows that share an id, or
+    have none, are different documents if their texts differ, in the order of a hash of the text; rows
+    with the same text too are one document, and each gets its result.
     Other columns are not read. An empty table gives no rows.
     """
     unit = seeds.Unit(True, window, gram)
@@ -88,8 +89,7 @@ def without_repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFra
                 for a, b in zip(seq.at[:-1].tolist(), seq.at[1:].tolist(), strict=True):
                     left = (np.flatnonzero(~gone[a:b]) + a).tolist()
                     kept.append(b" ".join([data[begin[i] : end[i]] for i in left]).decode())
-                doc = [None if d == seeds.LEAST_ID else d for d in part.column("doc").to_pylist()]
-                columns = [pa.array(doc, pa.int64()), pa.array(n), pa.array(upto[seq.at[1:]] - upto[seq.at[:-1]]), pa.array(kept, pa.string())]
+                columns = [part.column("doc_id"), pa.array(n), pa.array(upto[seq.at[1:]] - upto[seq.at[:-1]]), pa.array(kept, pa.string())]
                 yield pa.record_batch(columns, ["doc_id", "n_words", "n_removed", "kept"])
 
     return seeds.with_ranges(rows, repeated_ranges(rows, unit)).mapInArrow(run, OUT)

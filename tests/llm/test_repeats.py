@@ -139,3 +139,20 @@ def test_repeated_rows_nulls_and_nothing(spark):
 def test_packed_places():
     at = np.array([(123456 << 32) | (100 << 17) | (137 << 1) | 1])
     assert seeds.start_of(at).tolist() == [123456] and seeds.count_of(at).tolist() == [137]
+
+
+def test_texts_without_an_id_of_their_own_equal_brute_force(spark):
+    rng = random.Random(14)
+    texts = sorted({t for t in _texts(rng, [f"w{i}" for i in range(60)], 40) if t})
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t, "") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    ranked = docs.selectExpr("doc_id", "text", "row_number() OVER (ORDER BY doc_id NULLS FIRST, shiftrightunsigned(xxhash64(text), 1)) AS place")
+    order = {(r["doc_id"], r["text"]): r["place"] for r in ranked.collect()}
+    plain = _plain_words([(order[d, t], t) for d, t, _ in rows], 20)
+    found = sorted(tuple(r) for r in substring.without_repeats(docs).collect() if r["doc_id"] is not None)
+    assert found == sorted((d, *plain[order[d, t]]) for d, t, _ in rows if d is not None)
+    found = sorted(tuple(r)[1:] for r in substring.without_repeats(docs).collect() if r["doc_id"] is None)
+    assert found == sorted(plain[order[d, t]] for d, t, _ in rows if d is None)
+    plain = _plain_bytes([(order[d, t], t) for d, t, _ in rows], 200)
+    found = sorted((str(r["doc_id"]), *tuple(r)[1:4], bytes(r["kept"])) for r in bytes_dedup.without_repeats(docs).collect())
+    assert found == sorted((str(d), *plain[order[d, t]]) for d, t, _ in rows)
