@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, near_simhash, packing, pii, substring, token_files
+from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, lines, near_simhash, packing, pii, substring, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -155,3 +155,30 @@ def op10_language(spark, sf_dir):
     model = langid.train(docs, learn=~held_out)
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+#: Every row is a document of its own; ids are made whole by a number so that repeated ones count.
+_OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), each AS (
+  SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM each
+), common AS (
+  SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT rid) >= 3
+), marked AS (
+  SELECT rid, i, line, common.k IS NOT NULL AND keyed.doc_id IS DISTINCT FROM holder AS gone FROM keyed LEFT JOIN common USING (k)
+), result AS (
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY rid
+)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM result JOIN d USING (rid)
+"""
+
+
+@_query(_OP11)
+def op11_line_dedup(spark, sf_dir):
+    found = lines.without_common_lines(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
