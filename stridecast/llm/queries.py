@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, lines, near_simhash, packing, pii, substring, token_files
+from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, lines, near_simhash, packing, pii, spelling, substring, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -182,3 +182,49 @@ SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FRO
 def op11_line_dedup(spark, sf_dir):
     found = lines.without_common_lines(documents(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: The crc32 in SQL: a table of 256 remainders, folded over the bytes. Near words share what is left without one place.
+_OP12 = """
+WITH RECURSIVE crcs AS (
+  SELECT list_transform(range(256), lambda v: list_reduce(list_prepend(v, [1, 2, 3, 4, 5, 6, 7, 8]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+  ) GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [195, ord(c) - 64] END)) AS b FROM runs
+), marked AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(b, lambda x: CAST(x AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h FROM bytes, crcs
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM marked
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS part FROM (SELECT *, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM less AS a JOIN less AS b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less AS a JOIN words AS b ON a.part = b.word
+  UNION SELECT b.word, a.word, a.n FROM less AS a JOIN words AS b ON a.part = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM pairs GROUP BY word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+         CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), ways AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT ways.word, formed.form FROM ways JOIN formed ON formed.word = ways.root WHERE formed.form IS NOT NULL
+)
+SELECT f.word, f.form, ways.root, f.n, f.n_near, f.form_n
+FROM formed AS f JOIN ways USING (word) JOIN formed AS last ON last.word = ways.root WHERE last.form IS NULL
+"""
+
+
+@_query(_OP12)
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
