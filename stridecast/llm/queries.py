@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, lines, near_simhash, packing, pii, spelling, substring, token_files
+from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, lines, near_simhash, packing, pii, ranked_search, spelling, substring, token_files
 from stridecast.scratch import new_folder
 
 QUERIES: dict = {}
@@ -228,3 +228,42 @@ FROM formed AS f JOIN ways USING (word) JOIN formed AS last ON last.word = ways.
 @_query(_OP12)
 def op12_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: Every row is a document and every (item_id, text) an item of its own.
+_OP13 = """
+WITH t AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, * FROM documents)
+), tfs AS (
+  SELECT rid, doc_id, term, count(*) AS tf FROM t GROUP BY ALL
+), sizes AS (
+  SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY rid
+), totals AS (
+  SELECT count(*) AS all_n, CAST(sum(n) AS BIGINT) AS all_l FROM sizes
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_n + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), asked AS (
+  SELECT DISTINCT item, item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM items
+), scores AS (
+  SELECT item, item_id, rid, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_n) // all_l))))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (rid), totals GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 50
+"""
+
+
+@_query(_OP13)
+def op13_ranked_search(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked_search.search(documents(spark, sf_dir), benchmark)

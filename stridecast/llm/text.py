@@ -96,9 +96,9 @@ def bytes_of(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarr
     return (_LOWER[data] if lower else data), at - at[0]
 
 
-def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end byte of every word, and the number of words before each text (one more entry)."""
-    black = ~_WHITE[data]
+def words_of(data: np.ndarray, at: np.ndarray, white: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end byte of every word, and the number of words before each text (one more entry). ``white``: by byte."""
+    black = ~white[data]
     begins, ends = black.copy(), black.copy()
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
