@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 
 from stridecast.functions.messages import flatten_message, parse_messages
 from stridecast.operators.filters import by_model
@@ -11,11 +12,13 @@ from stridecast.plans.ingest import ingest_csv
 from stridecast.plans.training import TRAINERS, train_from_table
 from stridecast.schema import DATE_PARTS
 from stridecast.session import build_session
+from stridecast.sources.files import stream_table
 from stridecast.sources.jdbc import JdbcConfig, connection_works, read_predictions
 from stridecast.sources.kafka import MessageConfig, mobility_stream
 from stridecast.sources.models import load_newest
 from stridecast.sources.store import FileStore, JdbcStore
-from stridecast.streaming.replay import message_stream, start_replay
+from stridecast.streaming.progress import ProgressLog
+from stridecast.streaming.replay import checked_rows, messages_of, start_refused, start_replay
 from stridecast.streaming.runs import finish
 from stridecast.streaming.scoring import start_scoring
 from stridecast.streaming.windows import WINDOW, start_closed_windows, start_untimed, window_metrics
@@ -46,19 +49,45 @@ def _train(spark, args):
     print(train_from_table(spark, args.input, args.models, kind=args.kind))
 
 
+def _finish_both(query, second, interval):
+    """Wait for the first query; the second ends with it, or has a bounded run of its own."""
+    try:
+        finish(query)
+    finally:
+        if second and interval:
+            second.stop()
+    if second:
+        finish(second)
+
+
+def _followed(spark, args):
+    """Keeps each batch's progress below the folder in ``--progress``."""
+    return ProgressLog(spark, args.progress) if args.progress else nullcontext()
+
+
 def _replay(spark, args):
-    messages = message_stream(spark, args.input, max_files_per_trigger=args.max_per_trigger)
-    finish(start_replay(messages, _messages(args), args.checkpoint, args.interval))
+    rows = checked_rows(stream_table(spark, args.input, args.max_per_trigger))
+    refused = None
+    with _followed(spark, args) as log:
+        if args.rejects:
+            refused = start_refused(rows, args.rejects, f"{args.checkpoint}-rejects", args.interval)
+        query = start_replay(messages_of(rows), _messages(args), args.checkpoint, args.interval)
+        _finish_both(query, refused, args.interval)
+        if log:
+            log.wait(query)
 
 
 def _score(spark, args):
     model = load_newest(spark, f"{args.models}/registry", args.kind)
     stream = mobility_stream(spark, _messages(args))
-    finish(
-        start_scoring(
-            stream, _store(spark, args), args.checkpoint, model, args.kind, interval=args.interval
+    with _followed(spark, args) as log:
+        query = finish(
+            start_scoring(
+                stream, _store(spark, args), args.checkpoint, model, args.kind, interval=args.interval
+            )
         )
-    )
+        if log:
+            log.wait(query)
 
 
 def _windows(spark, args):
@@ -67,13 +96,11 @@ def _windows(spark, args):
     left_out = None
     if args.rejects:
         left_out = start_untimed(flat, args.rejects, f"{args.checkpoint}-rejects", args.interval)
-    try:
-        finish(start_closed_windows(found, args.output, args.checkpoint, args.interval))
-    finally:
-        if left_out and args.interval:
-            left_out.stop()
-    if left_out:
-        finish(left_out)
+    with _followed(spark, args) as log:
+        query = start_closed_windows(found, args.output, args.checkpoint, args.interval)
+        _finish_both(query, left_out, args.interval)
+        if log:
+            log.wait(query)
 
 
 def _promote(spark, args):
@@ -111,6 +138,7 @@ def main(argv=None) -> None:
         ("--max-per-trigger", {"type": int}),
         ("--checkpoint", needed),
         ("--interval", {}),
+        ("--progress", {}),
     ]
     command(
         "ingest",
@@ -123,7 +151,7 @@ def main(argv=None) -> None:
         ("--max-null", {"type": float, "default": 0.5}),
     )
     command("train", _train, ("--input", needed), ("--models", needed), kind)
-    command("replay", _replay, ("--input", needed), *transport)
+    command("replay", _replay, ("--input", needed), ("--rejects", {}), *transport)
     command("score", _score, ("--models", needed), kind, *store, *transport)
     command(
         "windows",

@@ -16,26 +16,24 @@ from stridecast.plans.scoring import accepted, quarantine
 from stridecast.schema import PREDICTION_COLUMNS, SCORED_SCHEMA
 from stridecast.scratch import empty_frame, written
 from stridecast.sources import jdbc
+from stridecast.sources.ledger import Ledger, newest
 
 PREDICTION_SCHEMA = T.StructType([SCORED_SCHEMA[c] for c in PREDICTION_COLUMNS])
 _ATTEMPT = ("stream_id", "epoch_id", "attempt")
-_COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("stream_id", T.StringType()),
-        T.StructField("epoch_id", T.IntegerType()),
-        T.StructField("attempt", T.StringType()),
-        T.StructField("committed_at", T.TimestampType()),
-    ]
-)
+_ATTEMPT_FIELDS = [T.StructField("stream_id", T.StringType()), T.StructField("epoch_id", T.IntegerType()), T.StructField("attempt", T.StringType())]
 # A row names a month and the version that holds it, or an attempt that was taken in.
-_MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("turn", T.IntegerType()),
-        T.StructField("period", T.StringType()),
-        T.StructField("version", T.StringType()),
-        *_COMMIT_SCHEMA.fields[:3],
-    ]
-)
+_MANIFEST_SCHEMA = T.StructType([T.StructField("period", T.StringType()), T.StructField("version", T.StringType()), *_ATTEMPT_FIELDS])
+
+
+def _last_commits(rows: DataFrame) -> DataFrame:
+    """The last committed attempt of each batch."""
+    return newest(rows, ("stream_id", "epoch_id"), "attempt")
+
+
+def _last_versions(rows: DataFrame) -> DataFrame:
+    """The newest version of each month, and all attempts taken in."""
+    months = newest(rows.where("period IS NOT NULL"), ("period",), "version")
+    return months.unionByName(rows.where("attempt IS NOT NULL"), allowMissingColumns=True)
 
 
 class FileStore:
@@ -46,26 +44,23 @@ class FileStore:
     it is committed; the last one committed replaces earlier ones. Promotion takes
     in the committed attempts that no manifest row names yet. It rewrites only the
     months their rows touch, under a name of its own, and then appends to the
-    manifest in one file; until then readers see the old versions whole. Run one
-    promotion at a time: two at once leave no half-written month, but the later one wins it.
+    manifest; until then readers see the old versions whole. Of promotions that run at
+    once the first to append wins, and the others begin again on what it left.
+
+    Commits and manifest are ledgers with a snapshot every ``every`` entries, so reading
+    them takes a bounded number of files after any number of batches and promotions.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, every: int = 100):
         self.spark = spark
         self.staging = f"{root}/staging"
-        self.commits = f"{root}/commits"
         self.data = f"{root}/predictions"
-        self.manifest = f"{root}/manifest"
+        self.commits = Ledger(spark, f"{root}/commits", T.StructType(_ATTEMPT_FIELDS), _last_commits, every)
+        self.manifest = Ledger(spark, f"{root}/manifest", _MANIFEST_SCHEMA, _last_versions, every)
 
     def write_batch(self, scored: DataFrame, batch_id: int, stream_id: str = "batch") -> None:
         attempt = self._write_attempt(scored, batch_id, stream_id)
-        entry = self.spark.range(1).select(
-            F.lit(stream_id).alias("stream_id"),
-            F.lit(batch_id).cast("int").alias("epoch_id"),
-            F.lit(attempt).alias("attempt"),
-            F.current_timestamp().alias("committed_at"),
-        )
-        entry.coalesce(1).write.mode("append").parquet(self.commits)
+        self.commits.append([{"stream_id": stream_id, "epoch_id": batch_id, "attempt": attempt}])
 
     def _write_attempt(self, scored: DataFrame, batch_id: int, stream_id: str) -> str:
         if not re.fullmatch("[A-Za-z0-9_.-]+", stream_id):
@@ -88,9 +83,7 @@ class FileStore:
             return empty_frame(self.spark, schema)
 
     def _committed(self) -> DataFrame:
-        """The last committed attempt of each batch."""
-        newest = F.max_by("attempt", F.struct("committed_at", "attempt")).alias("attempt")
-        return self._table(self.commits, _COMMIT_SCHEMA).groupBy("stream_id", "epoch_id").agg(newest)
+        return _last_commits(self.commits.rows()).drop("turn")
 
     def staged(self) -> DataFrame:
         """All committed rows; filters on ``stream_id``, ``epoch_id`` and ``is_valid`` prune folders."""
@@ -101,14 +94,10 @@ class FileStore:
     def quarantined(self) -> DataFrame:
         return quarantine(self.staged())
 
-    def _manifest_rows(self) -> DataFrame:
-        return self._table(self.manifest, _MANIFEST_SCHEMA)
-
-    def _versions(self) -> dict[str, str]:
+    def _versions(self, manifest: DataFrame) -> dict[str, str]:
         """Newest version per month: one driver row for each month of data."""
-        months = self._manifest_rows().where("period IS NOT NULL")
-        newest = months.groupBy("period").agg(F.max_by("version", F.struct("turn", "version")).alias("version"))
-        return {r["period"]: r["version"] for r in newest.collect()}
+        months = newest(manifest.where("period IS NOT NULL"), ("period",), "version")
+        return {r["period"]: r["version"] for r in months.collect()}
 
     def _read_months(self, versions: dict[str, str]) -> DataFrame:
         folders = [f"{self.data}/version={v}/period={p}" for p, v in sorted(versions.items())]
@@ -118,7 +107,10 @@ class FileStore:
 
     def predictions(self, months=None) -> DataFrame:
         """Current predictions, optionally only of the given ``yyyy-MM`` months."""
-        versions = self._versions()
+        return self._predictions(self.manifest.rows(), months)
+
+    def _predictions(self, manifest: DataFrame, months=None) -> DataFrame:
+        versions = self._versions(manifest)
         if months is not None:
             versions = {p: v for p, v in versions.items() if p in set(months)}
         return self._read_months(versions)
@@ -128,25 +120,30 @@ class FileStore:
 
         Only their folders are read. One driver row for each new batch and touched month.
         """
-        taken = self._manifest_rows().where("attempt IS NOT NULL")
-        pending = self._committed().join(taken, list(_ATTEMPT), "left_anti").select(*_ATTEMPT).collect()
-        if not pending:
-            return 0
+        while True:
+            manifest, turn = self.manifest.state()
+            taken = manifest.where("attempt IS NOT NULL")
+            pending = self._committed().join(taken, list(_ATTEMPT), "left_anti").select(*_ATTEMPT).collect()
+            if not pending:
+                return 0
+            months, version = self._merge(pending, manifest, keys)
+            entries = [{"period": m, "version": version} for m in months]
+            entries += [r.asDict() for r in pending]
+            if self.manifest.append(entries, after=turn):
+                return len(months)
+
+    def _merge(self, pending, manifest: DataFrame, keys) -> tuple[list[str], str]:
+        """Write a new version of the months that the pending batches touch; nobody sees it yet."""
         folders = [self._folder(*r) for r in pending]
         rows = self.spark.read.schema(SCORED_SCHEMA).option("basePath", self.staging).parquet(*folders)
         fresh = accepted(rows)
         period = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none"))
         months = [r["period"] for r in fresh.select(period.alias("period")).distinct().collect()]
-        turn = (self._manifest_rows().agg(F.max("turn")).first()[0] or 0) + 1
         version = uuid.uuid4().hex
         if months:
-            merged = promote_rows(fresh, self.predictions(months), keys).withColumn("period", period)
+            merged = promote_rows(fresh, self._predictions(manifest, months), keys).withColumn("period", period)
             gather_by(merged, "period").write.partitionBy("period").parquet(f"{self.data}/version={version}")
-        entries = [(turn, m, version, None, None, None) for m in months]
-        entries += [(turn, None, None, *r) for r in pending]
-        made = self.spark.createDataFrame(entries, _MANIFEST_SCHEMA)
-        made.coalesce(1).write.mode("append").parquet(self.manifest)
-        return len(months)
+        return months, version
 
 
 class JdbcStore:
@@ -167,16 +164,14 @@ class JdbcStore:
             folder = f"{self.quarantine_folder}/stream={stream_id}/batch={batch_id}"
             quarantine(rows).write.mode("overwrite").parquet(folder)
 
-    def promote(self, keys=PREDICTION_KEY, after_epoch: int | None = None, split_by=None) -> None:
-        """Refill the predictions table; ``after_epoch`` is filtered by the database.
+    def promote(self, keys=PREDICTION_KEY, split_by=None) -> None:
+        """Refill the predictions table.
 
         ``split_by`` reads both tables over several connections, see
         :func:`stridecast.sources.jdbc.table_options`.
         """
         options = jdbc.table_options(self.cfg, self.cfg.staging_table, split_by)
         staging = self.spark.read.format("jdbc").options(**options).load()
-        if after_epoch is not None:
-            staging = staging.where(F.col("epoch_id") > after_epoch)
         current = jdbc.read_predictions(self.spark, self.cfg, split_by)
         # Written first: the target table is emptied while it is being replaced.
         jdbc.replace_predictions(written(promote_rows(staging, current, keys), "promoted"), self.cfg)

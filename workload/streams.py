@@ -7,6 +7,7 @@ stand in for them; everything between source and sink is the same plan.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -21,7 +22,8 @@ from stridecast.sources.kafka import MessageConfig, mobility_stream, publish
 from stridecast.sources.store import FileStore
 from stridecast.streaming import windows
 from stridecast.streaming.latency import latency
-from stridecast.streaming.replay import message_stream, start_replay
+from stridecast.streaming.progress import ProgressLog
+from stridecast.streaming.replay import checked_rows, message_stream, messages_of, start_refused, start_replay
 from stridecast.streaming.runs import finish, start_batches
 from stridecast.streaming.scoring import start_scoring, stream_name
 from workload.models import FIT_TRIO, TRIO, TRIO_VALUE, rounded, trained
@@ -173,6 +175,57 @@ def t13(spark, sf_dir):
     return _flat(spark.read.text(cfg.folder))
 
 
+@query(
+    "t13_replay_rejects",
+    sql(
+        "SELECT CASE l_linenumber WHEN 1 THEN 'retail' WHEN 2 THEN 'date,transit' ELSE 'sent' END AS outcome, count(*) AS n FROM lineitem GROUP BY 1 "
+        "UNION ALL SELECT 'observed as read', count(*) FROM lineitem "
+        "UNION ALL SELECT 'observed as rejected', count(*) FROM lineitem WHERE l_linenumber <= 2"
+    ),
+)
+def t13_rejects(spark, sf_dir):
+    """A table of texts, replayed: cells that do not convert keep their row out, counted and set aside."""
+    root, n = new_folder(spark, "text-table"), F.col("l_linenumber")
+    rows = as_mobility(table(spark, sf_dir, "lineitem"), "l_shipdate", "l_linenumber")
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("date", *METRICS)})
+    rows = rows.withColumn("retail", F.when(n == 1, "n/a").otherwise(F.col("retail")))
+    rows.withColumns({c: F.when(n == 2, "soon").otherwise(F.col(c)) for c in ("date", "transit")}).write.parquet(root)
+    cfg, rejects = MessageConfig(folder=new_folder(spark, "messages")), new_folder(spark, "rejects")
+    checked = checked_rows(stream_table(spark, root, max_files_per_trigger=1))
+    with ProgressLog(spark, new_folder(spark, "progress")) as log:
+        sent = finish(start_replay(messages_of(checked, F.col("l_shipdate")), cfg, new_folder(spark, "checkpoint")))
+        finish(start_refused(checked, rejects, new_folder(spark, "checkpoint")))
+        log.wait(sent)
+    refused = spark.read.parquet(rejects).groupBy(F.col("reject_reason").alias("outcome")).agg(F.count("*").alias("n"))
+    arrived = _flat(spark.read.text(cfg.folder)).where("date IS NOT NULL").select(F.lit("sent").alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n"))
+    seen = log.batches().where(F.col("query_id") == str(sent.id)).select("observed")
+    sums = [
+        seen.agg(F.sum(F.col("observed")[f"replay.{c}"]).alias("n")).select(F.lit(f"observed as {w}").alias("outcome"), "n")
+        for c, w in (("n_read", "read"), ("n_rejected", "rejected"))
+    ]
+    return refused.unionByName(arrived).unionByName(sums[0]).unionByName(sums[1])
+
+
+@query("t11_progress", "SELECT CAST(l_linenumber - 1 AS BIGINT) AS batch_id, count(*) AS n_input FROM lineitem GROUP BY 1")
+def t11_progress(spark, sf_dir):
+    """More batches than the query's own list keeps: a file, and so a batch, for each line number."""
+    root, lineitem = new_folder(spark, "table"), table(spark, sf_dir, "lineitem")
+    numbers = [r[0] for r in lineitem.select("l_linenumber").distinct().orderBy("l_linenumber").collect()]
+    for k in numbers:
+        lineitem.where(F.col("l_linenumber") == k).coalesce(1).write.mode("append").parquet(root)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        with ProgressLog(spark, new_folder(spark, "progress"), every=3) as log:
+            messages = _lineitem_messages(stream_table(spark, root, max_files_per_trigger=1))
+            done = finish(start_batches(messages, _Keep(spark, "received"), new_folder(spark, "checkpoint")))
+            log.wait(done)
+        if len(done.recentProgress) >= len(numbers):
+            raise AssertionError("the query's own list was to be shorter than its run")
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    return log.batches().where("n_input > 0").select("batch_id", "n_input")
+
+
 class _Keep:
     """Micro-batch handler writing each batch to its own folder."""
 
@@ -422,6 +475,54 @@ def t9_models(spark, sf_dir):
     return _sums(store.predictions(), "model")
 
 
+_BATCHES = 12
+
+
+@query(
+    "t9_many_batches",
+    sql(
+        f"SELECT CAST(l_suppkey % {_BATCHES} AS INTEGER) AS epoch_id, {_SUMS} FROM (SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, "
+        "l_suppkey FROM lineitem) WHERE transit IS NOT NULL GROUP BY 1"
+    ),
+)
+def t9_batches(spark, sf_dir):
+    """Many batches with a promotion after every fifth; reading commits and manifest opens few files."""
+    store, model = FileStore(spark, new_folder(spark, "store"), every=4), trained(spark, sf_dir)
+    lineitem = table(spark, sf_dir, "lineitem")
+    for i in range(_BATCHES):
+        part = lineitem.where(F.col("l_suppkey") % _BATCHES == i)
+        store.write_batch(score_batch(_lineitem_messages(part), i, model), i)
+        if i % 5 == 4:
+            store.promote()
+    store.promote()
+    if len(store.commits.rows().inputFiles()) + len(store.manifest.rows().inputFiles()) > 2 * 2 * store.commits.every:
+        raise AssertionError("commits and manifest must be read from snapshots and few entries")
+    return _sums(store.predictions(), "epoch_id")
+
+
+@query(
+    "t9_promotions_at_once",
+    sql(
+        f"SELECT CAST(l_suppkey % 4 AS INTEGER) AS epoch_id, {_SUMS} FROM (SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, "
+        "l_suppkey FROM lineitem) WHERE transit IS NOT NULL GROUP BY 1"
+    ),
+)
+def t9_at_once(spark, sf_dir):
+    """Four writers stage a batch each and promote at once, all touching the same months."""
+    root, model = new_folder(spark, "store"), trained(spark, sf_dir)
+    lineitem = table(spark, sf_dir, "lineitem")
+
+    def write_and_promote(i: int) -> None:
+        store = FileStore(spark, root)
+        part = lineitem.where(F.col("l_suppkey") % 4 == i)
+        store.write_batch(score_batch(_lineitem_messages(part), i, model), i)
+        store.promote()
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write_and_promote, range(4)))
+    return _sums(FileStore(spark, root).predictions(), "epoch_id")
+
+
 _HALVES = sql(
     f"SELECT part, {_SUMS} FROM (SELECT *, CASE WHEN transit IS NULL THEN NULL WHEN odd THEN 'late' ELSE 'early' END AS part FROM "
     f"(SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, l_linenumber > 3 AS odd FROM lineitem)) "
