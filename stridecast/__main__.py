@@ -10,9 +10,9 @@ from stridecast.operators.filters import by_model
 from stridecast.operators.serving import box_stats, heatmap, histogram, kpis, risk_zones
 from stridecast.plans.ingest import ingest_csv
 from stridecast.plans.training import TRAINERS, train_from_table
-from stridecast.schema import DATE_PARTS
+from stridecast.schema import DATE_PARTS, MONTH_PARTS
 from stridecast.session import build_session
-from stridecast.sources.files import stream_table
+from stridecast.sources.files import compact_mobility, stream_table
 from stridecast.sources.jdbc import JdbcConfig, connection_works, read_predictions
 from stridecast.sources.kafka import MessageConfig, mobility_stream
 from stridecast.sources.models import load_newest
@@ -40,11 +40,15 @@ def _store(spark, args):
 
 
 def _ingest(spark, args):
-    parts = DATE_PARTS[:2] if args.months else DATE_PARTS
+    parts = DATE_PARTS if args.days else MONTH_PARTS
     strict = not args.by_name
     print(ingest_csv(spark, args.input, args.output, strict, args.rejects, max_null=args.max_null, partition_by=parts))
 
 
+def _compact(spark, args):
+    compact_mobility(spark, args.input, args.output, DATE_PARTS if args.days else MONTH_PARTS)
+
+
 def _train(spark, args):
     print(train_from_table(spark, args.input, args.models, kind=args.kind))
 
@@ -146,10 +150,11 @@ def main(argv=None) -> None:
         ("--input", needed),
         ("--output", needed),
         ("--by-name", {"action": "store_true"}),
-        ("--months", {"action": "store_true"}),
+        ("--days", {"action": "store_true"}),
         ("--rejects", {}),
         ("--max-null", {"type": float, "default": 0.5}),
     )
+    command("compact", _compact, ("--input", needed), ("--output", needed), ("--days", {"action": "store_true"}))
     command("train", _train, ("--input", needed), ("--models", needed), kind)
     command("replay", _replay, ("--input", needed), ("--rejects", {}), *transport)
     command("score", _score, ("--models", needed), kind, *store, *transport)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stridecast.functions.times import with_date_parts
 from stridecast.operators.cleaning import sparse_columns, split_valid
-from stridecast.schema import CORRUPT_COLUMN, DATE_PARTS, MOBILITY_SCHEMA, PLACE_COLUMNS
+from stridecast.schema import CORRUPT_COLUMN, DATE_PARTS, MOBILITY_SCHEMA, MONTH_PARTS, PLACE_COLUMNS
 from stridecast.sources.files import read_mobility_text, write_mobility
 
 CONVERTED = {f.name: f.dataType.simpleString() for f in MOBILITY_SCHEMA if f.dataType.simpleString() != "string"}
@@ -24,8 +24,11 @@ class IngestResult:
     n_rejected: int = 0
 
 
-def ingest_table(df: DataFrame, root: str, max_null: float = 0.5, partition_by=DATE_PARTS) -> IngestResult:
-    """Two passes over the source: one aggregate for row and null counts, one write."""
+def ingest_table(df: DataFrame, root: str, max_null: float = 0.5, partition_by=MONTH_PARTS) -> IngestResult:
+    """Two passes over the source: one aggregate for row and null counts, one write.
+
+    Month directories keep files large; ``partition_by=DATE_PARTS`` makes one for each day.
+    """
     dropped, n_rows = sparse_columns(df, max_null)
     if "date" in dropped:
         raise ValueError("the date column is too sparse to partition by")

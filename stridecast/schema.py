@@ -18,6 +18,7 @@ LONG_TO_SHORT = {
 }
 PLACE_COLUMNS = ("country_region_code", "country_region", "place_id")
 DATE_PARTS = ("année", "mois", "jour")
+MONTH_PARTS = DATE_PARTS[:2]
 
 METRICS = tuple(LONG_TO_SHORT.values())
 SHORT_TO_LONG = {short: long for long, short in LONG_TO_SHORT.items()}

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridecast.operators.layout import gather_by
-from stridecast.schema import CORRUPT_COLUMN, DATE_PARTS, MOBILITY_SCHEMA
+from stridecast.schema import CORRUPT_COLUMN, DATE_PARTS, MOBILITY_SCHEMA, MONTH_PARTS
 
 
 def read_mobility_csv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -15,8 +19,8 @@ def read_mobility_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
 
     Strict: the header must name exactly the declared columns in order; a
     mismatch raises instead of shifting values. Otherwise columns are picked by
-    name from wider files, a missing one is NULL, and text that does not convert
-    becomes NULL; files whose headers differ from each other raise and are to be read one by one.
+    name, file by file, whatever else the files hold and in whatever order; a missing one is NULL, and
+    text that does not convert becomes NULL.
     """
     if strict:
         return spark.read.csv(path, header=True, schema=MOBILITY_SCHEMA, enforceSchema=False)
@@ -29,16 +33,62 @@ def read_mobility_text(spark: SparkSession, path: str, strict: bool = True) -> D
 
     ``_corrupt_record`` holds the line of a row with more or fewer cells than the header.
     """
-    wanted = MOBILITY_SCHEMA.fieldNames()
-    present = wanted if strict else spark.read.csv(path, header=True).columns
+    if strict:
+        return _cells(spark, path, MOBILITY_SCHEMA.fieldNames())
+    groups = files_by_header(spark, path)
+    if not groups:
+        return _cells(spark, path, MOBILITY_SCHEMA.fieldNames())
+    return reduce(DataFrame.unionByName, [_cells(spark, files, header) for header, files in groups.items()])
+
+
+def _cells(spark: SparkSession, path, present) -> DataFrame:
+    """Files with one header, as text in the declared columns."""
     names = T.StructType([T.StructField(n, T.StringType()) for n in [*present, CORRUPT_COLUMN]])
-    # Names are declared or come from one file; the reader holds every file's whole header against them.
+    # Names are declared or come from the first line; the reader holds every file's whole header against them.
     whole = spark.read.option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     text = whole.csv(path, header=True, schema=names, enforceSchema=False)
+    wanted = MOBILITY_SCHEMA.fieldNames()
     cells = [F.col(n) if n in present else F.lit(None).cast("string").alias(n) for n in wanted]
     return text.select(*cells, CORRUPT_COLUMN)
 
 
+def files_by_header(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
+    """The column names that stand in the first lines of the files below ``path``, with the files that have them.
+
+    Each file is opened for its first line, by a few threads of the driver, which holds the list of
+    files anyway; no file is read further. Files without a line are left out.
+    """
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    same_line = defaultdict(list)
+    for line, file in zip(lines, files, strict=True):
+        if line is not None:
+            same_line[line].append(file)
+    found = defaultdict(list)
+    for group in same_line.values():
+        found[tuple(spark.read.csv(group[0], header=True).columns)] += group
+    return dict(found)
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line that is not blank, of a plain file or one in a compression its name tells."""
+    jvm = spark._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    raw = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        stream = raw if codec is None else codec.createInputStream(raw)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line
+    finally:
+        raw.close()
+
+
 def explore_csv(spark: SparkSession, path: str, sampling: float = 1.0) -> DataFrame:
     """CSV with inferred types. Inference reads a ``sampling`` share of the rows once more.
 
@@ -74,6 +124,16 @@ def write_mobility(
     writer.parquet(root)
 
 
+def compact_mobility(spark: SparkSession, root: str, target: str, partition_by=MONTH_PARTS) -> None:
+    """The dataset below ``root`` again below ``target``, in directories of ``partition_by``.
+
+    Rows of a directory meet in files of the session's advisory size, in order inside each file,
+    whatever number of files they lay in. ``root`` stays as it is.
+    """
+    rows = read_mobility(spark, root)
+    write_mobility(rows.drop(*[p for p in DATE_PARTS if p not in partition_by]), target, partition_by)
+
+
 def read_mobility(spark: SparkSession, root: str, with_partitions: bool = True) -> DataFrame:
     """The dataset below ``root``; date directories prune when filtered on."""
     df = spark.read.parquet(root)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stridecast.functions.times import with_date_parts
 from stridecast.operators.filters import between_dates
 from stridecast.plans.ingest import ingest_csv, ingest_table
-from stridecast.schema import MOBILITY_SCHEMA
+from stridecast.schema import DATE_PARTS, MOBILITY_SCHEMA
 from stridecast.sources import files
 
 NAMES = MOBILITY_SCHEMA.fieldNames()
@@ -49,7 +49,7 @@ def test_csv_by_name_with_missing_column_and_bad_number(spark, folder):
 def test_ingest_drops_sparse_and_round_trips(spark, folder):
     source = mobility(spark)
     source.write.csv(folder + "-csv", header=True)
-    result = ingest_csv(spark, folder + "-csv", folder)
+    result = ingest_csv(spark, folder + "-csv", folder, partition_by=DATE_PARTS)
     assert result.dropped == ("parks_percent_change_from_baseline",)
     assert (result.n_rows, result.n_columns) == (120, 12)
     back = files.read_mobility(spark, folder, with_partitions=False)
@@ -129,9 +129,63 @@ def test_explore_infers_types(spark, folder):
     assert kinds["date"] == "date" and kinds["residential_percent_change_from_baseline"] == "int"
 
 
-def test_files_with_different_headers_are_refused(spark, folder):
+def _two_headers(spark, folder):
     spark.createDataFrame([("1", "2021-01-01")], "place_id string, date string").write.option("header", True).csv(folder)
     spark.createDataFrame([("2021-01-02", "2")], "date string, place_id string").write.option("header", True).mode("append").csv(folder)
-    for read in (lambda: files.read_mobility_csv(spark, folder, strict=False), lambda: files.explore_csv(spark, folder)):
-        with pytest.raises(Exception, match="(?i)header"):
-            read().collect()
+
+
+def test_files_with_different_headers_are_not_mixed_up(spark, folder):
+    _two_headers(spark, folder)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.explore_csv(spark, folder).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_mobility_csv(spark, folder).collect()
+
+
+def test_files_with_different_headers_are_read_by_name(spark, folder):
+    _two_headers(spark, folder)
+    wide = [",".join(["iso", *reversed(NAMES)]), "MA-01,6,5,4,3,2,1,2021-01-03,3,Morocco,MA"]
+    torn = ['place_id,"date"', "4,2021-01-04", "5", "6,2021-01-06,more"]
+    for part, lines in (("wide", wide), ("torn", torn), ("blank", ["", " "])):
+        write_lines(spark, f"{folder}-{part}", lines)
+    paths = [f"{folder}-{part}" for part in ("wide", "torn", "blank")] + [folder]
+    back = files.read_mobility_csv(spark, paths, strict=False)
+    assert back.schema == MOBILITY_SCHEMA
+    found = sorted((r["place_id"], str(r["date"]), r["country_region"], r[NAMES[4]], r[NAMES[9]]) for r in back.collect())
+    assert found[:4] == [
+        ("1", "2021-01-01", None, None, None),
+        ("2", "2021-01-02", None, None, None),
+        ("3", "2021-01-03", "Morocco", 1, 6),
+        ("4", "2021-01-04", None, None, None),
+    ]
+    assert set(map(len, files.files_by_header(spark, paths))) == {2, len(NAMES) + 1}
+    result = ingest_csv(spark, paths, f"{folder}-out", strict=False, rejects=f"{folder}-rejects", max_null=1.0)
+    assert (result.n_rows, result.n_rejected) == (4, 2)
+
+
+def test_first_lines_of_compressed_files(spark, folder):
+    mobility(spark, 3).write.csv(folder, header=True, compression="gzip")
+    mobility(spark, 4).select(*reversed(NAMES)).write.csv(f"{folder}-2", header=True, compression="bzip2")
+    back = files.read_mobility_csv(spark, [folder, f"{folder}-2"], strict=False)
+    assert back.count() == 14 and back.where("date IS NULL").count() == 0
+    assert set(files.files_by_header(spark, [folder, f"{folder}-2"])) == {tuple(NAMES), tuple(reversed(NAMES))}
+
+
+def test_many_small_files_become_few_in_order(spark, folder):
+    with_date_parts(mobility(spark)).repartition(5).write.partitionBy("année", "mois", "jour").parquet(folder)
+    files.compact_mobility(spark, folder, f"{folder}-months")
+    before, after = (files.list_parquet_files(spark, f) for f in (folder, f"{folder}-months"))
+    assert before.count() > 80 and after.count() == 3
+    back = files.read_mobility(spark, f"{folder}-months")
+    assert "jour" not in back.columns and back.count() == mobility(spark).count()
+    place = back.withColumn("f", F.col("_metadata.file_path")).withColumn("i", F.monotonically_increasing_id()).orderBy("i").collect()
+    keys = [(r["f"], r["country_region_code"], r["place_id"]) for r in place]
+    assert all(a[0] != b[0] or a <= b for a, b in zip(keys, keys[1:], strict=False))
+    files.compact_mobility(spark, folder, f"{folder}-days", DATE_PARTS)
+    assert "jour" in files.read_mobility(spark, f"{folder}-days").columns
+
+
+def test_ingest_makes_month_directories_unless_told_otherwise(spark, folder):
+    ingest_table(mobility(spark), folder)
+    assert files.list_parquet_files(spark, folder).count() == 3
+    assert "jour" not in files.read_mobility(spark, folder).columns

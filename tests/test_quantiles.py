@@ -115,3 +115,43 @@ def test_histogram_counts_all_values(frame, skewed):
 def test_no_values_give_no_rows(spark, job):
     empty = spark.createDataFrame([(None,)], "residential double")
     assert job(empty).count() == 0
+
+
+def test_steps_agree_with_the_grid(spark):
+    rows = spark.createDataFrame([(float(v),) for v in (-3.0, -2.75, 0.1, 0.1, 7.0, 7.2)] + [(None,), (float("nan"),)], "residential double")
+    grid = {r["threshold"]: r["n_at_least"] for r in serving.threshold_grid(rows).collect()}
+    steps = serving.threshold_steps(rows)
+    held = {r["threshold"]: r["n_at_least"] for r in steps.collect()}
+    assert held == {t: grid[t] for t in (-3.0, 0.0, 7.0)}
+    assert all(serving.rows_at_least(steps, t) == n for t, n in grid.items()) and serving.rows_at_least(steps, 8.0) == 0
+    assert serving.threshold_steps(rows.where("residential IS NULL")).collect() == []
+
+
+def test_one_far_value_adds_one_step(spark):
+    rows = spark.range(1000).selectExpr("CASE WHEN id = 7 THEN 1e12 ELSE id % 10 END AS residential")
+    steps = serving.threshold_steps(rows).orderBy("threshold").collect()
+    assert len(steps) == 11 and tuple(steps[-1]) == (1e12, 1) and steps[0]["n_at_least"] == 1000
+
+
+def test_sketches_of_days_merge_to_the_quartiles_of_all(spark):
+    rows = spark.range(0, 60_000, 1, 6).selectExpr(
+        "date_add(date'2021-01-01', int(id % 50)) AS date",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 4) END AS country",
+        "'m' AS model",
+        "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN double('NaN') ELSE double(id * 7919 % 10007) END AS residential",
+    )
+    days = serving.day_sketches(rows)
+    for dates in (None, ("2021-01-10", "2021-02-03")):
+        kept = rows if dates is None else rows.where(F.col("date").between(*dates))
+        exact = {r["country"]: r for r in serving.box_stats(kept).collect()}
+        found = {r["country"]: r for r in serving.box_stats_of_days(days, dates).collect()}
+        assert set(found) == set(exact) and len(found) == 5
+        for country, box in found.items():
+            assert all(box[c] == exact[country][c] for c in ("n", "min_value", "max_value"))
+            assert all(abs(box[q] - exact[country][q]) < 0.015 * 10007 for q in serving.QUARTILES)
+
+
+def test_day_sketches_combine_before_the_shuffle(spark):
+    plan = serving.day_sketches(spark.sql("SELECT date'2021-01-01' AS date, 'a' AS country, 'm' AS model, 1.0D AS residential"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_kll_sketch_agg_double" in text and "ObjectHashAggregate" in text

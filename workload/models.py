@@ -80,6 +80,39 @@ def m3(spark, sf_dir):
     return regression.metrics_row(regression.score(forest, rows), "retail", "RandomForest")
 
 
+def _one_split(source: str, label: str, features) -> str:
+    """CTE ``split``: the split with the least squared error among the midpoints of each feature's values, and both means."""
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in (label, *features))
+    values = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, CAST({label} AS DOUBLE) AS y FROM {source} WHERE {complete}" for f in features
+    )
+    return (
+        f"points AS (SELECT feature, x, count(*) AS n, sum(y) AS s FROM ({values}) GROUP BY ALL), "
+        "steps AS (SELECT feature, (x + lead(x) OVER w) / 2 AS threshold, sum(n) OVER w AS n_low, sum(s) OVER w AS s_low, "
+        "sum(n) OVER (PARTITION BY feature) AS n_all, sum(s) OVER (PARTITION BY feature) AS s_all FROM points WINDOW w AS (PARTITION BY feature ORDER BY x)), "
+        "split AS (SELECT feature, threshold, s_low / n_low AS low, (s_all - s_low) / (n_all - n_low) AS high FROM steps "
+        "WHERE threshold IS NOT NULL ORDER BY s_low * s_low / n_low + (s_all - s_low) * (s_all - s_low) / (n_all - n_low) DESC LIMIT 1)"
+    )
+
+
+@query(
+    "m3_forest_of_one_split",
+    sql(
+        "SELECT place_id, date, retail, round(CASE WHEN "
+        + " OR ".join(f"feature = '{f}' AND {f} <= threshold" for f in TRIO.features)
+        + " THEN low ELSE high END, 4) + 0.0 AS prediction FROM mobility, split WHERE "
+        + " AND ".join(f"{f} IS NOT NULL" for f in TRIO.features),
+        _one_split("mobility", TRIO.label, TRIO.features),
+    ),
+)
+def m3_one_split(spark, sf_dir):
+    """A forest of one tree with one split over all rows and features: what SQL can fit too."""
+    rows = mobility(spark, sf_dir)
+    plain = {"numTrees": 1, "maxDepth": 1, "bootstrap": False, "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "maxBins": 256}
+    scored = regression.score(regression.train_forest(rows, TRIO, **plain), rows)
+    return rounded(scored.where("prediction IS NOT NULL").select("place_id", "date", "retail", "prediction"), 4)
+
+
 @query(
     "m4_score",
     sql(

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from stridecast.operators import serving
 from stridecast.operators.filters import at_least, by_country
 from stridecast.operators.quantiles import exact_quantiles
+from stridecast.scratch import written
 from workload.registry import query
-from workload.views import mobility, predictions, sql, table
+from workload.views import PREDICTIONS, mobility, predictions, sql, table
 
 
 @query(
@@ -52,6 +53,23 @@ def g5(spark, sf_dir):
     return serving.threshold_grid(predictions(spark, sf_dir))
 
 
+_FAR = "CASE WHEN l_orderkey % 997 = 0 THEN 1000000000000 ELSE residential END"
+
+
+@query(
+    "g5_threshold_steps",
+    sql(
+        "SELECT lo + i * 0.5::DOUBLE AS threshold, CAST(sum(freq) OVER (ORDER BY i DESC) AS BIGINT) AS n_at_least FROM ("
+        "SELECT lo, CAST(floor((v - lo) / 0.5) AS BIGINT) AS i, count(*) AS freq FROM (SELECT v, min(v) OVER () AS lo FROM "
+        f"(SELECT CAST({_FAR.replace('residential', PREDICTIONS['residential'])} AS DOUBLE) AS v FROM lineitem)) GROUP BY ALL)"
+    ),
+)
+def g5_steps(spark, sf_dir):
+    """Values of a million million among small ones: a grid would have two million million positions."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", f"{PREDICTIONS['residential']} AS residential")
+    return serving.threshold_steps(rows.selectExpr(f"CAST({_FAR} AS DOUBLE) AS residential"))
+
+
 @query("g6_daily_series", sql("SELECT date, residential FROM predictions WHERE country = 'country_R' ORDER BY date"))
 def g6(spark, sf_dir):
     return serving.daily_series(predictions(spark, sf_dir), "country_R")
@@ -143,6 +161,33 @@ def g9_approximate(spark, sf_dir):
     return serving.box_stats(predictions(spark, sf_dir), approximate=True)
 
 
+_SOME_DAYS = "date BETWEEN DATE '1994-03-01' AND DATE '1997-06-30'"
+
+
+@query(
+    "g9_box_stats_of_days",
+    sql(
+        "SELECT l_returnflag AS flag, count(*) AS n, min(l_extendedprice) AS min_value, max(l_extendedprice) AS max_value, "
+        f"true AS q1_close, true AS median_close, true AS q3_close FROM lineitem, (SELECT 1) WHERE {_SOME_DAYS.replace('date', 'CAST(l_shipdate AS DATE)', 1)} "
+        "GROUP BY l_returnflag"
+    ),
+)
+def g9_days(spark, sf_dir):
+    """Sketches of days, stored, then merged over some years; quartiles are held against the true ranks."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("date"), F.col("l_returnflag").alias("flag"), "l_extendedprice"
+    )
+    days = written(serving.day_sketches(rows, "l_extendedprice", ["flag"]), "day-sketches")
+    boxes = written(serving.box_stats_of_days(days, ("1994-03-01", "1997-06-30"), ["flag"]), "boxes")
+    price = F.col("l_extendedprice")
+    ranks = rows.where(_SOME_DAYS).join(boxes, "flag").groupBy("flag", "n", "min_value", "max_value")
+    shares = [x for q in serving.QUARTILES for x in (F.avg((price < F.col(q)).cast("int")).alias(f"{q}_below"), F.avg((price <= F.col(q)).cast("int")).alias(f"{q}_upto"))]
+    close = [
+        ((F.col(f"{q}_below") <= p + 0.01) & (F.col(f"{q}_upto") >= p - 0.01)).alias(f"{q}_close") for q, p in serving.QUARTILES.items()
+    ]
+    return ranks.agg(*shares).select("flag", "n", "min_value", "max_value", *close)
+
+
 @query(
     "g10_box_points",
     sql(

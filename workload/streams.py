@@ -350,6 +350,23 @@ def t5_stream(spark, sf_dir):
     return _plain(windows.current_windows(spark, folder))
 
 
+@query("t5_window_table", _WINDOW_SQL)
+def t5_table(spark, sf_dir):
+    """Events in the order of their time, a sixth in each batch: the table's windows, open and closed, equal one run over all."""
+    events, root = table(spark, sf_dir, "events"), new_folder(spark, "events")
+    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    sixth = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lo) * 6 / (hi - lo + 1))
+    for k in range(6):
+        events.where(sixth == k).coalesce(1).write.mode("append").parquet(root)
+    kept = windows.WindowTable(spark, new_folder(spark, "windows"), every=4)
+    stream = _event_windows(stream_table(spark, root, max_files_per_trigger=1), windows.WINDOW)
+    finish(windows.start_window_table(stream, kept, new_folder(spark, "checkpoint")))
+    still_open, everything = kept.open_windows(), kept.current()
+    if len({f.rsplit("/", 2)[0] for f in still_open.inputFiles()}) != 1 or still_open.count() * 2 > everything.count():
+        raise AssertionError("the open windows are to be few, and in one folder")
+    return _plain(everything)
+
+
 _MESSAGE_WINDOW_SQL = sql(
     "SELECT CAST(date AS TIMESTAMP) AS window_start, CAST(date AS TIMESTAMP) + INTERVAL '15 minutes' AS window_end, "
     "country_region AS country, count(*) AS n, "

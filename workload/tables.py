@@ -9,7 +9,7 @@ from stridecast.functions.times import with_date_parts
 from stridecast.operators import cleaning, layout, profile
 from stridecast.operators.serving import date_bounds
 from stridecast.plans.ingest import ingest_csv, ingest_table
-from stridecast.schema import MOBILITY_SCHEMA, SHORT_TO_LONG
+from stridecast.schema import DATE_PARTS, MOBILITY_SCHEMA, SHORT_TO_LONG
 from stridecast.scratch import new_folder, written
 from stridecast.sources import files
 from workload.registry import query
@@ -43,6 +43,18 @@ def s1_by_name(spark, sf_dir):
     return files.read_mobility_csv(spark, path, strict=False)
 
 
+@query("s1_mixed_headers", sql(f"SELECT {LONG_COLUMNS} FROM mobility"))
+def s1_mixed(spark, sf_dir):
+    """Files in one folder with the columns in opposite orders, one of them with a column more, one compressed."""
+    path, n = new_folder(spark, "mixed-csv"), F.col("l_linenumber")
+    rows = long_metric_names(as_mobility(table(spark, sf_dir, "lineitem"), "l_linenumber"))
+    names = [c for c in rows.columns if c != "l_linenumber"]
+    parts = ((n <= 2, names, "none"), (n.between(3, 4), [*reversed(names), "l_linenumber"], "none"), (n >= 5, names[4:] + names[:4], "gzip"))
+    for rule, columns, codec in parts:
+        rows.where(rule).select(*columns).write.mode("append").csv(path, header=True, compression=codec)
+    return files.read_mobility_csv(spark, path, strict=False)
+
+
 @query(
     "s2_explore_csv",
     sql(f"SELECT * REPLACE (CAST(place_id AS INTEGER) AS place_id) FROM (SELECT {LONG_COLUMNS} FROM mobility)"),
@@ -77,10 +89,29 @@ def s4(spark, sf_dir):
 def k1(spark, sf_dir):
     """CSV to pruned year/month/day directories and back."""
     root = new_folder(spark, "mobility")
-    ingest_csv(spark, _csv(spark, sf_dir), root)
+    ingest_csv(spark, _csv(spark, sf_dir), root, partition_by=DATE_PARTS)
     return files.read_mobility(spark, root)
 
 
+@query(
+    "k1_compact",
+    sql(
+        'SELECT CAST(year(date) AS INTEGER) AS "année", CAST(month(date) AS INTEGER) AS mois, count(*) AS n, '
+        "CAST(sum(residential) AS BIGINT) AS residential, true AS one_file FROM mobility GROUP BY 1, 2"
+    ),
+)
+def k1_compact(spark, sf_dir):
+    """Directories with six small files each, compacted into months whose rows fit one file."""
+    small, months = new_folder(spark, "small"), new_folder(spark, "months")
+    with_date_parts(mobility_long(spark, sf_dir)).repartition(6).write.partitionBy("année", "mois").parquet(small)
+    files.compact_mobility(spark, small, months)
+    rows = files.read_mobility(spark, months).withColumn("file", F.col("_metadata.file_path"))
+    sums = rows.groupBy("année", "mois").agg(
+        F.count("*").alias("n"), F.sum(SHORT_TO_LONG["residential"]).alias("residential"), F.count_distinct("file").alias("files")
+    )
+    return sums.withColumn("one_file", F.col("files") == 1).drop("files")
+
+
 _REJECTED = {7: SHORT_TO_LONG["grocery"], 6: "date"}
 
 
