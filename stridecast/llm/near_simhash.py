@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from stridecast.llm import golay
 from stridecast.llm.components import components
 from stridecast.llm.text import pieces_of, text_key
+from stridecast.operators.quantiles import join_same
 from stridecast.scratch import written
 
 #: Bit position and length of the segments, and of their halves.
@@ -214,7 +215,7 @@ def _components(distinct: DataFrame, most: int) -> DataFrame:
 
 
 def representatives(docs: DataFrame, shingle: int = 4, most: int = MOST_BITS) -> DataFrame:
-    """doc_id and key (of the text) of one row for each group of near-duplicates, grouped as by ``near_duplicates``.
+    """doc_id, key (of the text) and copies (rows with both) for each group of near-duplicates, grouped as by ``near_duplicates``.
 
     It is the row with the smallest id, and of those that share it or have none the one with the smallest key;
     a row without an id only stands for a group in which none has one.
@@ -223,7 +224,24 @@ def representatives(docs: DataFrame, shingle: int = 4, most: int = MOST_BITS) ->
     found = written(rows.mapInArrow(_printed(shingle, ["doc_id", "key"]), "doc_id bigint, key string, fp bigint"), "simhash")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     named = _components(found.groupBy("fp").agg(F.min(first).alias("least")), most)
-    return named.groupBy("component").agg(F.min("least").alias("least")).select("least.doc_id", "least.key")
+    first = written(named.groupBy("component").agg(F.min("least").alias("least")).select("least.doc_id", "least.key"), "firsts")
+    copies = found.groupBy("doc_id", "key").agg(F.count("*").alias("copies"))
+    return join_same(copies, first, ["doc_id", "key"], "left_semi")
+
+
+def first_rows(docs: DataFrame, shingle: int = 4, most: int = MOST_BITS) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates: that of ``representatives``.
+
+    Rows that repeat an id and text are one document. Of these the row is kept whose other columns come first
+    in order, so the choice is the same on every run. Only such rows are gathered, partial minima first.
+    """
+    kept = written(representatives(docs, shingle, most), "representatives")
+    keyed = docs.withColumn("_key", text_key(docs["text"].cast("string")))
+    kept = kept.select("doc_id", F.col("key").alias("_key"), "copies")
+    single = join_same(keyed, kept.where("copies = 1"), ["doc_id", "_key"], "left_semi").drop("_key")
+    many = join_same(keyed, kept.where("copies > 1"), ["doc_id", "_key"], "left_semi")
+    least = many.groupBy("doc_id", "_key").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row"))
+    return single.unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = MOST_BITS) -> DataFrame:

@@ -80,3 +80,15 @@ def test_rows_without_an_id_are_decided_one_by_one(spark, folder):
     assert set(left) - twins == {(None, texts[k]) for k in ("clean", "other", "leak")} | {(1, copied), *rows[-2:]}
     left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminated(spark, docs, folder).collect()]
     assert sorted(left, key=str) == sorted((r for r in rows if item not in r[1]), key=str)
+
+
+def test_rows_that_repeat_are_kept_once(spark, folder):
+    rng = random.Random(9)
+    a, b, c = (" ".join("".join(rng.choices("abcdefghijk", k=6)) for _ in range(150)) for _ in range(3))
+    rows = [(9, a, "x"), (9, a, "w"), (9, a, "w"), (9, a, None)] + [(None, b, "s")] * 5 + [(3, c, "s"), (3, c.upper(), "s"), (4, c, "s"), (4, None, "s"), (4, None, "s")]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], DOCS).repartition(4)
+    left = [(r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
+    chosen = c if (3, c, "s") in left else c.upper()
+    assert sorted(left, key=str) == sorted([(9, a, None), (None, b, "s"), (3, chosen, "s"), (4, None, "s")], key=str)
+    hot = docs.where("doc_id IS NULL").crossJoin(spark.range(400)).drop("id")
+    assert corpus_pipeline.near_duplicates(spark, hot, folder).count() == 1
