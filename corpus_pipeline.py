@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stridecast.llm import decontamination, langid, near_simhash, packing, pii
-from stridecast.llm.text import text_key
 from stridecast.scratch import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -20,14 +18,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates.
+    """The document with the smallest id of each group of near-duplicates, once.
 
     Rows that repeat an id and text are one document; others are told apart by their text. If no row
     of a group has an id, the one whose text has the smallest hash is kept.
     """
-    kept = near_simhash.representatives(docs, shingle=4, most=4).select(F.col("doc_id").alias("_kept"), F.col("key").alias("_key"))
-    same = docs["doc_id"].eqNullSafe(kept["_kept"]) & (text_key(docs["text"]) == kept["_key"])
-    return docs.join(kept, same, "left_semi").select(*COLUMNS)
+    return near_simhash.first_rows(docs.select(*COLUMNS), shingle=4, most=4)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
