@@ -24,6 +24,8 @@ from stridecast.scratch import written
 LARGE = 256
 #: Bytes of runs joined in one transform.
 JOINED = 1 << 18
+#: Bytes of runs that a task transforms, on average.
+TASK_BYTES = 4 << 20
 SEGMENTS = f"h bigint, {seeds.DOC}, at bigint, many boolean, bytes binary"
 OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
@@ -139,11 +141,14 @@ def _settled(rows: DataFrame, unit: seeds.Unit, found: DataFrame) -> tuple[DataF
     reps = rest.where((F.col("doc") == F.col("least")) & ~seeds.is_again())
     size = written(reps.groupBy("h").agg(F.count("*").alias("runs")), "run-sizes")
     reps = written(reps.join(size, "h").select("h", "doc", "at", (F.col("times") > 1).alias("many"), "runs"), "open-runs")
-    listed = reps.where(F.col("runs") <= LARGE).groupBy("doc").agg(
-        F.collect_set(F.struct("h", "at", "many")).alias("runs")
-    )
+    few = reps.where(F.col("runs") <= LARGE)
+    listed = few.groupBy("doc").agg(F.collect_set(F.struct("h", "at", "many")).alias("runs"))
+    # A transform costs far more than its bytes' share of a shuffle: tasks are cut by its work.
+    start, end = seeds.run_range(unit)
+    total = few.agg(F.sum(end - start)).first()[0] or 0
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
     segments = rows.join(listed, "doc").select("doc", "text", "runs").mapInArrow(_segments(unit), SEGMENTS)
-    dealt = segments.repartition("h").sortWithinPartitions("h")
+    dealt = segments.repartition(tasks, "h").sortWithinPartitions("h")
     small = dealt.mapInArrow(_transform(unit.window), f"{seeds.DOC}, a bigint, b bigint")
     return whole.unionByName(small), reps.where(F.col("runs") > LARGE).select("h", "doc", "at")
 
@@ -157,7 +162,7 @@ def repeated_ranges(rows: DataFrame, unit: seeds.Unit) -> DataFrame:
     """
     ranges, crowded = _settled(rows, unit, seeds.runs(rows, unit))
     longer = seeds.Unit(unit.words, unit.window, unit.window - max(1, (unit.window - unit.gram) // 6))
-    again = written(seeds.shorter_runs(rows, crowded, longer), "shorter-runs")
+    again = seeds.shorter_runs(rows, crowded, longer)
     more, crowded = _settled(rows, longer, again)
     found = written(windows_of(rows, crowded, longer), "windows")
     twice = found.groupBy("h", "w").agg(F.count("*").alias("times")).where("times > 1")

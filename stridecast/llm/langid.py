@@ -14,13 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridecast.llm.text import _WHITE, bytes_of, pieces_of
 
 ORDERS = (2, 3)
 UNKNOWN = "und"
+#: The largest hash of a row: 63 bits.
+_MOST = (1 << 63) - 1
 
 
 @dataclass
@@ -48,10 +50,14 @@ def _plain(data: np.ndarray) -> np.ndarray:
 
 
 def _features(bits: int):
-    """lang, then the buckets that occur and how often, as bytes."""
+    """lang and hash, then the buckets that occur and how often, as bytes; rows that repeat, once for each task."""
 
     def run(batches):
+        seen: set = set()
         for batch in batches:
+            names = list(zip(batch.column("lang").to_pylist(), batch.column("at").to_pylist(), strict=True))
+            new = [name not in seen and not seen.add(name) for name in names]
+            batch = batch.filter(pa.array(new, pa.bool_()))
             for part in pieces_of(batch, "text"):
                 data, at = bytes_of(part.column("text"), lower=True)
                 rows = []
@@ -123,29 +129,55 @@ def train(
 ) -> LanguageModel | None:
     """A model from rows with text and lang for which ``learn`` holds; None if there are none.
 
-    The sample is taken by a hash of ``doc_id``, so it is the same on every run and
-    spread over the table. If there are more than ``max_langs`` languages, the most frequent count.
+    The sample of a language is the ``rows_per_lang`` rows with the least hashes of ``doc_id`` and text, so it is the
+    same on every run and spread over the table. Rows that repeat both (or have no id and one text) are one
+    row of it. If there are more than ``max_langs`` languages, the most frequent count.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     if learn is not None:
         rows = rows.where(learn)
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    if not counts:
+    rows = rows.select("lang", "text", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("at"))
+    cuts = _cuts(rows, rows_per_lang, max_langs)
+    if not cuts:
         return None
-    # 1.3: hashes scatter, and a few rows more than asked for do no harm.
-    share = F.lit(0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], int(min(1.0, 1.3 * rows_per_lang / row["count"]) * (1 << 20))).otherwise(share)
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    sample = rows.where(at < share).select("lang", "text", at.alias("at"))
-    found = sample.mapInArrow(_features(bits), "lang string, at bigint, b binary, c binary").collect()
-    by_lang: dict[str, list] = {}
-    for row in sorted(found, key=lambda r: (r["lang"], r["at"], r["b"])):
-        kept = by_lang.setdefault(row["lang"], [])
-        if len(kept) < rows_per_lang:
-            kept.append(row)
-    return _fit([r for kept in by_lang.values() for r in kept], sorted(by_lang), bits, width, epochs, rate)
+    sample = rows.where(F.col("at") <= _by_lang(cuts)).mapInArrow(_features(bits), "lang string, at bigint, b binary, c binary")
+    first = sample.groupBy("lang", "at").agg(F.first("b").alias("b"), F.first("c").alias("c"))
+    found = sorted(first.collect(), key=lambda r: (r["lang"], r["at"]))  # no more than the sample
+    return _fit(found, sorted(cuts), bits, width, epochs, rate)
+
+
+def _by_lang(numbers: dict[str, int]) -> Column:
+    out = F.lit(-1)
+    for lang, number in numbers.items():
+        out = F.when(F.col("lang") == lang, number).otherwise(out)
+    return out
+
+
+def _share(rows: int, distinct: int, spare: float) -> int:
+    """The hash (63 bits) below which ``spare`` times as many of the ``distinct`` ones lie as are wanted."""
+    return int(min(1.0, spare * rows / max(distinct, 1)) * (_MOST + 1)) if spare * rows < distinct else _MOST
+
+
+def _cuts(rows: DataFrame, rows_per_lang: int, max_langs: int) -> dict[str, int]:
+    """For each language the hash of the last row of its sample.
+
+    A sketch tells how many different rows there are about, so few hashes have to be put in order; each task
+    gives out its least ones only. Should they be too few after all, a larger share is taken.
+    """
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("at").alias("distinct"))
+    distinct = {r["lang"]: r["distinct"] for r in sizes.orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
+    cuts, spare = {}, 4.0
+    while open_langs := [lang for lang in distinct if lang not in cuts]:
+        shares = {lang: _share(rows_per_lang, distinct[lang], spare) for lang in open_langs}
+        near = rows.where(F.col("at") <= _by_lang(shares)).select("lang", "at").distinct()
+        nth = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+        last = near.withColumn("nth", nth).where(F.col("nth") <= rows_per_lang).groupBy("lang").agg(F.max("nth").alias("n"), F.max("at").alias("at"))
+        for row in last.collect():
+            if row["n"] == rows_per_lang or shares[row["lang"]] == _MOST:
+                cuts[row["lang"]] = row["at"]
+        spare *= 8
+    return cuts
 
 
 def _scores(part: pa.RecordBatch, model: LanguageModel) -> np.ndarray:

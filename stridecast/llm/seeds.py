@@ -173,8 +173,9 @@ def meeting_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both have doc, at, times (how often the run occurs) and least (the smallest
     document that holds it), the second also h. Sums come before the shuffle. They are
     written before they are joined: then adaptive execution can split a hot anchor
-    on the other side, which it cannot behind an aggregate.
+    on the other side, which it cannot behind an aggregate. So are the runs, which are read twice.
     """
+    found = written(found, "runs")
     anchors = found.groupBy("h").agg(
         F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("times"), F.min("doc").alias("least")
     )

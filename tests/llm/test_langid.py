@@ -59,3 +59,58 @@ def test_nothing_to_learn_from(spark):
     assert langid.identify(empty, None).count() == 0
     one = langid.train(spark.createDataFrame([(1, "some text", "en", None)], SCHEMA))
     assert langid.identify(docs, one).first()["lang_pred"] == "en"
+
+
+def test_share_of_any_number_of_rows():
+    for n in (1, 10, 600, 10**6, 817_889_281, 10**10, 10**15):
+        bound = langid._share(600, n, 4.0)
+        assert 0 < bound <= langid._MOST
+        assert n * bound / langid._MOST > min(n, 2399) * 0.999
+
+
+def test_sample_is_exact_and_bounded_with_hot_rows(spark, monkeypatch):
+    rows = spark.createDataFrame(_rows(400), SCHEMA)
+    hot = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("ta ki mo").alias("text"), F.lit("aa").alias("lang"))
+    twice = rows.select("doc_id", "text", "lang").unionByName(hot).unionByName(rows.limit(100).select("doc_id", "text", "lang")).repartition(6)
+    fitted = []
+    monkeypatch.setattr(langid, "_fit", lambda found, *rest: fitted.append(found))
+    langid.train(twice, rows_per_lang=50)
+    at = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
+    expected = {}
+    for lang, h in sorted({(r["lang"], r["h"]) for r in twice.select("lang", at.alias("h")).collect()}):
+        expected.setdefault(lang, []).append(h)
+    found = {}
+    for r in fitted[0]:
+        found.setdefault(r["lang"], []).append(r["at"])
+    assert found == {lang: hs[:50] for lang, hs in expected.items()}
+    # Too small a share at first is made up for.
+    plain = langid._share
+    monkeypatch.setattr(langid, "_share", lambda k, n, spare: plain(k, n, spare / 200))
+    langid.train(twice, rows_per_lang=50)
+    assert {(r["lang"], r["at"]) for r in fitted[1]} == {(r["lang"], r["at"]) for r in fitted[0]}
+
+
+def test_score_equals_a_plain_computation(spark, model):
+    import numpy as np
+
+    texts = ["ta ki\tmo", "Schlung eit", "x", "", "ção nho " * 50]
+    found = {r["text"]: r for r in langid.identify(spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA), model).collect()}
+    bits = int(np.log2(len(model.table)))
+    for text in texts:
+        data = bytes(32 if b in (9, 10, 11, 12, 13, 32) else b + 32 if 65 <= b <= 90 else b for b in text.encode())
+        rows = []
+        for k in langid.ORDERS:
+            for i in range(len(data) - k + 1):
+                code = k
+                for b in data[i : i + k]:
+                    code = ((code ^ b) * 0x01000193) & 0xFFFFFFFF
+                code = ((code ^ (code >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
+                rows.append(model.table[code >> (32 - bits)])
+        logits = (np.mean(rows, axis=0) if rows else 0) + model.bias
+        chance = np.exp((logits - logits.max()) / model.temperature)
+        chance /= chance.sum()
+        row = found[text]
+        if text:
+            assert row["lang_pred"] == model.langs[int(chance.argmax())] and row["lang_score"] == pytest.approx(chance.max(), abs=1e-6)
+        else:
+            assert row["lang_pred"] == "und"
