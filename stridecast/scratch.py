@@ -30,10 +30,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/stridecast/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a fresh shared folder and return the table read back."""
+def written(df: DataFrame, label: str, **options) -> DataFrame:
+    """Write ``df`` to a fresh shared folder and return the table read back; ``options`` go to the writer."""
     folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
