@@ -3,7 +3,8 @@
 Everything is a column expression. Starts come from the lengths of the matches
 and of the text between them, so positions are code points. Patterns take
 possessive runs where nothing after a run can call it back: a match is found in
-time linear in the text, and no pattern recurses.
+time linear in the text, and no pattern recurses. Sums over the matches of a text run in
+chunks, and pieces of it are cut from blocks: the time grows with the text and its matches, not with their product.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double,value:string>>"
 NEARBY = 48  # code points before a span that are searched for context words
+CHUNK = 256  # values that are summed up one by one
+BLOCK = 4096  # code points of the blocks that pieces of a text are cut from
 
 
 @dataclass(frozen=True)
@@ -44,6 +47,44 @@ def _each(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def _running(values: Column, join) -> Column:
+    """For integers from 0 up: before each one, what ``join`` (a sum or maximum) makes of those before it, from 0 on.
+
+    Arrays grow by copying, so the values are taken in chunks, and the chunks' results likewise.
+    """
+
+    def within(chunk: Column) -> Column:
+        def step(acc: Column, value: Column) -> Column:
+            return F.struct(join(acc["upto"], value).alias("upto"), F.array_append(acc["before"], acc["upto"]).alias("before"))
+
+        none = F.struct(F.lit(0).alias("upto"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(chunk, none, step)
+
+    def chunks(values: Column) -> Column:
+        n = F.ceil(F.size(values) / CHUNK).cast("int")
+        return F.transform(_each(n), lambda k: within(F.slice(values, k * CHUNK + 1, F.lit(CHUNK))))
+
+    def whole(parts: Column) -> Column:
+        before = within(F.transform(parts, lambda p: p["upto"]))["before"]
+        each = F.zip_with(parts, before, lambda p, b: F.transform(p["before"], lambda x: join(b, x)))
+        return F.flatten(each)
+
+    return _let(values, lambda v: _let(chunks(v), whole))
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end``, from its blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    count = F.floor((end - 1) / BLOCK).cast("int") - first + 1
+    held = F.array_join(F.slice(blocks, first + 1, count), "")
+    return F.when(end > start, F.substr(held, start - first * BLOCK + 1, end - start)).otherwise("")
+
+
 def octets(value: Column) -> Column:
     """Every part between dots is at most 255."""
 
@@ -159,22 +200,31 @@ def _proposed(text: Column, kind: Kind) -> Column:
 
     def located(parts: Column) -> Column:
         found, gaps = parts["found"], parts["gaps"]
+        # A gap and the match after it; where the match starts is what was before, and the gap.
+        steps = F.transform(found, lambda value, i: F.length(F.get(gaps, i)) + F.length(value))
+        before = _running(steps, lambda a, b: a + b)
+        return F.transform(
+            F.arrays_zip(found.alias("value"), before.alias("before")),
+            lambda x, i: F.struct(x["value"].alias("value"), (x["before"] + F.length(F.get(gaps, i))).alias("start"), i.alias("i")),
+        )
 
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(gaps, i))
-            return F.struct(
-                (start + F.length(F.get(found, i))).alias("at"), F.array_append(acc["starts"], start).alias("starts")
-            )
+    def nearby(parts: Column, span: Column) -> Column:
+        """Up to ``NEARBY`` code points before a span. A match takes two at least, and there is one between two matches."""
+        low = F.greatest(span["i"] - NEARBY // 3 - 1, F.lit(0))
 
-        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-        starts = F.aggregate(_each(F.size(found)), none, step)["starts"]
-        return F.zip_with(found, starts, lambda value, start: F.struct(value.alias("value"), start.alias("start")))
+        def end(text: Column) -> Column:
+            return F.substr(text, F.greatest(F.length(text) - NEARBY + 1, F.lit(1)))
 
-    def scored(span: Column) -> Column:
+        def with_match(k: Column) -> Column:
+            return F.concat(end(F.get(parts["gaps"], k)), F.when(k < span["i"], end(F.get(parts["found"], k))).otherwise(""))
+
+        return end(F.array_join(F.transform(F.sequence(low, span["i"]), with_match), ""))
+
+    def scored(parts: Column, span: Column) -> Column:
         score = F.lit(kind.score)
         if kind.context:
-            before = F.substr(text, F.greatest(span["start"] - NEARBY + 1, F.lit(1)), F.least(span["start"], F.lit(NEARBY)))
-            score = score + F.when(F.lower(before).rlike(f"(?<![a-z])(?:{kind.context})"), kind.lift).otherwise(0.0)
+            near = F.lower(nearby(parts, span)).rlike(f"(?<![a-z])(?:{kind.context})")
+            score = score + F.when(near, kind.lift).otherwise(0.0)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             span["start"].cast("bigint").alias("start"),
@@ -183,14 +233,17 @@ def _proposed(text: Column, kind: Kind) -> Column:
             span["value"].alias("value"),
         )
 
+    def spans(parts: Column) -> Column:
+        found = located(parts)
+        if kind.check is not None:
+            found = F.filter(found, lambda s: kind.check(s["value"]))
+        return F.transform(found, lambda s: scored(parts, s))
+
     parts = F.struct(
         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"),
         F.split(text, kind.pattern, -1).alias("gaps"),
     )
-    spans = _let(parts, located)
-    if kind.check is not None:
-        spans = F.filter(spans, lambda s: kind.check(s["value"]))
-    return F.when(text.rlike(kind.hint), F.transform(spans, scored)).otherwise(F.array().cast(SPAN))
+    return F.when(text.rlike(kind.hint), _let(parts, spans)).otherwise(F.array().cast(SPAN))
 
 
 def with_pii(docs: DataFrame, least: float = 0.5, kinds=KINDS) -> DataFrame:
@@ -211,25 +264,38 @@ def redacted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     Spans that overlap are replaced together, under the kind of the first. Null texts stay null.
     """
     kept = docs.columns
-    spans = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
-    def step(acc: Column, span: Column) -> Column:
-        before = F.substr(F.col("text"), acc["at"] + 1, span["start"] - acc["at"])
-        shown = F.concat(acc["out"], before, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["at"], span["end"].cast("int")).alias("at"),
-            F.when(span["start"] >= acc["at"], shown).otherwise(acc["out"]).alias("out"),
+    def plain(spans: Column) -> Column:
+        return F.transform(
+            F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"]))),
+            lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"), s["kind"].alias("kind")),
         )
 
-    def cut(spans: Column) -> Column:
-        plain = F.transform(
-            spans, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"), s["kind"].alias("kind"))
+    def cut(spans: Column, blocks: Column) -> Column:
+        # Up to where the spans before each one reach; one that starts before that is replaced with them.
+        reached = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+        def shown(s: Column) -> Column:
+            kind = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.when(s["start"] >= s["at"], F.concat(_piece(blocks, s["at"], s["start"]), kind)).otherwise("")
+
+        def joined(placed: Column) -> Column:
+            end = F.array_max(F.transform(placed, lambda s: s["end"]))
+            rest = _piece(blocks, end, F.length(F.col("text")))
+            return F.concat(F.array_join(F.transform(placed, shown), ""), rest)
+
+        placed = F.zip_with(
+            spans,
+            reached,
+            lambda s, at: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), at.alias("at")),
         )
-        none = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-        return F.aggregate(plain, none, step, lambda a: F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1)))
+        return _let(placed, joined)
+
+    def replaced() -> Column:
+        return _let(plain(F.col("pii")), lambda spans: _let(_blocks(F.col("text")), lambda blocks: cut(spans, blocks)))
 
     marked = with_pii(docs.withColumn("text", F.col("text").cast("string")), least)
-    changed = marked.withColumn("text", F.when(F.size("pii") > 0, cut(spans)).otherwise(F.col("text")))
+    changed = marked.withColumn("text", F.when(F.size("pii") > 0, replaced()).otherwise(F.col("text")))
     if "n_chars" in kept:
         changed = changed.withColumn(
             "n_chars", F.when(F.size("pii") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))

@@ -175,12 +175,12 @@ def meeting_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     written before they are joined: then adaptive execution can split a hot anchor
     on the other side, which it cannot behind an aggregate. So are the runs, which are read twice.
     """
-    found = written(found, "runs")
+    found = written(found, "runs", compression="zstd")
     anchors = found.groupBy("h").agg(
         F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("times"), F.min("doc").alias("least")
     )
     anchors = anchors.where("times > 1").select("h", (F.col("low") != F.col("high")).alias("differ"), "times", "least")
-    met = written(found.join(written(anchors, "anchors"), "h"), "meeting-runs")
+    met = written(found.join(written(anchors, "anchors"), "h"), "meeting-runs", compression="zstd")
     same = met.where("NOT differ").select("doc", "at", "times", "least")
     rest = met.where("differ").drop("times", "least")
     each = rest.groupBy("h", "s").agg(F.count("*").alias("times"), F.min("doc").alias("least"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from stridecast.llm import pii
 
@@ -92,3 +93,44 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "x", "", 0)], SCHEMA)
     plan = pii.digest(pii.with_pii(docs))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan.replace("ArrowConverter", "")), plan
+
+
+def _plain_redacted(text, spans):
+    out, at = "", 0
+    for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in spans):
+        if start >= at:
+            out += text[at:start] + f"[{kind.upper()}]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redacted_equals_brute_force_over_blocks(spark):
+    rng = random.Random(5)
+    pieces = ["a@b.cd", "1.2.3.4", "4111 1111 1111 1111", "+1 (743) 555-3824", "🙂", " ", "\n", "é" * 50, "word " * 30, "x" * 4096, "+4111111111111111"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 60))) for _ in range(120)] + ["y" * pii.BLOCK + "a@b.cd", "a@b.cd" + "y " * pii.BLOCK]
+    docs = spark.createDataFrame([(i, t, "", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    spans = {r["doc_id"]: r["pii"] for r in pii.with_pii(docs).select("doc_id", "pii").collect()}
+    for row in pii.redacted(docs).collect():
+        assert row["text"] == _plain_redacted(texts[row["doc_id"]], spans[row["doc_id"]])
+        assert row["n_chars"] == len(row["text"])
+
+
+def test_context_words_are_looked_for_in_the_nearest_code_points(spark):
+    far = pii.NEARBY
+    texts = ["ssn" + "é" * (far - 4) + " 219-09-9999", "ssn" + "é" * (far - 3) + " 219-09-9999", "ssn 1 2 3 " + "12 " * 12 + "219-09-9999"]
+    texts += ["ssn " + "999-99-9999 " * 3 + "219-09-9999", "ssn " + "219-09-9999 " * 4 + "219-09-9998"]
+    found = {r["doc_id"]: r["pii"] for r in pii.with_pii(spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    for i, text in enumerate(texts):
+        seen = [s["start"] for s in found[i] if s["kind"] == "ssn"]
+        number = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
+        assert seen == [m.start() for m in re.finditer(number, text) if "ssn" in text[max(0, m.start() - far) : m.start()]]
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = "".join(f"u{i}@h.io " for i in range(160_000))
+    began = time.time()
+    row = _check(spark, [text])[0]
+    assert row["n_email"] == 160_000
+    out = pii.redacted(spark.createDataFrame([(0, text, "", 0)], SCHEMA)).first()["text"]
+    assert out == "[EMAIL] " * 160_000
+    assert time.time() - began < 60
