@@ -4,9 +4,9 @@ Documents are read as numbers of benchmark words (all others are 0) in passages
 of 64 words that overlap by half. Every word of the benchmark carries weight, less
 if it stands in many passages: a passage that very many documents copy makes its own
 words frequent, and is still to be found by them. A randomised singular value decomposition of the weighted
-passages, documents' and items' together, gives the latent space: every task adds up its part of
-A'(A W) for a random W, Spark sums the parts word by word, and the driver makes a basis of the sum
-and of the items' own passages, which are spanned in full. Passages whose latent vector is
+passages, documents' and items' together, gives the latent space of ``RANK`` dimensions: every task adds up its part of
+A'(A W) for a random W, Spark sums the parts word by word, and the driver adds the items' part, with a weight that lets
+the space follow the items, and makes an orthonormal basis. Passages whose vector in that space is
 close to an item's are aligned with the item and checked by the longest common
 subsequence, the longest common run, and the item's last sentence (its answer).
 Runs long enough to decide alone are looked up by hash, whatever the cosine is.
@@ -29,10 +29,12 @@ from stridecast.scratch import written
 
 HALF = 32  # words in half a passage
 ITEMS = 512
-#: Half passages of a block's items, each a latent dimension; a longer item is a block by itself.
+#: Half passages of a block's items; a longer item is a block by itself.
 ITEM_HALVES = 512
-#: Latent dimensions beside those that a block's items span.
-SPARE = 32
+#: Dimensions of the latent space.
+RANK = 128
+#: Weight of the items' passages against the documents' in the decomposition.
+ITEM_WEIGHT = 1.0
 #: The most frequent words are counted in a dense table and multiplied, the others added one by one.
 OFTEN = 512
 #: Passages whose candidates are held against their items' words together.
@@ -52,7 +54,7 @@ KEYED = MATCHES + ", key string"
 class Rules:
     """What confirms a candidate; shares are of the item's words."""
 
-    cosine: float = 0.12
+    cosine: float = 0.45
     common: float = 0.8  # longest common subsequence
     paraphrase: float = 0.6  # the same, if the answer is there too
     answer: float = 0.6
@@ -162,7 +164,7 @@ def _groups(batches, words: int = 1 << 18):
 
 
 def _frequency(size: int):
-    """In how many passages each word stands; row 0: the number of passages."""
+    """In how many half passages each word stands; row 0: the number of half passages."""
 
     def run(batches):
         total = np.zeros(size + 1, np.int64)
@@ -170,54 +172,81 @@ def _frequency(size: int):
             p = _passages(values)
             total[0] += len(p.document)
             known = p.words > 0
-            words, half = p.words[known], p.half[known]
-            # A passage is a half and the next one; the last half of a text stands alone.
-            earlier = (half > 0) & p.joined[np.maximum(half - 1, 0)]
-            pairs = np.concatenate([half, half[earlier] - 1]) * (size + 1) + np.concatenate([words, words[earlier]])
-            total += np.bincount(np.unique(pairs) % (size + 1), minlength=size + 1)
+            pairs = np.sort(p.half[known] * (size + 1) + p.words[known])
+            new = np.concatenate([[True], np.diff(pairs) != 0])[: len(pairs)]
+            total += np.bincount(pairs[new] % (size + 1), minlength=size + 1)
         kept = np.flatnonzero(total)
         yield pa.record_batch([pa.array(kept), pa.array(total[kept])], ["word", "n"])
 
     return run
 
 
-def _vectors(p: Passages, weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Weighted words and their halves; the passages' vectors, and whether a passage holds any."""
-    chosen = np.flatnonzero(weight[p.words] > 0)
+@dataclass
+class Counts:
+    """Words of half passages: the most frequent ones counted in a table, the others one by one, by half."""
+
+    often: np.ndarray
+    table: np.ndarray  # half x frequent word
+    words: np.ndarray
+    half: np.ndarray
+    filled: np.ndarray  # halves that hold a word of the benchmark
+
+
+def _counts(p: Passages, often: np.ndarray, size: int) -> Counts:
+    place = np.full(size, -1)
+    place[often] = np.arange(len(often))
+    chosen = np.flatnonzero(p.words)
     words, half = p.words[chosen], p.half[chosen]
-    sums = np.zeros((len(p.document), basis.shape[1]), np.float32)
-    if len(chosen):
-        begin = np.flatnonzero(np.concatenate([[True], np.diff(half) != 0]))
-        sums[half[begin]] = np.add.reduceat(basis[words] * weight[words][:, None], begin, axis=0)
+    at = place[words]
+    dense = at >= 0
+    table = np.bincount(half[dense] * len(often) + at[dense], minlength=len(p.document) * len(often)).astype(np.float32)
     filled = np.zeros(len(p.document), bool)
     filled[half] = True
+    return Counts(often, table.reshape(len(p.document), len(often)), words[~dense], half[~dense], filled)
+
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    return np.flatnonzero(np.concatenate([[True], np.diff(values) != 0]))
+
+
+def _sums(p: Passages, counts: Counts, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each passage (a half and the next one of its text) the sum of its words' rows of ``table``, and whether it holds any."""
+    sums = counts.table @ table[counts.often]
+    if len(counts.words):
+        begin = _heads(counts.half)
+        sums[counts.half[begin]] += np.add.reduceat(table[counts.words], begin, axis=0)
+    nxt = np.flatnonzero(p.joined)
+    later = sums[nxt + 1]
+    sums[nxt] += later
+    return sums, counts.filled | np.concatenate([counts.filled[1:] & p.joined[:-1], [False]])
+
+
+def _back(p: Passages, counts: Counts, vectors: np.ndarray, out: np.ndarray) -> None:
+    """Add to each word's row of ``out`` the vectors of the passages that hold it, as often as they do."""
+    held = vectors.copy()
     nxt = np.flatnonzero(p.joined)
-    both = sums.copy()
-    both[nxt] += sums[nxt + 1]
-    return words, half, both, filled | np.concatenate([filled[1:] & p.joined[:-1], [False]])
+    held[nxt + 1] += vectors[nxt]  # a half also stands in the passage that begins before it
+    out[counts.often] += counts.table.T @ held
+    if len(counts.words):
+        order = np.argsort(counts.words, kind="stable")
+        words, half = counts.words[order], counts.half[order]
+        begin = _heads(words)
+        out[words[begin]] += np.add.reduceat(held[half], begin, axis=0)
 
 
-def _sketch(weight: np.ndarray, noise: np.ndarray):
+def _sketch(weight: np.ndarray, noise: np.ndarray, often: np.ndarray):
     """Parts of A'(A W), ``ROWS`` words to a row."""
-    width = noise.shape[1]
+    weighted = noise * weight[:, None]
 
     def run(batches):
         from pyspark import TaskContext
 
-        total = np.zeros((len(weight), width), np.float32)
+        total = np.zeros_like(weighted)
         for _, values in _groups(batches):
             p = _passages(values)
-            words, half, both, _ = _vectors(p, weight, noise)
-            if not len(words):
-                continue
-            order = np.argsort(words, kind="stable")
-            words, half = words[order], half[order]
-            earlier = np.where((half > 0) & p.joined[np.maximum(half - 1, 0)], half - 1, len(both))
-            both = np.concatenate([both, np.zeros((1, width), np.float32)])
-            begin = np.flatnonzero(np.concatenate([[True], np.diff(words) != 0]))
-            for a in range(0, width, 32):
-                part = both[:, a : a + 32]
-                total[words[begin], a : a + 32] += np.add.reduceat(part[half] + part[earlier], begin, axis=0)
+            counts = _counts(p, often, len(weight))
+            _back(p, counts, _sums(p, counts, weighted)[0], total)
         total *= weight[:, None]
         out = [(k, total[k * ROWS : (k + 1) * ROWS]) for k in range(-(-len(total) // ROWS))]
         out = [(k, x.astype("<f4").tobytes()) for k, x in out if x.any()]
@@ -355,28 +384,6 @@ def _run_lookup(items: list[np.ndarray], length: int):
     return run
 
 
-def _sums(p: Passages, table: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each passage the sum of its words' rows of ``table``, and whether it holds a word of the benchmark."""
-    place = np.full(len(table), -1)
-    place[often] = np.arange(len(often))
-    chosen = np.flatnonzero(p.words)
-    words, half = p.words[chosen], p.half[chosen]
-    at = place[words]
-    dense = at >= 0
-    counts = np.bincount(half[dense] * len(often) + at[dense], minlength=len(p.document) * len(often)).astype(np.float32)
-    sums = counts.reshape(len(p.document), len(often)) @ table[often]
-    words, rest = words[~dense], half[~dense]
-    if len(words):
-        begin = np.flatnonzero(np.concatenate([[True], np.diff(rest) != 0]))
-        sums[rest[begin]] += np.add.reduceat(table[words], begin, axis=0)
-    filled = np.zeros(len(p.document), bool)
-    filled[half] = True
-    nxt = np.flatnonzero(p.joined)
-    later = sums[nxt + 1]
-    sums[nxt] += later
-    return sums, filled | np.concatenate([filled[1:] & p.joined[:-1], [False]])
-
-
 def _plausible(p: Passages, items: list[np.ndarray], share: float):
     """Which pairs of a passage and an item may have ``share`` of the item's words in a common subsequence.
 
@@ -412,24 +419,12 @@ def _plausible(p: Passages, items: list[np.ndarray], share: float):
 
 def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndarray, rules: Rules):
     known = _passages(block.items)
-    size = len(weight)
-
-    def norm(p: Passages) -> np.ndarray:
-        """Length of each passage's weighted vector."""
-        chosen = np.flatnonzero(weight[p.words] > 0)
-        words, half = p.words[chosen], p.half[chosen]
-        earlier = (half > 0) & p.joined[np.maximum(half - 1, 0)]
-        pairs, counts = np.unique(
-            np.concatenate([half, half[earlier] - 1]) * size + np.concatenate([words, words[earlier]]), return_counts=True
-        )
-        return np.sqrt(np.bincount(pairs // size, (counts * weight[pairs % size]) ** 2, minlength=len(p.document)))
-
-    _, _, item_vectors, item_filled = _vectors(known, weight, basis)
-    item_norm = norm(known)
+    weighted = basis * weight[:, None]
+    item_vectors, item_filled = _sums(known, _counts(known, often, len(weight)), weighted)
+    item_norm = np.linalg.norm(item_vectors, axis=1)
     item_rows = np.flatnonzero(item_filled & (item_norm > 0))
+    directions = (item_vectors[item_rows] / item_norm[item_rows][:, None]).T
     aims = [_target(i, a) for i, a in zip(block.items, block.answers, strict=True)]
-    # A passage's vector times the items' vectors, word by word.
-    table = basis @ (item_vectors[item_rows] / item_norm[item_rows][:, None]).T.astype(np.float32) * weight[:, None]
     column = np.zeros(len(known.document), np.int64)
     column[item_rows] = np.arange(len(item_rows))
     runs = _run_lookup(block.items, rules.run)
@@ -438,9 +433,11 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
     def run(batches):
         for ids, values in _groups(batches):
             p = _passages(values)
-            both, filled = _sums(p, table, often)
-            length = norm(p)
-            rows = np.flatnonzero(filled & (length > 0))
+            vectors, filled = _sums(p, _counts(p, often, len(weight)), weighted)
+            length = np.linalg.norm(vectors, axis=1)
+            # A passage without a direction is kept: runs may begin there.
+            rows = np.flatnonzero(filled)
+            vectors[rows] /= np.maximum(length[rows], 1e-20)[:, None]
             may = _plausible(p, block.items, min(rules.common, rules.paraphrase))
             in_text, in_item = runs(values)
             # Pairs of the halves where equal runs begin.
@@ -450,7 +447,7 @@ def _matches(block: Block, weight: np.ndarray, basis: np.ndarray, often: np.ndar
             tried: set[tuple] = set()
             for a in range(0, len(rows), TOGETHER):
                 some = rows[a : a + TOGETHER]
-                close = both[some] / length[some][:, None]
+                close = vectors[some] @ directions
                 near, aim = np.nonzero(close >= rules.cosine)
                 if len(near):
                     kept = may(some[near], back[aim], owner[aim])
@@ -496,21 +493,29 @@ def _search(rows: DataFrame, block: Block, rules: Rules) -> DataFrame:
     weight = np.log((passages + 1) / (frequency + 0.5)).clip(0.1).astype(np.float32)
     weight[0] = 0
     often = 1 + np.argsort(-frequency[1:], kind="stable")[:OFTEN]
-    noise = np.random.default_rng(1).normal(size=(size + 1, SPARE)).astype(np.float32)
+    basis = _latent_basis(texts, block, weight, often)
+    return texts.mapInArrow(_matches(block, weight, basis, often, rules), KEYED)
+
+
+def _latent_basis(texts: DataFrame, block: Block, weight: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Words' rows of an orthonormal basis that a random start, multiplied by A'A, spans; A: weighted passages, items' heavier.
+
+    The product is one step of subspace iteration: it draws the start towards the leading directions.
+    """
+    noise = np.random.default_rng(1).normal(size=(len(weight), RANK)).astype(np.float32)
     schema = "rows int, part int, sums binary"
     # Two steps, so that no group has a row for each task of a large cluster.
-    sums = texts.mapInArrow(_sketch(weight, noise), schema).groupBy("rows", "part").applyInArrow(_added, schema)
-    total = np.zeros((size + 1, SPARE))
+    sums = texts.mapInArrow(_sketch(weight, noise, often), schema).groupBy("rows", "part").applyInArrow(_added, schema)
+    total = np.zeros(noise.shape)
     for row in sums.groupBy("rows").applyInArrow(_added, schema).toLocalIterator():
-        total[row["rows"] * ROWS : (row["rows"] + 1) * ROWS] = np.frombuffer(row["sums"], "<f4").reshape(-1, SPARE)
-    # The items are passages too: they span dimensions of their own, which documents never take.
+        total[row["rows"] * ROWS : (row["rows"] + 1) * ROWS] = np.frombuffer(row["sums"], "<f4").reshape(-1, RANK)
     items = _passages(block.items)
-    own = np.zeros((size + 1, len(items.document)))
-    np.add.at(own, (items.words, items.half), weight[items.words])
-    own[:, items.joined] += own[:, 1:][:, items.joined[:-1]]
-    scale = np.linalg.norm(own) / max(np.linalg.norm(total), 1e-9)
-    basis = np.linalg.qr(np.concatenate([own, total * scale], axis=1))[0].astype(np.float32)
-    return texts.mapInArrow(_matches(block, weight, basis, often, rules), KEYED)
+    counts = _counts(items, often, len(weight))
+    own = np.zeros_like(noise)
+    _back(items, counts, _sums(items, counts, noise * weight[:, None])[0], own)
+    own *= weight[:, None]
+    scale = ITEM_WEIGHT * max(np.linalg.norm(total), 1e-9) / max(np.linalg.norm(own), 1e-9)
+    return np.linalg.qr(total + scale * own)[0].astype(np.float32)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:
