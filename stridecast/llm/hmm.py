@@ -98,6 +98,41 @@ def _count(batches):
         yield pa.record_batch([pa.array(x) for x in merged], ["w", "n"])
 
 
+def _crossing(rows: DataFrame, part: Column, wanted: int, first: bool = False) -> tuple[int | None, int]:
+    """The value of ``part`` (few different ones) at which ``wanted`` rows are reached, from the highest down or
+    the lowest up, and how many of them are left for its own rows. None if there are not so many rows."""
+    sizes = rows.groupBy(part.cast("bigint").alias("part")).count().collect()
+    for value, n in sorted(sizes, reverse=not first):
+        if n >= wanted:
+            return value, wanted
+        wanted -= n
+    return None, wanted
+
+
+def most_frequent(counts: DataFrame, top: int) -> DataFrame:
+    """The ``top`` rows of ``counts`` (w, c; c from 1 up) with the highest c, those with the least w of equals.
+
+    Histograms find how far down they go: by the bits of c, then within these, then by w among equal ones. So hardly
+    more rows than wanted are put in order, however many tasks hold them.
+    """
+    bits, left = _crossing(counts, F.length(F.bin("c")), top)
+    if bits is None:
+        return counts
+    low = 1 << (bits - 1)
+    step = max(1, low >> 12)
+    part = F.floor((F.col("c") - low) / step)
+    own = counts.where(F.col("c").between(low, 2 * low - 1))
+    at, left = _crossing(own, part, left)
+    least, above = low + at * step, low + (at + 1) * step
+    near = F.col("c") >= above
+    if step == 1:
+        edge, _ = _crossing(counts.where(F.col("c") == least), F.shiftright("w", 52), left, first=True)
+        near = near | ((F.col("c") == least) & (F.shiftright("w", 52) <= edge))
+    else:
+        near = near | (F.col("c") >= least)
+    return counts.where(near).orderBy(F.desc("c"), "w").limit(top)
+
+
 def vocabulary(rows: DataFrame, top: int, own: int) -> tuple[Vocabulary, DataFrame]:
     """What tasks need to know of the training texts' words, and the whole table of words with counts (w, c)."""
     learn = rows.where("learn")
@@ -105,7 +140,7 @@ def vocabulary(rows: DataFrame, top: int, own: int) -> tuple[Vocabulary, DataFra
     counts = written(counts, "word-counts")
     ends = learn.count()
     kinds = counts.groupBy(F.pmod("w", F.lit(CLASSES)).cast("int").alias("kind")).agg(F.sum("c"), F.count("*")).collect()
-    found = counts.orderBy(F.desc("c"), "w").limit(top).toArrow()
+    found = most_frequent(counts, top).orderBy(F.desc("c"), "w").toArrow()
     words, count = found.column("w").to_numpy(), found.column("c").to_numpy()
     own = min(own, len(words))
     symbols = np.where(np.arange(len(words)) < own, np.arange(len(words)), own + (words & (CLASSES - 1)))

@@ -1,6 +1,7 @@
 """Token ids in ORC files, in ascending order of document ids.
 
-Each file holds one range of ids, sorted. Integer columns are run-length encoded
+Each file holds one range of rows, by id and then by a hash of the text, so an id that very
+many rows share (or have none) lies in as many files as it needs. Integer columns are run-length encoded
 by the format; its row index and Bloom filter on ``doc_id`` let a reader skip
 stripes and row groups, and stripes are read in parallel. The place of a
 document's first id in the whole corpus is its place within its file plus the
@@ -13,19 +14,21 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridecast.llm.text import pieces_of
 from stridecast.llm.tokens import encoder
+from stridecast.scratch import written
 
 FILE_SCHEMA = "doc_id bigint, file_key bigint, start_in_file bigint, n_tokens bigint, ids array<int>"
-_LEAST = -(1 << 63)
 
 
 def _encode_sorted(path: str, spaces: bool, end_id: int):
     def run(batches):
-        ids_of, key, before = encoder(path, spaces).encode, None, 0
+        # Ranges are numbered in order, and each is written to a file by one task.
+        ids_of, key, before = encoder(path, spaces).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in pieces_of(batch, "text"):
                 ids = ids_of(part.column("text"))
@@ -34,9 +37,6 @@ def _encode_sorted(path: str, spaces: bool, end_id: int):
                 flat = np.full(int(ends[-1]), end_id, np.int32)
                 for x, end in zip(ids, ends, strict=True):
                     flat[end - 1 - len(x) : end - 1] = x
-                if key is None:
-                    first = part.column("doc_id")[0].as_py()
-                    key = _LEAST if first is None else first
                 yield pa.record_batch(
                     [
                         part.column("doc_id"),
@@ -64,13 +64,14 @@ def write_token_files(
     """Encode ``text`` of every row, append ``end_id``, write ORC files sorted by ``doc_id``.
 
     Null and empty texts hold ``end_id`` alone. Rows without an id come first. Rows
-    that repeat an id stay, in the order of their texts. Other columns are not
+    that repeat an id stay, in the order of a hash of their texts. Other columns are not
     read. An empty table gives an empty table.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text"
-    )
+    # The last key only lets copies of one row fall on both sides of a boundary.
+    rows = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_copy", F.monotonically_increasing_id())
+    order = (F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_copy"))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash", "_copy")
     (
         ordered.mapInArrow(_encode_sorted(tokenizer, spaces, end_id), FILE_SCHEMA)
         .write.option("compression", "zstd")
@@ -89,8 +90,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # One row per file: the only global order that is needed.
     before = Window.orderBy("file_key").rowsBetween(Window.unboundedPreceding, -1)
     first = sums.select("file_key", F.coalesce(F.sum("in_file").over(before), F.lit(0)).alias("before"))
-    # A row of 16 bytes for each file: broadcast, so that the ids are not shuffled to meet it.
-    return rows.join(F.broadcast(first), "file_key").select(
+    # A row of 16 bytes for each file, written: its true size lets it be broadcast up to the session's threshold.
+    return rows.join(written(first, "file-starts"), "file_key").select(
         "doc_id", (F.col("start_in_file") + F.col("before")).alias("start"), "n_tokens", "ids"
     )
 

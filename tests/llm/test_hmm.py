@@ -115,3 +115,15 @@ def test_nothing_to_learn_from(spark):
     row = hmm.score_texts(spark.createDataFrame([(1, "a b", "")], SCHEMA), learn()).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["learn"]) == (3, 0, 0, False)
     assert row["base_score"] == pytest.approx(0.0)
+
+
+def test_most_frequent_words_are_exact(spark):
+    rng = random.Random(3)
+    for spread in (lambda: 1, lambda: rng.choice([1, 2, 3]), lambda: int(rng.paretovariate(0.4)), lambda: rng.randrange(1 << 40, 1 << 41)):
+        rows = [(rng.randrange(-(1 << 63), 1 << 63), spread()) for _ in range(600)]
+        counts = spark.createDataFrame(rows, "w long, c long").repartition(5)
+        for top in (1, 7, 300, 599, 600, 900):
+            expected = sorted(rows, key=lambda r: (-r[1], r[0]))[:top]
+            found = hmm.most_frequent(counts, top)
+            assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert hmm.most_frequent(spark.createDataFrame([], "w long, c long"), 5).collect() == []

@@ -97,3 +97,19 @@ def test_packing_holds_every_id_once(spark):
 
 def test_packing_nothing(spark):
     assert packing.with_crc(packing.pack(_docs(spark, []), BYTE)).count() == 0
+
+
+def test_a_hot_id_lies_in_several_files(spark, folder, settings):
+    """Two thirds of the rows have no id, half of them one text; every range holds a share of them."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(None, "copy of a text")] * 1500 + [(None, f"text {i}") for i in range(1500)] + [(i, f"own {i}") for i in range(1500)]
+    token_files.write_token_files(_docs(spark, rows).repartition(6), folder, WORD)
+    files = spark.read.orc(folder).groupBy("file_key").count().collect()
+    assert len(files) == 8 and max(r["count"] for r in files) < 1.5 * len(rows) / 8
+    found = token_files.with_crc(token_files.read_token_files(spark, folder)).collect()
+    starts = sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in found)
+    assert [a for a, *_ in starts] == [sum(n for _, n, _ in starts[:i]) for i in range(len(starts))]
+    ids = [-1 if d is None else d for *_, d in starts]
+    assert ids == sorted(ids)
+    plan = token_files.read_token_files(spark, folder)._jdf.queryExecution().toString()
+    assert "ResolvedHint" not in plan and "strategy=broadcast" not in plan
