@@ -102,7 +102,7 @@ def test_packing_nothing(spark):
 def test_a_hot_id_lies_in_several_files(spark, folder, settings):
     """Two thirds of the rows have no id, half of them one text; every range holds a share of them."""
     settings(spark__sql__adaptive__coalescePartitions__enabled="false")
-    rows = [(None, "copy of a text")] * 1500 + [(None, f"text {i}") for i in range(1500)] + [(i, f"own {i}") for i in range(1500)]
+    rows = [(None, "copy of a text", "")] * 1500 + [(None, f"text {i}", "") for i in range(1500)] + [(i, f"own {i}", "") for i in range(1500)]
     token_files.write_token_files(_docs(spark, rows).repartition(6), folder, WORD)
     files = spark.read.orc(folder).groupBy("file_key").count().collect()
     assert len(files) == 8 and max(r["count"] for r in files) < 1.5 * len(rows) / 8
