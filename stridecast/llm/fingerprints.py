@@ -13,10 +13,16 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stridecast.scratch import written
+
 #: Texts are cut into words here; words of three letters or fewer have the weight 1.
 SEPARATORS = r"[\x20\x09-\x0D]+"
 _PAIR = (1 << 32) + 1
 _SUMS = [f"_v{j}" for j in range(32)]
+#: A document, by order.
+KEY = ["named", "at", "head", "hash"]
+#: Copies of one document that a task gives rows at a time.
+COPIES = 1 << 16
 
 
 def _votes() -> list[Column]:
@@ -51,90 +57,113 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
 
 
-def _blocked(docs: DataFrame, rows_per_block: int, most_blocks: int) -> DataFrame:
-    """Rows with ``block``, a range of ids: 0 … at most ``most_blocks`` - 1."""
-    n, least = docs.agg(F.count("*"), F.min("at")).first()
-    blocks = max(1, min(most_blocks, -(-n // rows_per_block)))
-    if blocks == 1:
-        return docs.withColumn("block", F.lit(0))
-    shares = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(docs.agg(F.percentile_approx("at", shares, 20 * blocks)).first()[0]))
-    limits = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with ``KEY``, which tells texts under an id apart and orders them, and their text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc_id = F.col("doc_id").cast("bigint")
+    return docs.select(
+        doc_id.isNotNull().alias("named"),
+        F.coalesce(doc_id, F.lit(0).cast("bigint")).alias("at"),
+        F.substring(text, 1, 16).alias("head"),
+        F.unhex(F.md5(text.cast("binary"))).alias("hash"),
+        text.alias("text"),
+    )
 
-    def step(place: Column, width: Column) -> Column:
-        passed = F.get(limits, place + width - 1) < F.col("at")
-        return F.when(passed, place + width).otherwise(place)
 
-    return docs.withColumn("block", F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step))
+def _chained(rows: DataFrame, rows_per_block: int) -> DataFrame:
+    """KEY, copies, third (of the text's code points) and the key before it as ``_named`` … (before the first: the last).
 
+    Keys are cut into ranges of about ``rows_per_block``; only one row of each range meets the others.
+    """
+    keys = rows.groupBy(*KEY).agg(
+        F.count("*").alias("copies"), F.max(F.floor(F.length("text") / 3).cast("int")).alias("third")
+    )
+    keys = written(keys, "fingerprint-keys")
+    parts = max(1, -(-keys.count() // rows_per_block))
+    if parts > 1:
+        cut = keys.repartitionByRange(parts, *KEY).withColumn("part", F.spark_partition_id())
+        keys = written(cut, "fingerprint-ranges")
+    else:
+        keys = keys.withColumn("part", F.lit(0))
+    key = F.struct(*KEY)
+    order = Window.orderBy("part")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = keys.groupBy("part").agg(F.max(key).alias("end"))
+    ends = ends.select("part", F.coalesce(F.lag("end").over(order), F.last("end").over(whole)).alias("end"))
+    within = Window.partitionBy("part").orderBy(*KEY)
+    chained = keys.withColumn("before", F.lag(key).over(within)).join(ends, "part")
+    before = F.coalesce("before", "end")
+    chained = chained.select(*KEY, "copies", "third", *[before[c].alias(f"_{c}") for c in KEY])
+    return written(chained, "fingerprint-order")
+
+
+def _copied(prints: DataFrame) -> DataFrame:
+    """A row for each copy, the first of a key with the text before it, the others with their own. Copies are dealt in chunks."""
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES))
+    dealt = prints.withColumn("chunk", F.explode(chunks)).repartition(*KEY, "chunk")
+    start = F.col("chunk") * COPIES
+    copy = F.explode(F.sequence(start, F.least(start + COPIES, F.col("copies")) - 1))
+    first = F.col("copy") == 0
+    return dealt.withColumn("copy", copy).select(
+        F.when(F.col("named"), F.col("at")).alias("doc_id"),
+        "n_chars",
+        F.lower(F.hex(F.when(first, F.col("sha_1")).otherwise(F.col("sha_2")))).alias("edited_sha256"),
+        F.col("fp_0").alias("fp"),
+        F.when(first, F.col("fp_1")).otherwise(F.col("fp_2")).alias("edited_fp"),
+        F.when(first, F.col("next_fp")).otherwise(F.col("fp_0")).alias("next_fp"),
+    )
 
-def with_edits(docs: DataFrame, rows_per_block: int = 2000, most_blocks: int = 8192) -> DataFrame:
+
+def with_edits(docs: DataFrame, rows_per_block: int = 1 << 20) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp for every row.
 
     The edited text has its last third replaced by the beginning of the next
-    document's, in descending order of ids (after the last: the first). Rows are
-    dealt by blocks of ids; each block also gets the last row of the block before,
-    so that no order over the whole table is needed and texts are shuffled once.
+    document's, in descending order of ids (after the last: the first). The order is found over keys alone;
+    whole texts are shuffled once, and each document sends its successor only the beginning that it needs.
 
     Null texts are empty; an empty text has fingerprint 0. A null id comes before all others. Rows that
-    repeat an id are ordered by text and each have a row. Other columns are not read. An empty table gives no rows.
+    repeat an id are ordered by their first 16 characters, then by the MD5 of their text, by which texts under an id are
+    told apart; rows that repeat both are worked out once and each have a row, so neither a hot id nor a hot text
+    gathers anywhere. Other columns are not read. An empty table gives no rows.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).withColumn("at", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")))
-    rows = _blocked(rows, rows_per_block, most_blocks)
-    # One row for each block: its last id, and the block that follows it.
-    ends = rows.groupBy("block").agg(F.max("at").alias("at"))
-    order = Window.orderBy("block")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("block", "at", F.coalesce(F.lead("block").over(order), F.first("block").over(whole)).alias("to"))
-    ghosts = rows.join(ends, ["block", "at"]).groupBy("to").agg(F.max("text").alias("text"))
-    both = rows.withColumn("own", F.lit(True)).unionByName(
-        ghosts.select(F.col("to").alias("block"), "text", F.lit(False).alias("own")), allowMissingColumns=True
-    )
-    within = Window.partitionBy("block").orderBy("own", "at", "text")
-    n, third = F.length("text"), F.floor(F.length("text") / 3).cast("int")
-    paired = both.select(
-        "block", "own", "doc_id", "text", F.row_number().over(within).alias("place"), F.lag("text").over(within).alias("next")
-    ).withColumn(
-        "edited",
-        F.when(F.col("own"), F.concat(F.substr("text", F.lit(1), n - third), F.substr("next", F.lit(1), third))),
-    )
-    version = F.explode(
-        F.array(
-            F.struct(F.lit(False).alias("is_edit"), F.col("text").alias("body")),
-            F.struct(F.lit(True).alias("is_edit"), F.col("edited").alias("body")),
-        )
-    )
-    texts = paired.select("block", "place", "own", "doc_id", n.cast("bigint").alias("n_chars"), version.alias("v"))
-    texts = texts.where("v.body IS NOT NULL").select(
-        "block",
-        "place",
-        "own",
-        "doc_id",
-        "n_chars",
-        "v.is_edit",
-        "v.body",
-        F.when(F.col("v.is_edit"), F.sha2(F.col("v.body").cast("binary"), 256)).alias("sha"),
-    )
-    keys = ["block", "place", "own", "doc_id", "n_chars", "is_edit", "sha"]
-    voted = texts.select(*keys, _words("body").alias("word")).groupBy(*keys).agg(*_votes())
-    prints = voted.select(*keys, _bits().alias("fp"))
-    both = prints.groupBy("block", "place").agg(
-        F.max(F.when(~F.col("is_edit"), F.col("fp"))).alias("fp"),
-        F.max(F.when(F.col("is_edit"), F.col("fp"))).alias("edited_fp"),
-        F.max("doc_id").alias("doc_id"),
-        F.max("n_chars").alias("n_chars"),
-        F.max(F.when(F.col("is_edit"), F.col("sha"))).alias("edited_sha256"),
-        F.max("own").alias("own"),
-    )
-    before = Window.partitionBy("block").orderBy("place")
-    return (
-        both.withColumn("next_fp", F.lag("fp").over(before))
-        .where("own")
-        .select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
+    rows = _keyed(docs)
+    order = _chained(rows, rows_per_block)
+    texts = rows.groupBy(*KEY).agg(F.first("text").alias("text"))
+    to = order.select(*[F.col(f"_{c}").alias(c) for c in KEY], *[F.col(c).alias(f"to_{c}") for c in KEY], "third")
+    beginnings = texts.join(to, KEY).select(
+        *[F.col(f"to_{c}").alias(c) for c in KEY], F.substr("text", F.lit(1), F.col("third")).alias("next")
     )
+    paired = texts.join(order.select(*KEY, "copies", "third"), KEY).join(beginnings, KEY)
+    n = F.length("text")
+    kept = F.substr("text", F.lit(1), n - F.col("third"))
+    own = F.concat(kept, F.substr("text", F.lit(1), F.col("third")))
+    bodies = F.array(F.col("text"), F.concat(kept, "next"), F.when(F.col("copies") > 1, own))
+    each = paired.select(*KEY, "copies", n.cast("bigint").alias("n_chars"), F.posexplode(bodies).alias("version", "body"))
+    sha = F.when(F.col("version") > 0, F.unhex(F.sha2(F.col("body").cast("binary"), 256)))
+    keys = [*KEY, "copies", "n_chars", "version", "sha"]
+    voted = each.where("body IS NOT NULL").withColumn("sha", sha).select(*keys, _words("body").alias("word"))
+    prints = voted.groupBy(*keys).agg(*_votes()).select(*keys, _bits().alias("fp"))
+
+    def of(version: int, name: str) -> Column:
+        return F.max(F.when(F.col("version") == version, F.col(name))).alias(f"{name}_{version}")
+
+    prints = prints.groupBy(*KEY, "copies", "n_chars").agg(*[of(v, "fp") for v in range(3)], of(1, "sha"), of(2, "sha"))
+    prints = written(prints, "fingerprints")
+    before = prints.select(*[F.col(c).alias(f"_{c}") for c in KEY], F.col("fp_0").alias("next_fp"))
+    following = order.join(before, [f"_{c}" for c in KEY]).select(*KEY, "next_fp")
+    return _copied(prints.join(following, KEY))
+
+
+def with_near(found: DataFrame, asked: Column, radius: int = 3) -> DataFrame:
+    """``found`` with n_near: for ``asked`` rows, the number of other rows whose ``fp`` is within ``radius`` bits, else null.
+
+    ``found`` is read four times, so it should be a written table. Rows that share a fingerprint are counted before any join.
+    """
+    counts = found.groupBy("fp").agg(F.count("*").alias("n"))
+    near = within_radius(counts, found.where(asked), radius, radius + 2)
+    rows = counts.select(F.col("fp").alias("near_fp"), "n")
+    near = near.join(rows, "near_fp").groupBy("fp").agg((F.sum("n") - 1).alias("n_near"))
+    return found.join(near, "fp", "left").withColumn("n_near", F.when(asked, F.col("n_near")))
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridecast.llm import bytes_dedup, decontamination, fingerprints, hmm, langid, lines, near_simhash, packing, pii, ranked_search, spelling, substring, token_files
-from stridecast.scratch import new_folder
+from stridecast.scratch import new_folder, written
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -132,7 +132,8 @@ def op8_hidden_markov(spark, sf_dir):
 
 @_query()
 def op9_fingerprints(spark, sf_dir):
-    found = fingerprints.with_edits(documents(spark, sf_dir))
+    found = written(fingerprints.with_edits(documents(spark, sf_dir)), "fingerprint-rows")
+    found = fingerprints.with_near(found, F.col("doc_id") % 50 == 0)
 
     def shown(name):
         return F.lower(F.lpad(F.hex(name), 16, "0"))
@@ -145,6 +146,7 @@ def op9_fingerprints(spark, sf_dir):
         shown("edited_fp").alias("edited_fingerprint"),
         fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        "n_near",
     )
 
 

@@ -4,8 +4,10 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from stridecast.llm import fingerprints
+from stridecast.scratch import written
 
 SCHEMA = "doc_id long, text string, block string"
 
@@ -76,3 +78,33 @@ def test_block_tables_find_all_within_the_radius(spark):
     asked = {v for i, v in enumerate(signed * 2) if i % 5 == 0}
     expected = {(a, b, d) for a in asked for b in set(signed) if (d := ((a ^ b) % (1 << 64)).bit_count()) <= 3}
     assert found == expected
+
+
+def test_hot_ids_and_hot_texts(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "COPIES", 8)
+    rng = random.Random(9)
+    rows = [(None, f"{i:03} " + " ".join(rng.choices(["alpha", "beta", "gamma"], k=12)), "x") for i in range(60)]
+    rows += [(None, "the same words again", "x")] * 35 + [(4, "the same words again", "x")] * 20 + [(5, None, "x")] * 9
+    rows += [(-(1 << 63), "least id", "x"), (0, "zero", "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for options in ({}, {"rows_per_block": 5}):
+        assert sorted(_found(docs, **options), key=str) == sorted(_expected(rows), key=str)
+
+
+def test_near_rows_are_all_counted(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=8)) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=120)) for _ in range(20)]
+    rows = [(i, rng.choice(texts) + (" " + rng.choice(words)) * rng.randrange(3), "x") for i in range(400)]
+    rows += [(None, texts[0], "x")] * 150 + [(50, "", "x"), (100, None, "x"), (1001, "", "x")]
+    found = written(fingerprints.with_edits(spark.createDataFrame(rows, SCHEMA)), "test")
+    seen = fingerprints.with_near(found, F.col("doc_id") % 50 == 0).collect()
+    assert len(seen) == len(rows)
+    got = [(r["doc_id"], r["fp"], r["n_near"]) for r in seen if r["doc_id"] is not None]
+    prints = [_print(text) for _, text, _ in rows]
+    expected = []
+    for (doc, *_), mine in zip(rows, prints):
+        if doc is not None:
+            near = sum((mine ^ p).bit_count() <= 3 for p in prints) - 1 if doc % 50 == 0 else None
+            expected.append((doc, mine - (1 << 64) if mine >> 63 else mine, near))
+    assert sorted(got, key=str) == sorted(expected, key=str)
