@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,21 +71,21 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _chained(rows: DataFrame, rows_per_block: int) -> DataFrame:
+def _chained(rows: DataFrame, rows_per_block: int | None) -> DataFrame:
     """KEY, copies, third (of the text's code points) and the key before it as ``_named`` … (before the first: the last).
 
-    Keys are cut into ranges of about ``rows_per_block``; only one row of each range meets the others.
+    Keys are cut into ranges of about ``rows_per_block``; only one row of each range meets the others. Without a
+    number, ranges and their number both grow with the square root of the keys.
     """
     keys = rows.groupBy(*KEY).agg(
         F.count("*").alias("copies"), F.max(F.floor(F.length("text") / 3).cast("int")).alias("third")
     )
     keys = written(keys, "fingerprint-keys")
-    parts = max(1, -(-keys.count() // rows_per_block))
-    if parts > 1:
-        cut = keys.repartitionByRange(parts, *KEY).withColumn("part", F.spark_partition_id())
-        keys = written(cut, "fingerprint-ranges")
-    else:
-        keys = keys.withColumn("part", F.lit(0))
+    n = keys.count()
+    parts = max(1, -(-n // (rows_per_block or 8 * max(1, isqrt(n)))))
+    # Written, because the ranges of a second run may be cut elsewhere.
+    cut = keys.repartitionByRange(parts, *KEY).withColumn("part", F.spark_partition_id())
+    keys = written(cut, "fingerprint-ranges")
     key = F.struct(*KEY)
     order = Window.orderBy("part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -114,7 +115,7 @@ def _copied(prints: DataFrame) -> DataFrame:
     )
 
 
-def with_edits(docs: DataFrame, rows_per_block: int = 1 << 20) -> DataFrame:
+def with_edits(docs: DataFrame, rows_per_block: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp for every row.
 
     The edited text has its last third replaced by the beginning of the next
