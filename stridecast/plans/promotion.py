@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stridecast.scratch import written
+
 #: A message scored by a model; several places share a country and a day.
 PREDICTION_KEY = ("message_id", "model")
 RECENCY = ("epoch_id", "created_at")
@@ -21,9 +23,45 @@ def latest_rows(df: DataFrame, keys=PREDICTION_KEY, recency=RECENCY) -> DataFram
     return newest.select(*keys, "_newest.*").select(*df.columns)
 
 
+#: Hashes of repeated keys that every task may hold: 8 MB as a file.
+FEW = 1_000_000
+
+
+def repeated_keys(df: DataFrame, keys=PREDICTION_KEY) -> DataFrame:
+    """``_key``: 64-bit hashes of the keys that more than one row holds.
+
+    It reads the key columns only and counts in a hash aggregate, combined before the shuffle. Two
+    keys may share a hash; then both are named, which never leaves a repeated one out.
+    """
+    counted = df.select(F.xxhash64(*keys).alias("_key")).groupBy("_key").agg(F.count("*").alias("n"))
+    return counted.where("n > 1").select("_key")
+
+
+def latest_rows_of_files(df: DataFrame, keys=PREDICTION_KEY, recency=RECENCY, few: int = FEW) -> DataFrame:
+    """As :func:`latest_rows`, for rows that lie in files and whose keys seldom repeat.
+
+    Rows that are alone under their key pass without a sort or a shuffle; the others are compared.
+    Runs a job: the repeated keys are written first, so their number is known. With more
+    than ``few`` they are not sent to the tasks, and all rows are compared.
+    """
+    repeated = written(repeated_keys(df, keys), "repeated")
+    n = repeated.count()
+    if n == 0:
+        return df
+    if n > few:
+        return latest_rows(df, keys, recency)
+    hashed = df.withColumn("_key", F.xxhash64(*keys))
+    alone = hashed.join(repeated, "_key", "left_anti").select(*df.columns)
+    compared = hashed.join(repeated, "_key", "left_semi").select(*df.columns)
+    return alone.unionByName(latest_rows(compared, keys, recency))
+
+
+def valid_rows(staging: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """The valid staged rows beside the current ones."""
+    valid = staging.where("is_valid")
+    return valid if current is None else current.select(*valid.columns).unionByName(valid)
+
+
 def promote_rows(staging: DataFrame, current: DataFrame | None = None, keys=PREDICTION_KEY) -> DataFrame:
     """Current rows after taking in the valid staged rows. Applying it twice changes nothing."""
-    valid = staging.where("is_valid")
-    if current is not None:
-        valid = current.select(*valid.columns).unionByName(valid)
-    return latest_rows(valid, keys)
+    return latest_rows(valid_rows(staging, current), keys)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from stridecast.operators.layout import gather_by, persisted
-from stridecast.plans.promotion import PREDICTION_KEY, promote_rows
+from stridecast.plans.promotion import PREDICTION_KEY, latest_rows_of_files, promote_rows, valid_rows
 from stridecast.plans.scoring import accepted, quarantine
 from stridecast.schema import PREDICTION_COLUMNS, SCORED_SCHEMA
 from stridecast.scratch import empty_frame, written
@@ -141,7 +141,8 @@ class FileStore:
         months = [r["period"] for r in fresh.select(period.alias("period")).distinct().collect()]
         version = uuid.uuid4().hex
         if months:
-            merged = promote_rows(fresh, self._predictions(manifest, months), keys).withColumn("period", period)
+            beside = valid_rows(fresh, self._predictions(manifest, months))
+            merged = latest_rows_of_files(beside, keys).withColumn("period", period)
             gather_by(merged, "period").write.partitionBy("period").parquet(f"{self.data}/version={version}")
         return months, version
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stridecast.functions.messages import flatten_message, parse_messages
 from stridecast.operators.regression import train
-from stridecast.plans.promotion import latest_rows, promote_rows
+from stridecast.plans.promotion import latest_rows, latest_rows_of_files, promote_rows, repeated_keys
 from stridecast.plans.scoring import score_batch
 from stridecast.schema import METRICS, SCORED_SCHEMA, FeatureContract
 from stridecast.sources.files import stream_table
@@ -157,6 +157,36 @@ def test_latest_row_of_a_hot_key(spark):
     assert latest_rows(rows, keys=("date", "country", "model")).first()["v"] == 19_999
 
 
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_rows_alone_under_their_key_pass_beside_compared_ones(spark, folder, few):
+    rows = spark.range(0, 2_000, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id END AS k", "'m' AS model", "int(id % 100) AS epoch_id", "id AS created_at", "string(id) AS v"
+    )
+    rows.unionByName(rows.where("created_at % 10 = 0")).write.parquet(folder)
+    held = spark.read.parquet(folder)
+    expected: dict = {}
+    for r in held.collect():
+        best = expected.setdefault(r["k"], r)
+        if (r["epoch_id"], r["created_at"], r["v"]) > (best["epoch_id"], best["created_at"], best["v"]):
+            expected[r["k"]] = r
+    found = latest_rows_of_files(held, ("k", "model"), few=few)
+    assert found.columns == held.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.values()))
+    for none in (held.where("false"), found.where("k > 7")):
+        assert sorted(map(str, latest_rows_of_files(none, ("k", "model"), few=few).collect())) == sorted(map(str, none.collect()))
+
+
+def test_keys_that_repeat_are_found_without_sorting(spark, folder):
+    predictions(spark, ("2021-01-01", "a", 0, 1, True), ("2021-01-01", "a", 1, 2, True), ("2021-01-02", "a", 0, 3, True)).write.parquet(folder)
+    held = spark.read.parquet(folder)
+    plan = repeated_keys(held)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "features_json" not in plan and plan.count("HashAggregate") == 2
+    assert repeated_keys(held).count() == 1
+    merged = latest_rows_of_files(held)._jdf.queryExecution().executedPlan().toString()
+    passed, compared = merged.split("LeftAnti")[0], merged.split("LeftAnti")[1]
+    assert "Sort" not in passed.split("Union")[1] and "SortAggregate" in compared
+
+
 def test_store_promotes_only_new_epochs_and_touched_months(spark, folder):
     store = FileStore(spark, folder)
     assert store.promote() == 0 and store.predictions().count() == 0

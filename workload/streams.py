@@ -540,6 +540,23 @@ def t9_at_once(spark, sf_dir):
     return _sums(FileStore(spark, root).predictions(), "epoch_id")
 
 
+@query(
+    "t9_overlapping_batches",
+    sql(
+        f"SELECT CAST(CASE WHEN l_linenumber >= 4 THEN 1 ELSE 0 END AS INTEGER) AS epoch_id, {_SUMS} FROM (SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, "
+        "l_linenumber FROM lineitem) WHERE transit IS NOT NULL GROUP BY 1"
+    ),
+)
+def t9_overlapping(spark, sf_dir):
+    """Two batches that share the messages of every fourth line; the later one's rows are kept."""
+    store, model = FileStore(spark, new_folder(spark, "store")), trained(spark, sf_dir)
+    lineitem = table(spark, sf_dir, "lineitem")
+    for i, part in enumerate(("l_linenumber <= 4", "l_linenumber >= 4")):
+        store.write_batch(score_batch(_lineitem_messages(lineitem.where(part)), i, model), i)
+        store.promote()
+    return _sums(store.predictions(), "epoch_id")
+
+
 _HALVES = sql(
     f"SELECT part, {_SUMS} FROM (SELECT *, CASE WHEN transit IS NULL THEN NULL WHEN odd THEN 'late' ELSE 'early' END AS part FROM "
     f"(SELECT {', '.join(f'{e} AS {c}' for c, e in MOBILITY.items())}, l_linenumber > 3 AS odd FROM lineitem)) "
