@@ -24,7 +24,8 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         key = key * 512 + padded[i : i + n]
     known = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        # The last order keeps equal suffixes by place, so those one character longer are in the same order.
+        order = np.argsort(key, kind="stable" if known >= depth else None)
         new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         if known >= depth or new[-1] == n - 1:
             return order
@@ -40,25 +41,25 @@ def prefix_cuts(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(order)
     cut = np.zeros(n, bool)
     cut[0] = True
-    before = text[order - 1].astype(np.int64)  # the transform; the first suffix has none
+    before = text[order - 1].astype(np.uint16)  # the transform; the first suffix has none
     before[order == 0] = 0
     by_char = np.argsort(before, kind="stable")
     # Row of cω for a row of ω: characters in order, equal ones in the order of their rows.
     # The whole text's row has no character before it; the shortest suffix comes first of its kind.
-    image = np.full(n, -1, np.int64)
+    image = np.full(n, -1, np.int32)  # a text is far shorter than 2**31
     initial = text[order]
     counts = np.bincount(initial, minlength=512)
     place = np.cumsum(counts) - counts
     first_of = np.concatenate([[True], np.diff(before[by_char]) != 0])
     nth = np.arange(n) - np.maximum.accumulate(np.where(first_of, np.arange(n), 0))
-    chars = before[by_char]
+    chars = before[by_char].astype(np.int64)
     # The last character's own suffix has an empty rest, which is no row: it stands first among its kind.
     nth = nth + (chars == text[-1])
     image[by_char] = np.where(chars > 0, place[chars] + nth, -1)
-    previous = np.full(n, -1, np.int64)
+    previous = np.full(n, -1, np.int32)
     previous[by_char[1:]] = np.where(first_of[1:], -1, by_char[:-1])
-    start = np.zeros(n, np.int64)
-    stop = np.zeros(n, np.int64)
+    start = np.zeros(n, np.int32)
+    stop = np.zeros(n, np.int32)
     stop[0] = n
     fresh = np.flatnonzero(np.concatenate([[False], np.diff(initial) != 0]))
     # A row whose rest is empty differs from the next of its kind after one character.

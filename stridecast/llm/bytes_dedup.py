@@ -23,7 +23,7 @@ from stridecast.scratch import written
 
 LARGE = 256
 #: Bytes of runs joined in one transform.
-JOINED = 1 << 18
+JOINED = 1 << 16
 #: Bytes of runs that a task transforms, on average.
 TASK_BYTES = 4 << 20
 SEGMENTS = f"h bigint, {seeds.DOC}, at bigint, many boolean, bytes binary"

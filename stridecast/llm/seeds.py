@@ -28,6 +28,8 @@ DOC = "doc decimal(38,0)"
 RUN_SCHEMA = f"h bigint, s bigint, {DOC}, at bigint"
 #: ``at`` holds the first window's start, the anchor's distance from it, the number of windows and the mark of a repeat.
 _START, _LEFT, _COUNT = 32, 17, 1
+#: Bytes of text whose runs are sought at a time: the arrays for them stay near the processor.
+PIECE = 1 << 18
 
 
 def start_of(at):
@@ -142,7 +144,7 @@ def runs(rows: DataFrame, unit: Unit) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in pieces_of(batch, "text"):
+            for part in pieces_of(batch, "text", PIECE):
                 seq = sequence(part.column("text"), unit)
                 found = _runs(seq, unit, *_windows(seq, unit))
                 if len(found[0]):
@@ -157,7 +159,7 @@ def shorter_runs(rows: DataFrame, listed: DataFrame, unit: Unit) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in pieces_of(batch, "text"):
+            for part in pieces_of(batch, "text", PIECE):
                 seq = sequence(part.column("text"), unit)
                 starts, text, _ = listed_windows(seq, unit, part.column("runs"))
                 found = _runs(seq, unit, starts, text)

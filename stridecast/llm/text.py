@@ -115,16 +115,16 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     at = np.arange(len(values))
 
-    def lesser(a, b):
-        return np.where(values[b] < values[a], b, a)
+    def lesser(values, at, step):
+        less = values[step:] < values[:-step]
+        return np.where(less, values[step:], values[:-step]), np.where(less, at[step:], at[:-step])
 
     span = 1
     while 2 * span <= width:
-        at = lesser(at[: len(at) - span], at[span:])
+        values, at = lesser(values, at, span)
         span *= 2
     if span < width:
-        rest = width - span
-        at = lesser(at[: len(at) - rest], at[rest:])
+        values, at = lesser(values, at, width - span)
     return at[:n]
 
 
