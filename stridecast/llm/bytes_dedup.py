@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm import bwt, seeds
+from stridecast.llm.seeds import written
 from stridecast.llm.substring import windows_of
 from stridecast.llm.text import pieces_of, spread
-from stridecast.scratch import written
 
 LARGE = 256
 #: Bytes of runs joined in one transform.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridecast.llm.text import RollingHash, bytes_of, pieces_of, spread, window_minima, words_of
-from stridecast.scratch import written
+from stridecast import scratch
 
 #: A row by its id (the higher part, so it gives the order) and 63 bits of its text's hash.
 DOC = "doc decimal(38,0)"
@@ -32,6 +32,21 @@ _START, _LEFT, _COUNT = 32, 17, 1
 PIECE = 1 << 18
 
 
+#: At the end of a query its shuffle files go, not when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str, **options) -> DataFrame:
+    """As ``scratch.written``; the shuffle files of the write are removed when it has ended, as nothing reads them again."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return scratch.written(df, label, **options)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def start_of(at):
     return at >> _START
 
