@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stridecast.operators.layout import gather_by
 from stridecast.scratch import written
 
 #: A message scored by a model; several places share a country and a day.
@@ -37,14 +38,16 @@ def repeated_keys(df: DataFrame, keys=PREDICTION_KEY) -> DataFrame:
     return counted.where("n > 1").select("_key")
 
 
-def latest_rows_of_files(df: DataFrame, keys=PREDICTION_KEY, recency=RECENCY, few: int = FEW) -> DataFrame:
+def latest_rows_of_files(
+    df: DataFrame, keys=PREDICTION_KEY, recency=RECENCY, few: int = FEW, repeated: DataFrame | None = None
+) -> DataFrame:
     """As :func:`latest_rows`, for rows that lie in files and whose keys seldom repeat.
 
     Rows that are alone under their key pass without a sort or a shuffle; the others are compared.
-    Runs a job: the repeated keys are written first, so their number is known. With more
+    Runs a job: the repeated keys are written first (unless given), so their number is known. With more
     than ``few`` they are not sent to the tasks, and all rows are compared.
     """
-    repeated = written(repeated_keys(df, keys), "repeated")
+    repeated = written(repeated_keys(df, keys) if repeated is None else repeated, "repeated")
     n = repeated.count()
     if n == 0:
         return df
@@ -56,6 +59,53 @@ def latest_rows_of_files(df: DataFrame, keys=PREDICTION_KEY, recency=RECENCY, fe
     return alone.unionByName(latest_rows(compared, keys, recency))
 
 
+#: A key with more rows than this is compared apart, where versions are combined before the shuffle.
+HOT = 1_000
+
+
+def repeats_by_month(df: DataFrame, month: Column, keys=PREDICTION_KEY) -> DataFrame:
+    """:func:`repeated_keys` with the number of rows ``n`` and the first and last ``month`` (a whole number) of each."""
+    counted = df.select(F.xxhash64(*keys).alias("_key"), month.alias("_month")).groupBy("_key")
+    sums = counted.agg(F.count("*").alias("n"), F.min("_month").alias("lo"), F.max("_month").alias("hi"))
+    return sums.where("n > 1")
+
+
+def _packed(df: DataFrame) -> DataFrame:
+    """Hashes in ``message_id`` as 32 bytes in ``_id`` instead of 64 digits, which a shuffle cannot compress."""
+    digits = F.when(F.col("message_id").rlike("^[0-9a-f]{64}$"), F.col("message_id"))
+    packed = df.withColumn("_id", F.unhex(digits))
+    return packed.withColumn("message_id", F.when(F.col("_id").isNull(), F.col("message_id")))
+
+
+def _unpacked(df: DataFrame) -> DataFrame:
+    return df.withColumn("message_id", F.coalesce("message_id", F.lower(F.hex("_id")))).drop("_id")
+
+
+def gathered(df: DataFrame, group: str) -> DataFrame:
+    """:func:`gather_by` with short message ids under way."""
+    return _unpacked(gather_by(_packed(df), group))
+
+
+def latest_rows_gathered(df: DataFrame, repeated: DataFrame, n: int, n_apart: int, group: str, keys=PREDICTION_KEY, recency=RECENCY, few: int = FEW) -> list[DataFrame]:
+    """Frames that together are :func:`latest_rows` of ``df``, each with the rows of a ``group`` in few tasks.
+
+    ``repeated`` comes from :func:`repeats_by_month` and has ``n`` rows, ``n_apart`` of them in several months or
+    above ``HOT``. With at most ``few`` of them only their rows are compared. Beyond, rows are shuffled once, in ranges of group and key, and compared where they
+    lie; only the keys apart are compared across ranges.
+    """
+    if n <= few or n_apart > few or "message_id" not in keys:
+        return [gathered(latest_rows_of_files(df, keys, recency, few, repeated.select("_key")), group)]
+    frames, hashed = [], df.withColumn("_key", F.xxhash64(*keys))
+    if n_apart:
+        apart = written(repeated.where((F.col("lo") != F.col("hi")) | (F.col("n") > HOT)).select("_key"), "apart")
+        compared = hashed.join(apart, "_key", "left_semi").select(*df.columns)
+        frames.append(gathered(latest_rows(compared, keys, recency), group))
+        hashed = hashed.join(apart, "_key", "left_anti").select(*hashed.columns)
+    ranged = _packed(hashed).repartitionByRange(group, "_key")
+    frames.append(_unpacked(latest_rows(ranged, (group, "_key", "_id", *keys), recency)).select(*df.columns))
+    return frames
+
+
 def valid_rows(staging: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """The valid staged rows beside the current ones."""
     valid = staging.where("is_valid")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from stridecast.operators.layout import gather_by, persisted
-from stridecast.plans.promotion import PREDICTION_KEY, latest_rows_of_files, promote_rows, valid_rows
+from stridecast.operators.layout import persisted
+from stridecast.plans.promotion import HOT, PREDICTION_KEY, gathered, latest_rows_gathered, promote_rows, repeats_by_month, valid_rows
 from stridecast.plans.scoring import accepted, quarantine
 from stridecast.schema import PREDICTION_COLUMNS, SCORED_SCHEMA
 from stridecast.scratch import empty_frame, written
@@ -21,9 +23,16 @@ from stridecast.sources.ledger import Ledger, newest
 PREDICTION_SCHEMA = T.StructType([SCORED_SCHEMA[c] for c in PREDICTION_COLUMNS])
 _ATTEMPT = ("stream_id", "epoch_id", "attempt")
 _ATTEMPT_FIELDS = [T.StructField("stream_id", T.StringType()), T.StructField("epoch_id", T.IntegerType()), T.StructField("attempt", T.StringType())]
-# A row names a month and the version that holds it, or an attempt that was taken in.
+# A row names a month and the versions (with commas between) that hold it, or an attempt that was taken in.
 _MANIFEST_SCHEMA = T.StructType([T.StructField("period", T.StringType()), T.StructField("version", T.StringType()), *_ATTEMPT_FIELDS])
 
+# Message ids are digits of hashes: half of what other codecs make of them.
+_CODEC = "zstd"
+#: A month in so many versions is written anew by the next promotion that touches it.
+MANY_VERSIONS = 8
+#: Promotions of one store by threads of this driver take turns; with other drivers the manifest decides.
+_TURNS: dict = defaultdict(threading.RLock)
+
 
 def _last_commits(rows: DataFrame) -> DataFrame:
     """The last committed attempt of each batch."""
@@ -31,7 +40,7 @@ def _last_commits(rows: DataFrame) -> DataFrame:
 
 
 def _last_versions(rows: DataFrame) -> DataFrame:
-    """The newest version of each month, and all attempts taken in."""
+    """The newest versions of each month, and all attempts taken in."""
     months = newest(rows.where("period IS NOT NULL"), ("period",), "version")
     return months.unionByName(rows.where("attempt IS NOT NULL"), allowMissingColumns=True)
 
@@ -42,10 +51,11 @@ class FileStore:
     Batch numbers mean something only within a stream (a checkpoint and a model).
     Every write of a batch is an attempt of its own, which counts from the moment
     it is committed; the last one committed replaces earlier ones. Promotion takes
-    in the committed attempts that no manifest row names yet. It rewrites only the
-    months their rows touch, under a name of its own, and then appends to the
-    manifest; until then readers see the old versions whole. Of promotions that run at
-    once the first to append wins, and the others begin again on what it left.
+    in the committed attempts that no manifest row names yet. Under a name of its own it
+    writes their rows beside the versions of months in which no key repeats, and rewrites the
+    other months they touch; then it appends to the
+    manifest, and until then readers see the old versions whole. Promotions by threads of one driver
+    take turns. Of those that run at once in several drivers the first to append wins, and the others begin again on what it left.
 
     Commits and manifest are ledgers with a snapshot every ``every`` entries, so reading
     them takes a bounded number of files after any number of batches and promotions.
@@ -53,6 +63,7 @@ class FileStore:
 
     def __init__(self, spark: SparkSession, root: str, every: int = 100):
         self.spark = spark
+        self.root = root
         self.staging = f"{root}/staging"
         self.data = f"{root}/predictions"
         self.commits = Ledger(spark, f"{root}/commits", T.StructType(_ATTEMPT_FIELDS), _last_commits, every)
@@ -67,7 +78,7 @@ class FileStore:
             raise ValueError(f"stream id {stream_id!r} must be letters, digits, '_', '.' and '-'")
         attempt = uuid.uuid4().hex
         folder = self._folder(stream_id, batch_id, attempt)
-        scored.drop("epoch_id", "stream_id").write.partitionBy("is_valid").parquet(folder)
+        scored.drop("epoch_id", "stream_id").write.partitionBy("is_valid").parquet(folder, compression=_CODEC)
         return attempt
 
     def _folder(self, stream_id: str, epoch_id: int, attempt: str) -> str:
@@ -95,12 +106,12 @@ class FileStore:
         return quarantine(self.staged())
 
     def _versions(self, manifest: DataFrame) -> dict[str, str]:
-        """Newest version per month: one driver row for each month of data."""
+        """Newest versions per month: one driver row for each month of data."""
         months = newest(manifest.where("period IS NOT NULL"), ("period",), "version")
         return {r["period"]: r["version"] for r in months.collect()}
 
     def _read_months(self, versions: dict[str, str]) -> DataFrame:
-        folders = [f"{self.data}/version={v}/period={p}" for p, v in sorted(versions.items())]
+        folders = [f"{self.data}/version={v}/period={p}" for p, vs in sorted(versions.items()) for v in vs.split(",")]
         if not folders:
             return empty_frame(self.spark, PREDICTION_SCHEMA)
         return self.spark.read.schema(PREDICTION_SCHEMA).parquet(*folders)
@@ -116,35 +127,50 @@ class FileStore:
         return self._read_months(versions)
 
     def promote(self, keys=PREDICTION_KEY) -> int:
-        """Take in the batches committed since the last promotion; returns the months rewritten.
+        """Take in the batches committed since the last promotion; returns the months changed.
 
-        Only their folders are read. One driver row for each new batch and touched month.
+        Only their folders and the months they touch are read. One driver row for each new batch and touched month.
         """
-        while True:
-            manifest, turn = self.manifest.state()
-            taken = manifest.where("attempt IS NOT NULL")
-            pending = self._committed().join(taken, list(_ATTEMPT), "left_anti").select(*_ATTEMPT).collect()
-            if not pending:
-                return 0
-            months, version = self._merge(pending, manifest, keys)
-            entries = [{"period": m, "version": version} for m in months]
-            entries += [r.asDict() for r in pending]
-            if self.manifest.append(entries, after=turn):
-                return len(months)
-
-    def _merge(self, pending, manifest: DataFrame, keys) -> tuple[list[str], str]:
-        """Write a new version of the months that the pending batches touch; nobody sees it yet."""
+        with _TURNS[self.root]:
+            while True:
+                manifest, turn = self.manifest.state()
+                taken = manifest.where("attempt IS NOT NULL")
+                pending = self._committed().join(taken, list(_ATTEMPT), "left_anti").select(*_ATTEMPT).collect()
+                if not pending:
+                    return 0
+                months = self._merge(pending, manifest, keys)
+                entries = [{"period": m, "version": versions} for m, versions in months.items()]
+                entries += [r.asDict() for r in pending]
+                if self.manifest.append(entries, after=turn):
+                    return len(months)
+
+    def _merge(self, pending, manifest: DataFrame, keys) -> dict[str, str]:
+        """Write a new version of the pending rows; nobody sees it yet. Gives the versions of each month they touch."""
         folders = [self._folder(*r) for r in pending]
         rows = self.spark.read.schema(SCORED_SCHEMA).option("basePath", self.staging).parquet(*folders)
         fresh = accepted(rows)
         period = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none"))
-        months = [r["period"] for r in fresh.select(period.alias("period")).distinct().collect()]
-        version = uuid.uuid4().hex
-        if months:
-            beside = valid_rows(fresh, self._predictions(manifest, months))
-            merged = latest_rows_of_files(beside, keys).withColumn("period", period)
-            gather_by(merged, "period").write.partitionBy("period").parquet(f"{self.data}/version={version}")
-        return months, version
+        month = F.coalesce(F.year("date") * 12 + F.month("date"), F.lit(-1))
+        numbers = {(r["period"], r["month"]) for r in fresh.select(period.alias("period"), month.alias("month")).distinct().collect()}
+        if not numbers:
+            return {}
+        months, version = sorted({p for p, _ in numbers}), uuid.uuid4().hex
+        held = {p: v for p, v in self._versions(manifest).items() if p in set(months)}
+        beside = valid_rows(fresh, self._read_months(held))
+        repeated = written(repeats_by_month(beside, month, keys), "repeated")
+        is_apart = (F.col("n") > HOT) | (F.col("lo") != F.col("hi"))
+        spans = repeated.groupBy("lo", "hi").agg(F.count("*").alias("n"), F.count_if(is_apart).alias("n_apart")).collect()
+        again = {p for p, m in numbers if any(s["lo"] <= m <= s["hi"] for s in spans)}
+        again |= {p for p, v in held.items() if v.count(",") + 1 >= MANY_VERSIONS}
+        added = [m for m in months if m not in again]
+        frames = [gathered(fresh.withColumn("period", period).where(F.col("period").isin(added)), "period")] if added else []
+        if again:
+            beside = valid_rows(fresh.where(period.isin(sorted(again))), self._read_months({p: v for p, v in held.items() if p in again}))
+            n, n_apart = sum(s["n"] for s in spans), sum(s["n_apart"] for s in spans)
+            frames += latest_rows_gathered(beside.withColumn("period", period), repeated, n, n_apart, "period", keys)
+        for frame in frames:
+            frame.write.mode("append").partitionBy("period").parquet(f"{self.data}/version={version}", compression=_CODEC)
+        return {m: version if m in again or m not in held else f"{held[m]},{version}" for m in months}
 
 
 class JdbcStore:
