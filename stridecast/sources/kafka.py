@@ -15,6 +15,8 @@ DELIVERY = {
     "kafka.linger.ms": "10",
     "kafka.retry.backoff.ms": "500",
 }
+#: Message files are compressed; a compressed file is read by one task, so the rows of a file are few.
+FILES = {"compression": "snappy", "maxRecordsPerFile": "500000"}
 
 
 @dataclass(frozen=True)
@@ -77,4 +79,4 @@ def publish(messages: DataFrame, cfg: MessageConfig) -> None:
     if cfg.servers:
         values.write.format("kafka").options(**writer_options(cfg)).save()
     else:
-        values.write.mode("append").text(cfg.folder)
+        values.write.mode("append").options(**FILES).text(cfg.folder)

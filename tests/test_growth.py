@@ -32,6 +32,14 @@ def files_below(spark, folder):
     return list_parquet_files(spark, folder).count()
 
 
+def test_message_files_are_compressed_and_not_long(spark, folder, monkeypatch):
+    monkeypatch.setitem(streams.publish.__globals__["FILES"], "maxRecordsPerFile", "10")
+    publish(spark.range(0, 25, 1, 1).selectExpr("string(id) AS value"), MessageConfig(folder=folder))
+    back = spark.read.text(folder)
+    assert len(back.inputFiles()) == 3 and all(f.endswith(".snappy") for f in back.inputFiles())
+    assert sorted(int(r["value"]) for r in back.collect()) == list(range(25))
+
+
 def test_rows_without_repeats_are_added_and_old_versions_stay(spark, folder):
     store = FileStore(spark, folder)
     store.write_batch(rows_of(spark, ("2021-01-01", "a", 0), ("2021-02-01", "b", 0)), 0)
