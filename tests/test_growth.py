@@ -100,3 +100,12 @@ def test_many_repeats_are_compared_in_ranges(spark, folder, monkeypatch):
     for few in (n, n_apart - 1):
         [frame] = latest_rows_gathered(held, repeated, n, n_apart, "period", few=few)
         assert sorted(map(str, frame.collect())) == sorted(map(str, latest_rows(held).collect()))
+
+
+def test_each_line_number_has_the_same_number_of_files(spark, folder):
+    rows = spark.range(0, 1_000, 1, 4).selectExpr("id", "CASE WHEN id < 3 THEN 1 WHEN id < 300 THEN 2 ELSE 3 END AS l_linenumber")
+    assert streams._write_in_turn(spark, rows, folder, at_most=100) == (3, 7)
+    found = spark.read.parquet(folder).groupBy("l_linenumber", F.col("_metadata.file_path").alias("f")).count().collect()
+    assert max(r["count"] for r in found) <= 200 and sum(r["count"] for r in found) == 1_000
+    order = [r["path"] for r in list_parquet_files(spark, folder).orderBy("modificationTime").collect()]
+    assert len(order) == 21 and [{r["l_linenumber"] for r in found if r["f"] in order[i : i + 7]} for i in (0, 7, 14)] == [{1}, {2}, {3}]

@@ -208,24 +208,37 @@ def t13_rejects(spark, sf_dir):
 
 @query("t11_progress", "SELECT CAST(l_linenumber - 1 AS BIGINT) AS batch_id, count(*) AS n_input FROM lineitem GROUP BY 1")
 def t11_progress(spark, sf_dir):
-    """More batches than the query's own list keeps: a file, and so a batch, for each line number."""
-    root, lineitem = new_folder(spark, "table"), table(spark, sf_dir, "lineitem")
-    numbers = [r[0] for r in lineitem.select("l_linenumber").distinct().orderBy("l_linenumber").collect()]
-    for k in numbers:
-        lineitem.where(F.col("l_linenumber") == k).coalesce(1).write.mode("append").parquet(root)
+    """More batches than the query's own list keeps: as many files, and so a batch, for each line number."""
+    root = new_folder(spark, "table")
+    n_numbers, n_files = _write_in_turn(spark, table(spark, sf_dir, "lineitem"), root)
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
     try:
         with ProgressLog(spark, new_folder(spark, "progress"), every=3) as log:
-            messages = _lineitem_messages(stream_table(spark, root, max_files_per_trigger=1))
+            messages = _lineitem_messages(stream_table(spark, root, max_files_per_trigger=n_files))
             done = finish(start_batches(messages, _Keep(spark, "received"), new_folder(spark, "checkpoint")))
             log.wait(done)
-        if len(done.recentProgress) >= len(numbers):
+        if len(done.recentProgress) >= n_numbers:
             raise AssertionError("the query's own list was to be shorter than its run")
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     return log.batches().where("n_input > 0").select("batch_id", "n_input")
 
 
+def _write_in_turn(spark, rows, root: str, at_most: int = 1_000_000) -> tuple[int, int]:
+    """One append for each line number, in order, all of the same number of files; returns the numbers and the files of each.
+
+    The number with the most rows has at most about ``at_most`` of them in a file. Files without rows
+    make up for numbers with fewer rows than files.
+    """
+    counts = {r[0]: r["n"] for r in rows.groupBy("l_linenumber").agg(F.count("*").alias("n")).orderBy("l_linenumber").collect()}
+    n_files = math.ceil(max(counts.values(), default=1) / at_most)
+    for i, k in enumerate(counts, 1):
+        rows.where(F.col("l_linenumber") == k).repartition(n_files).write.mode("append").parquet(root)
+        for _ in range(i * n_files - list_parquet_files(spark, root).count()):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(root)
+    return len(counts), n_files
+
+
 class _Keep:
     """Micro-batch handler writing each batch to its own folder."""
 
