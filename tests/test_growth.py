@@ -109,3 +109,11 @@ def test_each_line_number_has_the_same_number_of_files(spark, folder):
     assert max(r["count"] for r in found) <= 200 and sum(r["count"] for r in found) == 1_000
     order = [r["path"] for r in list_parquet_files(spark, folder).orderBy("modificationTime").collect()]
     assert len(order) == 21 and [{r["l_linenumber"] for r in found if r["f"] in order[i : i + 7]} for i in (0, 7, 14)] == [{1}, {2}, {3}]
+
+
+def test_replay_of_a_table_takes_a_bounded_number_of_batches(spark, settings, monkeypatch):
+    limits, plain = [], streams.stream_table
+    monkeypatch.setattr(streams, "stream_table", lambda *a, **k: limits.append(k["max_files_per_trigger"]) or plain(*a, **k))
+    settings(spark__sql__files__maxRecordsPerFile="500")
+    outcome = {r["outcome"]: r["n"] for r in streams.t13_rejects(spark, SMALL).collect()}
+    assert limits[0] > 1 and outcome["sent"] + outcome["observed as rejected"] == outcome["observed as read"]

@@ -191,7 +191,9 @@ def t13_rejects(spark, sf_dir):
     rows = rows.withColumn("retail", F.when(n == 1, "n/a").otherwise(F.col("retail")))
     rows.withColumns({c: F.when(n == 2, "soon").otherwise(F.col(c)) for c in ("date", "transit")}).write.parquet(root)
     cfg, rejects = MessageConfig(folder=new_folder(spark, "messages")), new_folder(spark, "rejects")
-    checked = checked_rows(stream_table(spark, root, max_files_per_trigger=1))
+    # A quarter of the files at a time: the number of batches does not grow with the table.
+    limit = math.ceil(list_parquet_files(spark, root).count() / 4)
+    checked = checked_rows(stream_table(spark, root, max_files_per_trigger=limit))
     with ProgressLog(spark, new_folder(spark, "progress")) as log:
         sent = finish(start_replay(messages_of(checked, F.col("l_shipdate")), cfg, new_folder(spark, "checkpoint")))
         finish(start_refused(checked, rejects, new_folder(spark, "checkpoint")))
