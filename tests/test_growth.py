@@ -117,3 +117,9 @@ def test_replay_of_a_table_takes_a_bounded_number_of_batches(spark, settings, mo
     settings(spark__sql__files__maxRecordsPerFile="500")
     outcome = {r["outcome"]: r["n"] for r in streams.t13_rejects(spark, SMALL).collect()}
     assert limits[0] > 1 and outcome["sent"] + outcome["observed as rejected"] == outcome["observed as read"]
+
+
+def test_two_models_score_messages_made_once(spark, monkeypatch):
+    made, plain = [], streams._messages
+    monkeypatch.setattr(streams, "_messages", lambda *a: made.append(1) or plain(*a))
+    assert streams.t9_models(spark, SMALL).count() == 2 and len(made) == 1

@@ -500,9 +500,11 @@ def _sums(rows, *keys):
 def t9_models(spark, sf_dir):
     """Two models over the same messages, each with a batch 0, in one store."""
     store, model = FileStore(spark, new_folder(spark, "store")), trained(spark, sf_dir)
+    cfg = MessageConfig(folder=new_folder(spark, "messages"))
+    publish(_messages(spark, sf_dir), cfg)
     for name in ("LinearRegression", "Second"):
         stream = stream_name("checkpoint", name)
-        store.write_batch(score_batch(_messages(spark, sf_dir), 0, model, name, stream_id=stream), 0, stream)
+        store.write_batch(score_batch(spark.read.text(cfg.folder), 0, model, name, stream_id=stream), 0, stream)
     store.promote()
     return _sums(store.predictions(), "model")
 
