@@ -123,3 +123,11 @@ def test_two_models_score_messages_made_once(spark, monkeypatch):
     made, plain = [], streams._messages
     monkeypatch.setattr(streams, "_messages", lambda *a: made.append(1) or plain(*a))
     assert streams.t9_models(spark, SMALL).count() == 2 and len(made) == 1
+
+
+def test_months_fit_one_file_whatever_the_advisory_size(spark, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="1k")
+    months = tables.k1_compact(spark, SMALL).collect()
+    assert months and all(r["one_file"] for r in months)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1k"
+    assert [tables._bytes(t) for t in ("67108864b", "64MB", "2k", "10")] == [64 << 20, 64 << 20, 2048, 10]

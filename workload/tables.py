@@ -93,6 +93,13 @@ def k1(spark, sf_dir):
     return files.read_mobility(spark, root)
 
 
+def _bytes(text: str) -> int:
+    """A size as Spark writes it: a number, perhaps with a unit such as ``64MB``, ``64m`` or ``b``."""
+    number = text.strip().lower().removesuffix("b").strip()
+    power = "kmgtp".find(number[-1]) + 1
+    return int(number.rstrip("kmgtp")) << 10 * power
+
+
 @query(
     "k1_compact",
     sql(
@@ -101,10 +108,18 @@ def k1(spark, sf_dir):
     ),
 )
 def k1_compact(spark, sf_dir):
-    """Directories with six small files each, compacted into months whose rows fit one file."""
-    small, months = new_folder(spark, "small"), new_folder(spark, "months")
-    with_date_parts(mobility_long(spark, sf_dir)).repartition(6).write.partitionBy("année", "mois").parquet(small)
-    files.compact_mobility(spark, small, months)
+    """Directories with six small files each, or more where a sixth is large, compacted into months whose rows fit one file."""
+    small, months, size = new_folder(spark, "small"), new_folder(spark, "months"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    sixths = with_date_parts(mobility_long(spark, sf_dir)).withColumn("sixth", F.monotonically_increasing_id() % 6)
+    layout.gather_by(sixths, "année", "mois", "sixth").drop("sixth").write.partitionBy("année", "mois").parquet(small)
+    largest = files.read_mobility(spark, small).groupBy("année", "mois").count().agg(F.max("count")).first()[0] or 0
+    before = spark.conf.get(size)
+    try:
+        # Rows of a month under way are below 256 bytes each.
+        spark.conf.set(size, str(max(_bytes(before), 256 * largest)))
+        files.compact_mobility(spark, small, months)
+    finally:
+        spark.conf.set(size, before)
     rows = files.read_mobility(spark, months).withColumn("file", F.col("_metadata.file_path"))
     sums = rows.groupBy("année", "mois").agg(
         F.count("*").alias("n"), F.sum(SHORT_TO_LONG["residential"]).alias("residential"), F.count_distinct("file").alias("files")
