@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +89,57 @@ def gathered(df: DataFrame, group: str) -> DataFrame:
     return _unpacked(gather_by(_packed(df), group))
 
 
+#: Rows of one task that writes a range of dates: about the default advisory size in files.
+TASK_ROWS = 1_000_000
+#: Tasks of a range. A union of frames that are all one partition is one partition, in one task.
+LEAST_TASKS = 2
+#: Each range is a scan of its own in the plan.
+MOST_RANGES = 200
+#: Rows that a range finds in a file on average; with fewer, opening the files costs more than a shuffle.
+LEAST_ROWS = 5_000
+
+
+def month_counts(df: DataFrame, period: Column, month: Column) -> list:
+    """One driver row for each month: ``period``, ``month``, rows ``n``, first and last day ``lo`` and ``hi`` (NULL without dates)."""
+    day = F.unix_date("date")
+    return df.groupBy(period.alias("period"), month.alias("month")).agg(F.count("*").alias("n"), F.min(day).alias("lo"), F.max(day).alias("hi")).collect()
+
+
+def date_ranges(counts, rows: int, most: int = MOST_RANGES) -> list[tuple]:
+    """``(lo, hi, n)`` of neighbouring months with together ``rows`` or more, the last with fewer; rows without a date by themselves."""
+    dated = sorted((r["lo"], r["hi"], r["n"]) for r in counts if r["lo"] is not None)
+    least = max(rows, math.ceil(sum(n for *_, n in dated) / most))
+    ranges: list[tuple] = []
+    for lo, hi, n in dated:
+        if ranges and ranges[-1][2] < least:
+            ranges[-1] = (ranges[-1][0], hi, ranges[-1][2] + n)
+        else:
+            ranges.append((lo, hi, n))
+    undated = sum(r["n"] for r in counts if r["lo"] is None)
+    return ranges + ([(None, None, undated)] if undated else [])
+
+
+def gathered_of_files(df: DataFrame, group: str, counts, keys=PREDICTION_KEY) -> DataFrame:
+    """As :func:`gathered`, for rows in files that are each in the order of their dates; ``counts`` come from :func:`month_counts`.
+
+    Each range of dates is read from all files by few tasks, which skip the pages of other dates, so nothing
+    is shuffled. Files with few rows of each range are shuffled instead. Files in another order are read whole for each range.
+    Rows come in the order of ``keys``: the id that several models give their rows then takes little more room than once.
+    """
+    ranges = date_ranges(counts, LEAST_TASKS * TASK_ROWS)
+    if sum(n for *_, n in ranges) < LEAST_ROWS * len(ranges) * len(df.inputFiles()):
+        return gathered(df, group)
+
+    def days(lo, hi) -> Column:
+        if lo is None:
+            return F.col("date").isNull()
+        first, last = (F.date_from_unix_date(F.lit(d)) for d in (lo, hi))
+        return (F.col("date") >= first) & (F.col("date") <= last)
+
+    frames = [df.where(days(lo, hi)).coalesce(max(LEAST_TASKS, round(n / TASK_ROWS))) for lo, hi, n in ranges]
+    return reduce(DataFrame.unionAll, frames).sortWithinPartitions(group, *keys)
+
+
 def latest_rows_gathered(df: DataFrame, repeated: DataFrame, n: int, n_apart: int, group: str, keys=PREDICTION_KEY, recency=RECENCY, few: int = FEW) -> list[DataFrame]:
     """Frames that together are :func:`latest_rows` of ``df``, each with the rows of a ``group`` in few tasks.
 

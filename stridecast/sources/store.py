@@ -13,7 +13,16 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from stridecast.operators.layout import persisted
-from stridecast.plans.promotion import HOT, PREDICTION_KEY, gathered, latest_rows_gathered, promote_rows, repeats_by_month, valid_rows
+from stridecast.plans.promotion import (
+    HOT,
+    PREDICTION_KEY,
+    gathered_of_files,
+    latest_rows_gathered,
+    month_counts,
+    promote_rows,
+    repeats_by_month,
+    valid_rows,
+)
 from stridecast.plans.scoring import accepted, quarantine
 from stridecast.schema import PREDICTION_COLUMNS, SCORED_SCHEMA
 from stridecast.scratch import empty_frame, written
@@ -26,8 +35,11 @@ _ATTEMPT_FIELDS = [T.StructField("stream_id", T.StringType()), T.StructField("ep
 # A row names a month and the versions (with commas between) that hold it, or an attempt that was taken in.
 _MANIFEST_SCHEMA = T.StructType([T.StructField("period", T.StringType()), T.StructField("version", T.StringType()), *_ATTEMPT_FIELDS])
 
-# Message ids are digits of hashes: half of what other codecs make of them.
-_CODEC = "zstd"
+# Message ids are digits of hashes, no two alike: half of what other codecs make of them. The first level
+# takes least time and room for them, a dictionary only time.
+_FILES = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary#message_id": "false"}
+#: Staged files are in the order of their dates; of short pages few are read beside those of a range of dates.
+_STAGED_FILES = _FILES | {"parquet.page.row.count.limit": "8000"}
 #: A month in so many versions is written anew by the next promotion that touches it.
 MANY_VERSIONS = 8
 #: Promotions of one store by threads of this driver take turns; with other drivers the manifest decides.
@@ -78,7 +90,8 @@ class FileStore:
             raise ValueError(f"stream id {stream_id!r} must be letters, digits, '_', '.' and '-'")
         attempt = uuid.uuid4().hex
         folder = self._folder(stream_id, batch_id, attempt)
-        scored.drop("epoch_id", "stream_id").write.partitionBy("is_valid").parquet(folder, compression=_CODEC)
+        rows = scored.drop("epoch_id", "stream_id").sortWithinPartitions("is_valid", "date")
+        rows.write.partitionBy("is_valid").options(**_STAGED_FILES).parquet(folder)
         return attempt
 
     def _folder(self, stream_id: str, epoch_id: int, attempt: str) -> str:
@@ -151,7 +164,8 @@ class FileStore:
         fresh = accepted(rows)
         period = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none"))
         month = F.coalesce(F.year("date") * 12 + F.month("date"), F.lit(-1))
-        numbers = {(r["period"], r["month"]) for r in fresh.select(period.alias("period"), month.alias("month")).distinct().collect()}
+        counts = month_counts(fresh, period, month)
+        numbers = {(r["period"], r["month"]) for r in counts}
         if not numbers:
             return {}
         months, version = sorted({p for p, _ in numbers}), uuid.uuid4().hex
@@ -163,13 +177,16 @@ class FileStore:
         again = {p for p, m in numbers if any(s["lo"] <= m <= s["hi"] for s in spans)}
         again |= {p for p, v in held.items() if v.count(",") + 1 >= MANY_VERSIONS}
         added = [m for m in months if m not in again]
-        frames = [gathered(fresh.withColumn("period", period).where(F.col("period").isin(added)), "period")] if added else []
+        frames = []
+        if added:
+            rows = fresh.withColumn("period", period)
+            frames.append(gathered_of_files(rows.where(F.col("period").isin(added)) if again else rows, "period", [r for r in counts if r["period"] in added], keys))
         if again:
             beside = valid_rows(fresh.where(period.isin(sorted(again))), self._read_months({p: v for p, v in held.items() if p in again}))
             n, n_apart = sum(s["n"] for s in spans), sum(s["n_apart"] for s in spans)
             frames += latest_rows_gathered(beside.withColumn("period", period), repeated, n, n_apart, "period", keys)
         for frame in frames:
-            frame.write.mode("append").partitionBy("period").parquet(f"{self.data}/version={version}", compression=_CODEC)
+            frame.write.mode("append").partitionBy("period").options(**_FILES).parquet(f"{self.data}/version={version}")
         return {m: version if m in again or m not in held else f"{held[m]},{version}" for m in months}
 
 

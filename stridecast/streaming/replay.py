@@ -12,7 +12,7 @@ from stridecast.functions.messages import short_metric_names, to_message
 from stridecast.operators.cleaning import with_reject_reason
 from stridecast.schema import METRICS
 from stridecast.sources.files import stream_table
-from stridecast.sources.kafka import FILES, MessageConfig, writer_options
+from stridecast.sources.kafka import MessageConfig, file_options, writer_options
 from stridecast.streaming.runs import with_trigger
 
 #: Name under which a checked replay observes its rows.
@@ -80,5 +80,5 @@ def start_replay(
     if cfg.servers:
         writer = writer.format("kafka").options(**writer_options(cfg))
     else:
-        writer = writer.format("text").options(path=cfg.folder, **FILES)
+        writer = writer.format("text").options(path=cfg.folder, **file_options(cfg))
     return with_trigger(writer, interval).start()

@@ -125,6 +125,77 @@ def test_two_models_score_messages_made_once(spark, monkeypatch):
     assert streams.t9_models(spark, SMALL).count() == 2 and len(made) == 1
 
 
+def test_messages_of_two_models_are_gzipped(spark, monkeypatch):
+    folders, plain = [], streams.publish
+    monkeypatch.setattr(streams, "publish", lambda rows, cfg: folders.append(cfg.folder) or plain(rows, cfg))
+    streams.t9_models(spark, SMALL)
+    files = spark.read.text(folders[0]).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    assert spark.read.text(folders[0]).count() == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+
+
+def test_ranges_of_dates_hold_whole_months():
+    counts = [{"lo": lo, "hi": lo + 9, "n": n} for lo, n in ((60, 5), (0, 5), (30, 5), (-30, 20), (90, 1))] + [{"lo": None, "hi": None, "n": 3}]
+    assert promotion.date_ranges(counts, 10) == [(-30, -21, 20), (0, 39, 10), (60, 99, 6), (None, None, 3)]
+    assert promotion.date_ranges(counts, 1, most=2) == [(-30, -21, 20), (0, 99, 16), (None, None, 3)]
+    assert promotion.date_ranges([], 10) == []
+
+
+def _of_model(spark, model, ids, epoch=0):
+    """Valid rows over eight months and without a date, in no order; every eleventh id is refused."""
+    return spark.range(0, ids, 1, 3).selectExpr(
+        "IF(id % 13 = 0, NULL, date_add(date'2020-11-03', int(id * 37 % 240))) AS date", "'c' AS country", "double(id) AS residential", "'{}' AS features_json",
+        f"'{model}' AS model", f"{epoch} AS epoch_id", "timestamp'2024-01-01 10:00:00' AS created_at", "id % 11 <> 0 AS is_valid", "double(id) AS prediction",
+        "timestamp'2024-01-01 10:00:00' AS event_time", "string(null) AS reject_reason", "string(null) AS raw_value",
+        "IF(id % 17 = 0, NULL, sha2(string(id), 256)) AS message_id", f"'{model}' AS stream_id",
+    )
+
+
+def test_staged_files_are_in_the_order_of_dates(spark, folder):
+    store = FileStore(spark, folder)
+    store.write_batch(_of_model(spark, "a", 300), 0, "a")
+    files = [r["path"] for r in list_parquet_files(spark, store.staging).collect() if "is_valid=true" in r["path"]]
+    assert len(files) == 3
+    for file in files:
+        days = [r["date"] for r in spark.read.parquet(file).collect()]
+        assert len(set(days)) > 2 and days == sorted(days, key=lambda d: (d is not None, d))
+
+
+def test_months_without_repeats_are_written_from_ranges_without_a_shuffle(spark, folder, monkeypatch):
+    for name, value in (("TASK_ROWS", 50), ("LEAST_ROWS", 1)):
+        monkeypatch.setattr(promotion, name, value)
+    frames, plain = [], stores.gathered_of_files
+    monkeypatch.setattr(stores, "gathered_of_files", lambda *given: frames.append(plain(*given)) or frames[-1])
+    store, both = FileStore(spark, folder), [_of_model(spark, m, 600).where("message_id IS NOT NULL") for m in "ab"]
+    for model, rows in zip("ab", both):
+        store.write_batch(rows, 0, model)
+    # Months from November to June, and the rows without a date.
+    assert store.promote() == 9
+    plan = frames[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Scan parquet") > 5
+    # Each range has tasks of its own: the union is not one partition.
+    assert frames[0].select(F.spark_partition_id()).distinct().count() >= plan.count("Scan parquet")
+    wanted = both[0].unionByName(both[1]).where("is_valid").select(*stores.PREDICTION_COLUMNS)
+    assert sorted(map(str, store.predictions().collect())) == sorted(map(str, wanted.collect()))
+    # A later batch repeats keys of one month and of the rows without a date, and adds to the others.
+    more = _of_model(spark, "a", 600, 1).withColumn("message_id", F.expr("CASE WHEN date IS NULL OR month(date) = 1 THEN message_id ELSE sha2(string(-residential - 1), 256) END"))
+    store.write_batch(more.where("message_id IS NOT NULL"), 1, "a")
+    assert store.promote() == 9 and len(frames) == 2
+    wanted = latest_rows(wanted.unionByName(more.where("is_valid AND message_id IS NOT NULL").select(*wanted.columns)))
+    assert sorted(map(str, store.predictions().collect())) == sorted(map(str, wanted.collect()))
+    versions = store._versions(store.manifest.rows())
+    assert {m: v.count(",") for m, v in versions.items()} == {m: int(m not in ("none", "2021-01")) for m in versions}
+
+
+def test_few_rows_in_many_files_are_shuffled(spark, folder, monkeypatch):
+    frames, plain = [], stores.gathered_of_files
+    monkeypatch.setattr(stores, "gathered_of_files", lambda *given: frames.append(plain(*given)) or frames[-1])
+    store = FileStore(spark, folder)
+    store.write_batch(_of_model(spark, "a", 300).where("message_id IS NOT NULL"), 0, "a")
+    store.promote()
+    assert "Exchange" in frames[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_months_fit_one_file_whatever_the_advisory_size(spark, settings):
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="1k")
     months = tables.k1_compact(spark, SMALL).collect()

@@ -500,7 +500,7 @@ def _sums(rows, *keys):
 def t9_models(spark, sf_dir):
     """Two models over the same messages, each with a batch 0, in one store."""
     store, model = FileStore(spark, new_folder(spark, "store")), trained(spark, sf_dir)
-    cfg = MessageConfig(folder=new_folder(spark, "messages"))
+    cfg = MessageConfig(folder=new_folder(spark, "messages"), compression="gzip")
     publish(_messages(spark, sf_dir), cfg)
     for name in ("LinearRegression", "Second"):
         stream = stream_name("checkpoint", name)
